@@ -33,6 +33,8 @@ class SkewPolicy:
 
     # A table up to this size cannot overload a task, even if it were all one key.
     task_bytes: int = 128 * 1024 * 1024
+    # Lookups up to this size are left to a broadcast join; None takes Spark's threshold.
+    lookup_bytes: int | None = None
     rows_per_slot: int = 1_000_000
     max_keys: int = 10_000
     max_key_chars: int = 256
@@ -47,10 +49,13 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(stats.sizeInBytes()))
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark will broadcast ``df`` under ``spark.sql.autoBroadcastJoinThreshold``."""
-    conf = df.sparkSession._jsparkSession.sessionState().conf()
-    return planned_bytes(df) <= conf.autoBroadcastJoinThreshold()
+def fits_broadcast(df: DataFrame, policy: SkewPolicy) -> bool:
+    """Whether a join with ``df`` on its right is left to Spark to broadcast."""
+    limit = policy.lookup_bytes
+    if limit is None:
+        conf = df.sparkSession._jsparkSession.sessionState().conf()
+        limit = conf.autoBroadcastJoinThreshold()
+    return planned_bytes(df) <= limit
 
 
 def can_be_hot(df: DataFrame, policy: SkewPolicy) -> bool:
@@ -116,7 +121,7 @@ def lookup_join(
     A lookup under Spark's broadcast threshold needs no shuffle, hence no care
     for skew. Any other is shuffled, and hot keys of large facts are spread.
     """
-    if fits_broadcast(lookup) or not can_be_hot(facts, policy):
+    if fits_broadcast(lookup, policy) or not can_be_hot(facts, policy):
         return facts.join(lookup, F.col(key) == F.col(lookup_key), how)
     hot = hot_keys(facts, key, policy)
     left = spread(facts, key, hot)
