@@ -94,8 +94,9 @@ def clean_table(
         sides = spark.read.schema(f"{_ddl(judged)}, _broken boolean").parquet(apart)
         valid = sides.where(~F.col("_broken")).drop("_broken")
         rejected = sides.where("_broken").drop("_broken")
-    write_zone(valid_rows(valid, spec), out, PROCESSED, spec.name)
-    write_zone(rejected_rows(rejected, spec), out, REJECTED, spec.name)
+    zones = {PROCESSED: valid_rows(valid, spec), REJECTED: rejected_rows(rejected, spec)}
+    with ThreadPoolExecutor(len(zones)) as pool:
+        list(pool.map(lambda zone: write_zone(zones[zone], out, zone, spec.name), zones))
 
 
 def _ddl(df: DataFrame) -> str:

@@ -1,0 +1,69 @@
+import datetime as dt
+
+from conftest import rows
+from pyspark.sql import functions as F
+
+from orderlake.functions import (
+    dax_divide,
+    delivery_days,
+    line_revenue,
+    normalize_blank_strings,
+    parse_dates,
+    safe_divide,
+)
+
+
+def test_normalize(spark):
+    data = [(" a b ", 7), ("", 8), ("   ", None), (None, 9), ("\t", 1)]
+    df = spark.createDataFrame(data, "s string, n int")
+    out = normalize_blank_strings(df, ["s", "n"])
+    assert dict(out.dtypes) == {"s": "string", "n": "string"}
+    assert [tuple(r) for r in out.collect()] == [
+        ("a b", "7"),
+        (None, "8"),
+        (None, None),
+        (None, "9"),
+        ("\t", "1"),
+    ]
+
+
+def test_parse_dates(spark):
+    texts = {
+        "2024-01-05": dt.date(2024, 1, 5),
+        "2024-02-29": dt.date(2024, 2, 29),
+        "2023-02-29": None,
+        "2024-13-01": None,
+        "2024-1-5": None,
+        "20240105": None,
+        "2024-01-05T00:00:00": None,
+        "05.01.2024": None,
+        "soon": None,
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "d string")
+    found = {r.d: r._parsed_d for r in parse_dates(df, ["d"]).collect()}
+    assert found == texts
+
+
+def test_divisions(spark):
+    df = spark.createDataFrame(
+        [(6.0, 4), (6.0, 0), (6.0, None), (None, 4), (0.0, 4)], "a double, b int"
+    )
+    out = df.select(
+        safe_divide(F.col("a"), F.col("b")), dax_divide(F.col("a"), F.col("b"))
+    ).collect()
+    assert [tuple(r) for r in out] == [
+        (1.5, 1.5),
+        (None, 0.0),
+        (None, 0.0),
+        (None, None),
+        (0.0, 0.0),
+    ]
+
+
+def test_derived_columns(spark):
+    df = spark.sql(
+        "select 1 quantity, 0.125d unit_price, date'2024-02-28' shipment_date, "
+        "date'2024-03-01' delivery_date"
+    )
+    # A tie is rounded up; the leap day counts.
+    assert rows(df.select(line_revenue(), delivery_days())) == [(0.13, 2)]

@@ -1,0 +1,234 @@
+"""Each of the 54 rules alone, and the values at which rules start and stop to hold."""
+
+import datetime as dt
+
+import pytest
+from conftest import rows
+from samples import GOOD, table
+
+from orderlake.operators.quality import any_broken, prepare, reasons, split
+from orderlake.operators.duplicates import COUNT
+from orderlake.operators.rules import SPECS
+
+from pyspark.sql import functions as F
+
+# table, reason: the change that breaks just this rule
+BREAKS = {
+    "customers": {
+        "MISSING_CUSTOMER_ID": dict(customer_id="  "),
+        "MISSING_CUSTOMER_NAME": dict(customer_name=""),
+    },
+    "products": {
+        "MISSING_PRODUCT_ID": dict(product_id=None),
+        "MISSING_PRODUCT_NAME": dict(product_name=" "),
+        "MISSING_SUPPLIER_ID": dict(supplier_id=""),
+        "MISSING_UNIT_COST": dict(unit_cost=None),
+        "NEGATIVE_UNIT_COST": dict(unit_cost=-0.01),
+        "MISSING_UNIT_PRICE": dict(unit_price=None),
+        "NEGATIVE_UNIT_PRICE": dict(unit_price=-3.0),
+    },
+    "suppliers": {
+        "MISSING_SUPPLIER_ID": dict(supplier_id=None),
+        "MISSING_SUPPLIER_NAME": dict(supplier_name=""),
+        "MISSING_SUPPLIER_RATING": dict(supplier_rating=None),
+        "SUPPLIER_RATING_BELOW_ZERO": dict(supplier_rating=-0.1),
+        "SUPPLIER_RATING_ABOVE_FIVE": dict(supplier_rating=5.1),
+    },
+    "warehouses": {
+        "MISSING_WAREHOUSE_ID": dict(warehouse_id=""),
+        "MISSING_WAREHOUSE_NAME": dict(warehouse_name=None),
+        "MISSING_CAPACITY": dict(capacity_units=None),
+        "INVALID_CAPACITY": dict(capacity_units=0),
+    },
+    "inventory": {
+        "MISSING_INVENTORY_ID": dict(inventory_id=None),
+        "MISSING_WAREHOUSE_ID": dict(warehouse_id=""),
+        "MISSING_PRODUCT_ID": dict(product_id=" "),
+        "MISSING_QUANTITY_ON_HAND": dict(quantity_on_hand=None),
+        "NEGATIVE_QUANTITY_ON_HAND": dict(quantity_on_hand=-1),
+        "MISSING_REORDER_LEVEL": dict(reorder_level=None),
+        "NEGATIVE_REORDER_LEVEL": dict(reorder_level=-1),
+        "INVALID_INVENTORY_DATE": dict(inventory_date="2024-13-01"),
+    },
+    "orders": {
+        "MISSING_ORDER_ID": dict(order_id=""),
+        "MISSING_CUSTOMER_ID": dict(customer_id=None),
+        "MISSING_WAREHOUSE_ID": dict(warehouse_id=" "),
+        "MISSING_ORDER_STATUS": dict(order_status=""),
+        "MISSING_ORDER_DATE": dict(order_date=""),
+        "INVALID_ORDER_DATE": dict(order_date="2023-02-29"),
+    },
+    "order_items": {
+        "MISSING_ORDER_ITEM_ID": dict(order_item_id=""),
+        "MISSING_ORDER_ID": dict(order_id=None),
+        "MISSING_PRODUCT_ID": dict(product_id=""),
+        "MISSING_QUANTITY": dict(quantity=None),
+        "INVALID_QUANTITY": dict(quantity=0),
+        "MISSING_UNIT_PRICE": dict(unit_price=None),
+        "NEGATIVE_UNIT_PRICE": dict(unit_price=-1.0),
+    },
+    "shipments": {
+        "MISSING_SHIPMENT_ID": dict(shipment_id=" "),
+        "MISSING_ORDER_ID": dict(order_id=""),
+        "MISSING_WAREHOUSE_ID": dict(warehouse_id=None),
+        "MISSING_SHIPMENT_DATE": dict(shipment_date=""),
+        "INVALID_SHIPMENT_DATE": dict(shipment_date="soon"),
+        "INVALID_DELIVERY_DATE": dict(delivery_date="2024-2-5"),
+        "DELIVERY_BEFORE_SHIPMENT": dict(delivery_date="2024-02-01"),
+    },
+}
+
+# changes that break no rule
+KEEPS = {
+    "customers": [
+        dict(city=None, state="", customer_segment=" "),
+        dict(customer_name="\t"),
+    ],
+    "products": [
+        dict(unit_cost=0.0, unit_price=0.0),
+        dict(unit_cost=float("nan"), unit_price=float("nan")),
+        dict(category=""),
+    ],
+    "suppliers": [dict(supplier_rating=0.0), dict(supplier_rating=5.0), dict(country="")],
+    "warehouses": [dict(capacity_units=1, city="")],
+    "inventory": [dict(quantity_on_hand=0, reorder_level=0)],
+    "orders": [dict(order_status="Lost", order_date=" 2024-02-01 ")],
+    "order_items": [dict(quantity=1, unit_price=0.0)],
+    "shipments": [
+        dict(delivery_date=""),
+        dict(delivery_date="2024-02-02"),
+        dict(carrier="", shipment_status=None),
+    ],
+}
+
+
+def judged(spark, name, changes):
+    """The reasons of each row, with the key counted as unique."""
+    prepared = prepare(table(spark, name, *changes), SPECS[name]).withColumn(COUNT, F.lit(1))
+    found = prepared.select(reasons(SPECS[name].rules), any_broken(SPECS[name].rules))
+    return [tuple(r) for r in found.collect()]
+
+
+@pytest.mark.parametrize("name", SPECS)
+def test_each_rule_alone(spark, name):
+    breaks = BREAKS[name]
+    assert judged(spark, name, breaks.values()) == [(reason, True) for reason in breaks]
+
+
+@pytest.mark.parametrize("name", SPECS)
+def test_accepted_values(spark, name):
+    keeps = [{}, *KEEPS[name]]
+    assert judged(spark, name, keeps) == [("", False)] * len(keeps)
+
+
+@pytest.mark.parametrize("name", SPECS)
+def test_every_copy_of_a_key_is_rejected(spark, name):
+    key = SPECS[name].key
+    kept = {key: "other"}
+    padded = {key: f" {GOOD[name][key]} "}
+    valid, rejected = split(table(spark, name, {}, padded, kept), SPECS[name])
+    assert rows(valid, key) == [("other",)]
+    reason = f"DUPLICATE_{key.upper()}"
+    assert rows(rejected, key, "rejection_reason") == [(GOOD[name][key], reason)] * 2
+
+
+def test_there_are_54_rules_and_each_is_tested():
+    declared = {(t, r.reason) for t, spec in SPECS.items() for r in spec.rules}
+    tested = {(t, r) for t, broken in BREAKS.items() for r in broken}
+    tested |= {(t, f"DUPLICATE_{spec.key.upper()}") for t, spec in SPECS.items()}
+    assert sum(len(spec.rules) for spec in SPECS.values()) == 54
+    assert declared == tested
+
+
+def test_blank_inventory_date_is_invalid_not_missing(spark):
+    for text in ("", None):
+        assert judged(spark, "inventory", [dict(inventory_date=text)]) == [
+            ("INVALID_INVENTORY_DATE", True)
+        ]
+
+
+def test_nan_rating_is_above_five(spark):
+    assert judged(spark, "suppliers", [dict(supplier_rating=float("nan"))]) == [
+        ("SUPPLIER_RATING_ABOVE_FIVE", True)
+    ]
+
+
+def test_all_reasons_in_rule_order(spark):
+    change = dict(unit_price=-1.0, product_name="", unit_cost=None)
+    assert judged(spark, "products", [change]) == [
+        ("MISSING_PRODUCT_NAME; MISSING_UNIT_COST; NEGATIVE_UNIT_PRICE", True)
+    ]
+
+
+def test_missing_keys_are_not_duplicates(spark):
+    blank = dict(order_id=" ")
+    _, rejected = split(table(spark, "orders", blank, blank, dict(order_id=None)), SPECS["orders"])
+    assert rows(rejected, "order_id", "rejection_reason") == [(None, "MISSING_ORDER_ID")] * 3
+
+
+def test_a_bad_copy_condemns_the_good_one(spark):
+    valid, rejected = split(
+        table(spark, "customers", {}, dict(customer_name="")), SPECS["customers"]
+    )
+    assert valid.count() == 0
+    assert rows(rejected, "rejection_reason") == [
+        ("DUPLICATE_CUSTOMER_ID",),
+        ("MISSING_CUSTOMER_NAME; DUPLICATE_CUSTOMER_ID",),
+    ]
+
+
+def test_case_of_keys_is_not_folded(spark):
+    valid, _ = split(table(spark, "customers", {}, dict(customer_id="c1")), SPECS["customers"])
+    assert rows(valid, "customer_id") == [("C1",), ("c1",)]
+
+
+def test_valid_rows(spark):
+    valid, _ = split(table(spark, "shipments", dict(carrier=" Fast ")), SPECS["shipments"])
+    assert valid.columns == [*GOOD["shipments"], "ingestion_timestamp"]
+    row = valid.first()
+    assert row.carrier == "Fast"
+    assert row.shipment_date == dt.date(2024, 2, 2)
+    assert row.delivery_date == dt.date(2024, 2, 5)
+    assert row.ingestion_timestamp is not None
+    valid, _ = split(table(spark, "customers", {}), SPECS["customers"])
+    assert valid.first().state == "TX"
+
+
+def test_rejected_rows(spark):
+    raw = table(spark, "orders", dict(order_status=" ", customer_id=" C9 "))
+    _, rejected = split(raw.withColumn("source_file", F.lit("f.csv")), SPECS["orders"])
+    assert rejected.columns == [
+        *GOOD["orders"],
+        "source_file",
+        "rejection_reason",
+        "rejected_timestamp",
+    ]
+    row = rejected.first()
+    assert (row.customer_id, row.order_status, row.source_file) == ("C9", None, "f.csv")
+    assert row.order_date == "2024-02-01"
+    assert row.rejected_timestamp is not None
+
+
+def test_rejected_state_keeps_its_case(spark):
+    _, rejected = split(table(spark, "customers", dict(customer_name="")), SPECS["customers"])
+    assert rejected.first().state == "tx"
+
+
+def test_extra_columns_pass_through(spark):
+    raw = table(spark, "customers", {}, dict(customer_id="C2", customer_name="")).withColumn(
+        "note", F.lit(" as is ")
+    )
+    for side in split(raw, SPECS["customers"]):
+        assert side.first().note == " as is "
+
+
+def test_text_that_is_no_number_is_missing(spark):
+    raw = (
+        table(spark, "order_items", {}, dict(order_item_id="L2"))
+        .withColumn("quantity", F.when(F.col("order_item_id") == "L2", "many").otherwise("2"))
+        .withColumn("unit_price", F.lit("3.5"))
+    )
+    valid, rejected = split(raw, SPECS["order_items"])
+    assert rows(valid, "quantity", "unit_price") == [(2, 3.5)]
+    assert dict(valid.dtypes)["quantity"] == "int"
+    assert rows(rejected, "order_item_id", "rejection_reason") == [("L2", "MISSING_QUANTITY")]
