@@ -2,8 +2,9 @@
 
 A window over the key moves every row to the task of its key, so one hot key,
 or all the rows without a key, end up in a single task. That is fine for a
-table a task can hold. In a larger one keys are counted with a map-side combine and
-only the repeated ones are joined back.
+table a task can hold. In a larger one the keys are counted first, with a
+map-side combine: few repeated keys are broadcast to the rows, and of many only
+the hot ones are, whose rows then need not meet in one task.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from orderlake.operators.skew import (
     can_be_hot,
     hot_counts,
     own_slot,
+    with_hot,
 )
 
 COUNT = "_duplicate_count"
@@ -43,21 +45,15 @@ def shuffled_counts(
 ) -> DataFrame:
     """Add the duplicate count for any number of repeated keys.
 
-    Rows with a hot key get their count from the short broadcast list and go to
-    slots 1 and up, where the shuffled join has nothing to match.
+    Rows with a hot key get their count from the short broadcast list and are
+    spread over slots 1 and up. All other rows are counted together in slot 0.
     """
-    hot = hot_counts(repeated, key, policy).select(
-        F.col(key).alias("_hot_key"), F.col("_rows").alias("_hot_rows"), "_slots"
-    )
-    spread = df.join(
-        F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot_key")), "left"
-    ).withColumn(SLOT, F.when(F.col("_slots").isNull(), 0).otherwise(1 + own_slot("_slots")))
-    listed = repeated.withColumnRenamed(key, "_repeated_key").withColumn("_at", F.lit(0))
-    same = F.col(key).eqNullSafe(F.col("_repeated_key")) & (F.col(SLOT) == F.col("_at"))
-    return (
-        spread.join(listed, same, "left")
-        .withColumn(COUNT, F.coalesce("_hot_rows", "_rows", F.lit(1)))
-        .drop("_hot_key", "_hot_rows", "_slots", SLOT, "_at", "_rows", "_repeated_key")
+    hot = hot_counts(repeated, key, policy).withColumnRenamed("_rows", "_hot_rows")
+    slot = F.when(F.col("_slots").isNull(), 0).otherwise(1 + own_slot("_slots"))
+    placed = with_hot(df, key, hot).withColumn(SLOT, slot)
+    together = F.count(F.lit(1)).over(Window.partitionBy(key, SLOT))
+    return placed.withColumn(COUNT, F.coalesce("_hot_rows", together)).drop(
+        "_hot_rows", "_slots", SLOT
     )
 
 

@@ -18,7 +18,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.operators.duplicates import broadcast_counts, repeated_keys, shuffled_counts
@@ -42,7 +42,7 @@ from orderlake.sources import (
     read_zone,
     write_zone,
 )
-from orderlake.sources.work import new_work_folder, remove_work_folder
+from orderlake.sources.work import new_work_folder, remove_work_folder, written
 
 
 @dataclass(frozen=True)
@@ -59,16 +59,23 @@ class PipelineOptions:
 DEFAULT_OPTIONS = PipelineOptions()
 
 
-def _is_small(repeated: DataFrame, key: str, options: PipelineOptions) -> bool:
-    size = repeated.agg(
-        F.count(F.lit(1)).alias("keys"),
-        F.coalesce(F.sum(F.length(key)), F.lit(0)).alias("chars"),
-    ).first()
-    return size.keys <= options.broadcast_keys and size.chars <= options.broadcast_chars
+def _repeated(prepared: DataFrame, key: str, path: str, options: PipelineOptions):
+    """The repeated keys as a written table, and whether they are few enough to broadcast."""
+    size = Observation()
+    repeated = written(
+        repeated_keys(prepared, key).observe(
+            size,
+            F.count(F.lit(1)).alias("keys"),
+            F.coalesce(F.sum(F.length(key)), F.lit(0)).alias("chars"),
+        ),
+        path,
+    )
+    few = size.get["keys"] <= options.broadcast_keys
+    short = size.get["chars"] <= options.broadcast_chars
+    return repeated, few and short
 
 
 def clean_table(
-    spark: SparkSession,
     raw: DataFrame,
     spec: TableSpec,
     out: str,
@@ -76,33 +83,24 @@ def clean_table(
     options: PipelineOptions = DEFAULT_OPTIONS,
 ) -> None:
     """Write the processed and the rejected rows of one table."""
-    prepare(raw, spec).write.parquet(f"{work}/prepared/{spec.name}")
-    prepared = spark.read.parquet(f"{work}/prepared/{spec.name}")
-
-    repeated_keys(prepared, spec.key).write.parquet(f"{work}/repeated/{spec.name}")
-    repeated = spark.read.parquet(f"{work}/repeated/{spec.name}")
-
-    if _is_small(repeated, spec.key, options):
-        judged = broadcast_counts(prepared, spec.key, repeated)
-        valid, rejected = judged, judged
+    prepared = written(prepare(raw, spec), f"{work}/prepared/{spec.name}")
+    repeated, small = _repeated(prepared, spec.key, f"{work}/repeated/{spec.name}", options)
+    if small:
+        valid = rejected = broadcast_counts(prepared, spec.key, repeated)
     else:
-        apart = f"{work}/judged/{spec.name}"
         judged = shuffled_counts(prepared, spec.key, repeated, options.policy)
-        judged.withColumn("_broken", any_broken(spec.rules)).write.partitionBy(
-            "_broken"
-        ).parquet(apart)
-        sides = spark.read.schema(f"{_ddl(judged)}, _broken boolean").parquet(apart)
-        valid = sides.where(~F.col("_broken")).drop("_broken")
-        rejected = sides.where("_broken").drop("_broken")
+        apart = written(
+            judged.withColumn("_broken", any_broken(spec.rules)),
+            f"{work}/judged/{spec.name}",
+            partition_by="_broken",
+        )
+        valid = apart.where(~F.col("_broken")).drop("_broken")
+        rejected = apart.where("_broken").drop("_broken")
     zones = {PROCESSED: valid_rows(valid, spec), REJECTED: rejected_rows(rejected, spec)}
     with ThreadPoolExecutor(len(zones)) as pool:
         list(pool.map(lambda zone: write_zone(zones[zone], out, zone, spec.name), zones))
 
 
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)
-
-
 def clean_all(
     spark: SparkSession,
     raw: Mapping[str, DataFrame],
@@ -113,7 +111,7 @@ def clean_all(
     work = new_work_folder(spark)
 
     def clean(table: str) -> None:
-        clean_table(spark, raw[table], SPECS[table], out, work, options)
+        clean_table(raw[table], SPECS[table], out, work, options)
 
     try:
         with ThreadPoolExecutor(options.tables_at_once) as pool:

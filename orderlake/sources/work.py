@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str | None:
@@ -42,3 +42,10 @@ def remove_work_folder(spark: SparkSession, folder: str) -> None:
     """Delete a folder made by ``new_work_folder``, on whatever file system it lies."""
     files, path = _file_system(spark, folder)
     files.delete(path, True)
+
+
+def written(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+    """``df`` as a table written to ``path``: what follows does not depend on its lineage."""
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
