@@ -30,15 +30,11 @@ from orderlake.functions import (  # noqa: E402
 from orderlake.operators.duplicates import COUNT, add_duplicate_count  # noqa: E402
 from orderlake.operators.quality import prepare, reject_summary, split  # noqa: E402
 from orderlake.operators.rules import SPECS  # noqa: E402
+from orderlake.operators.sizing import fit_shuffles  # noqa: E402
 from orderlake.operators.skew import DEFAULT_POLICY, SkewPolicy  # noqa: E402
 from orderlake.plans import checks, curated, dashboard, reports  # noqa: E402
 from orderlake.plans.pipeline import run_pipeline  # noqa: E402
-from orderlake.schemas import (  # noqa: E402
-    CURATED_INPUTS,
-    ORDER_ANALYTICS_COLUMNS,
-    RAW,
-    TABLES,
-)
+from orderlake.schemas import CURATED_INPUTS, TABLES  # noqa: E402
 from orderlake.sources import (  # noqa: E402
     CURATED,
     CURATED_TABLE,
@@ -108,7 +104,9 @@ class Zones:
 
     def curated(self) -> DataFrame:
         if self.base:
-            return read_zone(self.spark, self.base, CURATED, CURATED_TABLE)
+            wide = read_zone(self.spark, self.base, CURATED, CURATED_TABLE)
+            fit_shuffles(self.spark, [wide])
+            return wide
         return curated.build_order_analytics(*map(self.processed, CURATED_INPUTS))
 
 

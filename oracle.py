@@ -216,7 +216,7 @@ def _kpis(where: str = "true") -> str:
                    as missing_shipment_ratio
         from (select sum(line_revenue) as revenue, count(distinct order_id) as orders,
                      avg(delivery_days) as days,
-                     count(distinct case when shipment_id is null then order_id end) as missing
+                     count(distinct order_id) filter (where shipment_id is null) as missing
               from oa where {where})"""
 
 
@@ -252,7 +252,7 @@ _REPORTS = {
         select order_status, orders as total_orders, missing as orders_missing_shipment,
                round(100e0 * missing / orders, 2) as missing_shipment_pct, avg_delivery_days
         from (select order_status, count(distinct order_id) as orders,
-                     count(distinct case when shipment_id is null then order_id end) as missing,
+                     count(distinct order_id) filter (where shipment_id is null) as missing,
                      round(avg(delivery_days), 2) as avg_delivery_days
               from oa group by order_status)""",
     "revenue_by_month_name": """
@@ -281,20 +281,23 @@ _CHECKS = {
                count(distinct order_id) as affected_orders
         from oa where shipment_id is null group by order_status""",
     "dq_delivered_coverage": """
-        select count(distinct o.order_id) as delivered_orders,
-               count(distinct s.order_id) as delivered_orders_with_shipment,
-               count(distinct case when s.order_id is null then o.order_id end)
-                   as delivered_orders_without_shipment
-        from processed_orders o left join processed_shipments s on s.order_id = o.order_id
-        where o.order_status = 'Delivered'""",
+        select count(*) as delivered_orders,
+               count(*) filter (where shipped) as delivered_orders_with_shipment,
+               count(*) filter (where not shipped) as delivered_orders_without_shipment
+        from (select distinct order_id,
+                     order_id in (select order_id from processed_shipments) as shipped
+              from processed_orders where order_status = 'Delivered')""",
     "dq_raw_vs_processed": """
-        select (select count(distinct order_id) from raw_shipments) as raw_shipment_orders,
-               (select count(distinct order_id) from processed_shipments)
-                   as processed_shipment_orders""",
+        select count(distinct order_id) filter (where zone = 'raw') as raw_shipment_orders,
+               count(distinct order_id) filter (where zone = 'done')
+                   as processed_shipment_orders
+        from (select order_id, 'raw' as zone from raw_shipments
+              union all select order_id, 'done' from processed_shipments)""",
     "dq_delivered_missing_raw": """
-        select count(distinct o.order_id) as delivered_orders_missing_raw_shipment
-        from raw_orders o left join raw_shipments s on trim(s.order_id) = trim(o.order_id)
-        where trim(o.order_status) = 'Delivered' and s.order_id is null""",
+        select count(distinct order_id) as delivered_orders_missing_raw_shipment
+        from raw_orders o
+        where trim(order_status) = 'Delivered' and not exists (
+            select 1 from raw_shipments s where trim(s.order_id) = trim(o.order_id))""",
     "dq_duplicate_orders": """
         select order_id, count(*) as row_count from oa group by order_id having count(*) > 1""",
     "dq_null_customers": """

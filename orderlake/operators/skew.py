@@ -77,7 +77,7 @@ def hot_counts(
     """The same from ready ``(key, _rows)`` counts, which it keeps. NULL can be hot too."""
     return (
         counts.where(F.col("_rows") > policy.rows_per_slot)
-        .where(F.coalesce(F.length(key), F.lit(0)) <= policy.max_key_chars)
+        .where(F.coalesce(F.length(F.col(key).cast("string")), F.lit(0)) <= policy.max_key_chars)
         .orderBy(F.desc("_rows"), F.col(key))
         .limit(policy.max_keys)
         .withColumn(slots, F.ceil(F.col("_rows") / policy.rows_per_slot).cast("int"))

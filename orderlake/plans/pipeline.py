@@ -30,6 +30,7 @@ from orderlake.operators.quality import (
     valid_rows,
 )
 from orderlake.operators.rules import SPECS
+from orderlake.operators.sizing import fit_shuffles
 from orderlake.operators.skew import DEFAULT_POLICY, SkewPolicy
 from orderlake.plans.curated import build_order_analytics
 from orderlake.schemas import CURATED_INPUTS, TABLES
@@ -109,6 +110,7 @@ def clean_all(
 ) -> None:
     """Write the processed and rejected zones of all tables."""
     work = new_work_folder(spark)
+    fit_shuffles(spark, raw.values())
 
     def clean(table: str) -> None:
         clean_table(raw[table], SPECS[table], out, work, options)
@@ -130,6 +132,7 @@ def build_curated(
 ) -> None:
     """Write the curated table from the processed zone."""
     inputs = [read_zone(spark, out, PROCESSED, table) for table in CURATED_INPUTS]
+    fit_shuffles(spark, inputs)
     wide = build_order_analytics(*inputs, policy=options.policy)
     write_zone(wide, out, CURATED, CURATED_TABLE, options.partition_curated_by)
 

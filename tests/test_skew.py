@@ -2,6 +2,8 @@
 
 import pytest
 from conftest import rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from orderlake.operators.skew import (
@@ -107,6 +109,44 @@ def test_join_shipments(orders_with_crowds):
         assert rows(out, *sorted(out.columns)) == rows(plain, *sorted(out.columns))
 
 
+def test_join_shipments_without_adaptive_execution(spark, orders_with_crowds):
+    items, shipments = orders_with_crowds
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = join_shipments(items, shipments, FORCED)
+        plain = items.join(shipments, "order_id", "left")
+        assert rows(out, *sorted(out.columns)) == rows(plain, *sorted(out.columns))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(st.sampled_from(["a", "b", "c", "d"]), min_size=1, max_size=25),
+    st.lists(st.sampled_from(["a", "b", "c", "e"]), min_size=1, max_size=25),
+)
+def test_any_lines_and_shipments(spark, lines, ships):
+    items = spark.createDataFrame(list(enumerate(lines)), "line int, order_id string")
+    given_ships = spark.createDataFrame(list(enumerate(ships)), "n int, order_id string")
+    shipments = given_ships.withColumnsRenamed({"n": "shipment_id"}).withColumns(
+        {c: F.lit("x") for c in ("carrier", "shipment_date", "delivery_date", "shipment_status")}
+    )
+    out = join_shipments(items, shipments, SkewPolicy(task_bytes=-1, rows_per_slot=2))
+    expected = [
+        (k, line, n)
+        for line, k in enumerate(lines)
+        for n in ([i for i, s in enumerate(ships) if s == k] or [None])
+    ]
+    assert rows(out, "order_id", "line", "shipment_id") == sorted(expected, key=repr)
+
+
+def test_keys_need_not_be_text(spark):
+    facts = spark.range(40).withColumn("k", F.col("id") % 3)
+    lookup = spark.createDataFrame([(0, "zero"), (1, "one")], "lk bigint, v string")
+    plain = facts.join(lookup, F.col("k") == F.col("lk"), "left")
+    assert rows(lookup_join(facts, lookup, "k", "lk", "left", FORCED)) == rows(plain)
+
+
 def test_crowded_orders(orders_with_crowds):
     items, shipments = orders_with_crowds
     found = {tuple(r) for r in crowded_orders(items, shipments, FORCED).collect()}
