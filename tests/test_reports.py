@@ -56,7 +56,11 @@ def test_preview(oa):
 
 def test_revenue_by(oa):
     assert listed(reports.revenue_by_category(oa)) == [("Tools", 50.0), ("Toys", 5.5), (None, 4.0)]
-    assert listed(reports.revenue_by_warehouse(oa)) == [("Bergen", 40.0), ("Oslo", 19.5), (None, 0.0)]
+    assert listed(reports.revenue_by_warehouse(oa)) == [
+        ("Bergen", 40.0),
+        ("Oslo", 19.5),
+        (None, 0.0),
+    ]
     assert listed(reports.revenue_by_segment(oa)) == [("Home", 55.5), (None, 4.0), ("Work", 0.0)]
     assert rows(reports.orders_by_status(oa)) == [("Delivered", 2), ("Shipped", 2)]
 

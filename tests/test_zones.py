@@ -56,7 +56,8 @@ def base(tmp_path_factory):
             with open(path / f"{number}.csv", "w", newline="") as file:
                 writer = csv.writer(file)
                 writer.writerow([*columns, "Remark"])
-                writer.writerow([*((GOOD[table] | change)[c] for c in columns), f"row {number}"])
+                row = GOOD[table] | change
+                writer.writerow([*(row[c] for c in columns), f"row {number}"])
     return str(folder)
 
 
@@ -80,7 +81,7 @@ def test_read_raw(spark, base):
     raw = read_raw(spark, base, "order_items")
     assert sorted(raw.columns) == sorted([*GOOD["order_items"], "remark", "source_file"])
     kinds = dict(raw.dtypes)
-    assert (kinds["quantity"], kinds["unit_price"], kinds["order_id"]) == ("int", "double", "string")
+    assert [kinds[c] for c in ("quantity", "unit_price", "order_id")] == ["int", "double", "string"]
     files = {r.source_file.rsplit("/", 1)[1] for r in raw.collect()}
     assert files == {"0.csv", "1.csv", "2.csv"}
     assert rows(raw, "order_item_id", "quantity") == [("L1", 2), ("L2", 4), ("L3", 0)]
