@@ -45,6 +45,14 @@ from orderlake.sources import (  # noqa: E402
 )
 from orderlake.sources.work import new_work_folder, shared_folder  # noqa: E402
 
+try:
+    from orderlake.llm import queries as corpus  # noqa: E402
+except ModuleNotFoundError as error:
+    # The corpus operators can be taken out; only their own absence is passed over.
+    if not (error.name or "").startswith("orderlake.llm"):
+        raise
+    corpus = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 CLOCKS = ("ingestion_timestamp", "rejected_timestamp", "curated_timestamp")
@@ -330,11 +338,11 @@ def queries() -> dict[str, Query]:
     for table in ("orders", "order_items", "shipments"):
         found[f"duplicate_count_{table}_spread"] = partial(_duplicates, table, FORCED)
     found |= {f"{name}_spread": partial(join, FORCED) for name, join in JOINS.items()}
-    return found
+    return found | (corpus.QUERIES if corpus else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    return oracle.statements() | (corpus.ORACLE_SQL if corpus else {})
 
 
 def entry(spark: SparkSession) -> DataFrame:
