@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.llm.exact_dedup import exact_groups
+from orderlake.llm.near_dedup import near_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,12 +31,18 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"))
+
+
 OP1_SQL = """
     select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
            doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
     from documents window same as (partition by coalesce(text, ''))
 """
 
-QUERIES: dict[str, Query] = {"op1_exact_dedup": op1_exact_dedup}
+QUERIES: dict[str, Query] = {
+    query.__name__: query for query in (op1_exact_dedup, op3_near_dedup)
+}
 
 ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL}
