@@ -46,7 +46,7 @@ from orderlake.sources import (  # noqa: E402
 from orderlake.sources.work import new_work_folder, shared_folder  # noqa: E402
 
 try:
-    from orderlake.llm import queries as corpus  # noqa: E402
+    import orderlake.llm.queries as corpus  # noqa: E402
 except ModuleNotFoundError as error:
     # The corpus operators can be taken out; only their own absence is passed over.
     if not (error.name or "").startswith("orderlake.llm"):
