@@ -240,13 +240,14 @@ def _pairs(ids: DataFrame, one: str, other: str) -> DataFrame:
     )
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
+def near_groups(docs: DataFrame, with_row: bool = False) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
     Links reach from document to document, and ``component_id`` is the smallest
     doc_id reached. Documents without words are linked with nothing and stay.
     Rows that repeat an id and a text share a component; NULL ids have no smallest id of
     their own and take that of their component, if any. No rows give no rows.
+    ``with_row`` adds ``some_doc``, which names a row by its id and text.
     """
     work = Work(docs.sparkSession)
     docs = docs.select("doc_id", "text")
@@ -267,7 +268,8 @@ def near_groups(docs: DataFrame) -> DataFrame:
         if not more.isEmpty():
             links = links.unionByName(more)
             groups = connected(links, work)
-    return _labelled(sketched, sets, groups, work)
+    found = _labelled(sketched, sets, groups, work)
+    return found if with_row else found.drop("some_doc")
 
 
 def _distinct_sets(sketched: DataFrame, work: Work) -> DataFrame:
@@ -347,11 +349,27 @@ def _labelled(
         "own",
     )
     component = F.coalesce("component_id", "doc_id")
-    return sketched.select("doc_id", F.col("n").alias("n_shingles"), "node").join(
+    return sketched.select("doc_id", "some_doc", F.col("n").alias("n_shingles"), "node").join(
         own, "node", "left"
     ).select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
+        "some_doc",
     )
+
+
+def without_near_duplicates(docs: DataFrame) -> DataFrame:
+    """``docs`` with all its columns, one document of each component.
+
+    Rows that share the id of the document that stays and are not linked with it stay too, as each
+    is the smallest of its own component.
+    """
+    work = Work(docs.sparkSession)
+    groups = work.table(near_groups(docs, with_row=True), "groups")
+    gone = groups.where(~F.col("kept")).select(
+        F.col("doc_id").alias("_gone_id"), F.col("some_doc").alias("_gone_doc")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (_row_key() == F.col("_gone_doc"))
+    return docs.join(gone.distinct(), same, "left_anti")

@@ -9,13 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.llm.exact_dedup import exact_groups
+from orderlake.llm.language import identify
+from orderlake.llm.mixing import mix
 from orderlake.llm.near_dedup import near_groups
+from orderlake.llm.pieces import Pieces, decode, encode
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The tokenizer files are given by name; where they lie is the business of their package.
+PIECES = "piece_bpe_32k.model"
+
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the driver. Python workers of a local session find this package by the path."""
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
@@ -35,14 +47,82 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).drop("copies")
+
+
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and the digest of what they decode to."""
+    pieces = Pieces.from_file(tokenizer_file(PIECES))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decode(encode(docs, pieces).drop("text"), pieces).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        "ids_crc32",
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 OP1_SQL = """
     select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
            doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
     from documents window same as (partition by coalesce(text, ''))
 """
 
+OP6_SQL = r"""
+    with rows as (
+        select doc_id, source,
+               cast(length(regexp_replace(regexp_replace(coalesce(text, ''),
+                    '[^\x20\x09-\x0D]+', 'w', 'g'), '[\x20\x09-\x0D]+', '', 'g')) as bigint) as size,
+               (cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 13) as bigint) + 0.5::double)
+                   / 4503599627370496::double as u
+        from documents),
+    sizes as (select source, cast(sum(size) as bigint) as source_size from rows group by source),
+    ranked as (
+        select *, case row_number() over (order by source nulls last) % 3
+                       when 1 then 3 when 2 then 1 else 2 end as weight
+        from sizes),
+    levels as (
+        select *, row_number() over (order by source_size::double / weight, source) as nth,
+               (1.5::double * sum(source_size) over ()
+                   - coalesce(sum(2 * source_size) over (
+                         order by source_size::double / weight, source
+                         rows between unbounded preceding and 1 preceding), 0))
+                  / sum(weight) over (order by source_size::double / weight, source
+                         rows between current row and unbounded following) as level
+        from ranked),
+    shares as (
+        select source, source_size,
+               case when 2 * source_size <= level * weight then (2 * source_size)::double
+                    else weight * arg_min(level, nth) filter (2 * source_size > level * weight)
+                                      over () end as target
+        from levels),
+    parts as (
+        select *, least(floor(case when source_size > 0 then target / source_size else 0 end), 2) as whole
+        from shares),
+    drawn as (
+        select r.*, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size as rest
+        from rows r join parts p on r.source is not distinct from p.source),
+    odds as (
+        select *, u / (1 - u) / (share / (1 - share)) as rank
+        from (select *, least(greatest(rest / greatest(source_size, 1)::double, 1e-9), 1 - 1e-9) as share
+              from drawn)),
+    summed as (
+        select *, sum(size) over (partition by source
+                                  order by rank, coalesce(doc_id, -9223372036854775808), size) as until
+        from odds)
+    select doc_id, size, source_size, target,
+           cast(size * (whole + case when rest > 0 and (until <= rest
+                or until - rest <= rest - (until - size)) then 1 else 0 end) as bigint) as taken
+    from summed
+"""
+
 QUERIES: dict[str, Query] = {
-    query.__name__: query for query in (op1_exact_dedup, op3_near_dedup)
+    query.__name__: query for query in (op1_exact_dedup, op3_near_dedup, op4_language, op6_mixing, op10_pieces)
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op6_mixing": OP6_SQL}
