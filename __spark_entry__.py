@@ -46,10 +46,11 @@ from orderlake.sources import (  # noqa: E402
 from orderlake.sources.work import new_work_folder, shared_folder  # noqa: E402
 
 try:
+    import corpus_pipeline  # noqa: E402
     import orderlake.llm.queries as corpus  # noqa: E402
 except ModuleNotFoundError as error:
     # The corpus operators can be taken out; only their own absence is passed over.
-    if not (error.name or "").startswith("orderlake.llm"):
+    if not (error.name or "").startswith(("orderlake.llm", "corpus_pipeline")):
         raise
     corpus = None
 
@@ -338,11 +339,16 @@ def queries() -> dict[str, Query]:
     for table in ("orders", "order_items", "shipments"):
         found[f"duplicate_count_{table}_spread"] = partial(_duplicates, table, FORCED)
     found |= {f"{name}_spread": partial(join, FORCED) for name, join in JOINS.items()}
-    return found | (corpus.QUERIES if corpus else {})
+    if corpus:
+        found |= corpus.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements() | (corpus.ORACLE_SQL if corpus else {})
+    if corpus is None:
+        return oracle.statements()
+    whole = corpus_pipeline.ORACLE_SQL
+    return oracle.statements() | corpus.ORACLE_SQL | ({"pipeline": whole} if whole else {})
 
 
 def entry(spark: SparkSession) -> DataFrame:
