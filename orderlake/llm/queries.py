@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlake.llm import quality_rules, secret_scan, url_rules
 from orderlake.llm.exact_dedup import exact_groups
 from orderlake.llm.language import identify
 from orderlake.llm.mixing import mix
@@ -19,6 +20,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The tokenizer files are given by name; where they lie is the business of their package.
 PIECES = "piece_bpe_32k.model"
 
+URL_RULES = (
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+)
+
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -55,6 +64,31 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of spans of each fixed pattern, and the places of these and of all spans."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+
+    def count(kind: str):
+        nth = secret_scan.KINDS.index(kind)
+        return F.size(F.filter("base", lambda s: s["nth"] == nth)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(count, ("assign", "access", "hex")),
+        F.sha2(secret_scan.joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.joined(F.col("spans")).alias("spans"),
+    )
+
+
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = url_rules.rules_table(spark, URL_RULES)
+    return url_rules.judge(table(spark, sf_dir, "pages"), rules)
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, and the digest of what they decode to."""
     pieces = Pieces.from_file(tokenizer_file(PIECES))
@@ -121,8 +155,118 @@ OP6_SQL = r"""
     from summed
 """
 
+OP8_SQL = r"""
+    with rules(rule_host, rule_path, rule_verdict) as (
+        values ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+               ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+    rests as (
+        select row_number() over () as nth, page_id,
+               case when contains(url, '://') then substr(url, position('://' in url) + 3) else '' end as rest
+        from pages),
+    parts as (
+        select nth, page_id,
+               translate(regexp_extract(rest, '^[^/?#]*'),
+                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+               regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+        from rests),
+    fits as (
+        select nth, arg_max(rule_host || rule_path, length(rule_host || rule_path)) as rule,
+               arg_max(rule_verdict, length(rule_host || rule_path)) as verdict
+        from parts join rules
+          on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+        group by nth)
+    select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict
+    from parts left join fits using (nth)
+"""
+
+OP9_SQL = r"""
+    with texts as (
+        select row_number() over () as nth, doc_id, lang, source, coalesce(text, '') as text
+        from documents),
+    parts as (
+        select nth, doc_id, lang, source, text,
+               regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words,
+               list_filter(string_split(text, chr(10)),
+                           lambda line: regexp_matches(line, '[^\x20\x09-\x0D]')) as lines
+        from texts),
+    windows as (
+        select nth, i, words[i:i + 2] as w
+        from (select nth, words, unnest(range(1, len(words) - 1)) as i from parts where len(words) > 2)),
+    twice as (
+        select nth, i from windows
+        qualify count(*) over (partition by nth, w) > 1),
+    covered as (
+        select nth, count(distinct i + k) as n_repeat_words
+        from twice, (values (0), (1), (2)) as reach(k) group by nth),
+    counted as (
+        select p.nth, doc_id, lang, source, cast(len(words) as bigint) as n_words,
+               cast(coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) as bigint) as word_chars,
+               cast(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+               cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines,
+               cast(coalesce(n_repeat_words, 0) as bigint) as n_repeat_words,
+               len(lines) as n_lines
+        from parts p left join covered using (nth)),
+    judged as (
+        select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from counted),
+    measures as (
+        select nth, lang, source, base_failed, unnest([
+            {'measure': 'word_length', 'margin': 3.0::double, 'value': word_chars / greatest(n_words, 1)::double},
+            {'measure': 'symbols', 'margin': 0.15::double, 'value': n_symbols / greatest(word_chars, 1)::double},
+            {'measure': 'dup_lines', 'margin': 0.3::double, 'value': n_dup_lines / greatest(n_lines, 1)::double},
+            {'measure': 'repeats', 'margin': 0.3::double, 'value': n_repeat_words / greatest(n_words, 1)::double}],
+            recursive := true)
+        from judged),
+    buckets as (
+        select lang, source, measure, margin,
+               case when value <= 0 then 0.0::double
+                    else 2 / (1.02::double + 1) * pow(1.02::double, ceil(ln(value) / ln(1.02::double))) end as held
+        from measures where not base_failed),
+    own as (
+        select lang, source, measure, margin, count(*) as size,
+               quantile_disc(held, 0.25) as q1, quantile_disc(held, 0.75) as q3
+        from buckets group by all),
+    by_lang as (
+        select lang, measure, margin, count(*) as size,
+               quantile_disc(held, 0.25) as q1, quantile_disc(held, 0.75) as q3
+        from buckets group by all),
+    whole as (
+        select measure, margin, quantile_disc(held, 0.25) as q1, quantile_disc(held, 0.75) as q3
+        from buckets group by all),
+    chosen as (
+        select m.nth, m.value, m.margin,
+               case when o.size >= 200 then o.q1 when l.size >= 200 then l.q1 else w.q1 end as q1,
+               case when o.size >= 200 then o.q3 when l.size >= 200 then l.q3 else w.q3 end as q3
+        from measures m
+        left join own o on m.lang is not distinct from o.lang
+                       and m.source is not distinct from o.source and m.measure = o.measure
+        left join by_lang l on m.lang is not distinct from l.lang and m.measure = l.measure
+        left join whole w on m.measure = w.measure),
+    within as (
+        select nth, bool_and(coalesce(value between q1 - greatest((q3 - q1) * 6, margin)
+                                                and q3 + greatest((q3 - q1) * 6, margin), true)) as within
+        from chosen group by nth)
+    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           not base_failed and within as kept
+    from judged join within using (nth)
+"""
+
 QUERIES: dict[str, Query] = {
-    query.__name__: query for query in (op1_exact_dedup, op3_near_dedup, op4_language, op6_mixing, op10_pieces)
+    query.__name__: query
+    for query in (
+        op1_exact_dedup,
+        op3_near_dedup,
+        op4_language,
+        op6_mixing,
+        op7_secrets,
+        op8_url_rules,
+        op9_quality_rules,
+        op10_pieces,
+    )
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op6_mixing": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_exact_dedup": OP1_SQL,
+    "op6_mixing": OP6_SQL,
+    "op8_url_rules": OP8_SQL,
+    "op9_quality_rules": OP9_SQL,
+}
