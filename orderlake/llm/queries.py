@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import quality_rules, secret_scan, url_rules
+from orderlake.llm import quality_rules, secret_scan, toxicity, url_rules
 from orderlake.llm.exact_dedup import exact_groups
 from orderlake.llm.language import identify
 from orderlake.llm.mixing import mix
@@ -52,6 +52,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
 
@@ -254,6 +258,7 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op1_exact_dedup,
+        op2_toxicity,
         op3_near_dedup,
         op4_language,
         op6_mixing,
