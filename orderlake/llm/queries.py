@@ -14,11 +14,13 @@ from orderlake.llm.language import identify
 from orderlake.llm.mixing import mix
 from orderlake.llm.near_dedup import near_groups
 from orderlake.llm.pieces import Pieces, decode, encode
+from orderlake.llm.token_files import round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The tokenizer files are given by name; where they lie is the business of their package.
 PIECES = "piece_bpe_32k.model"
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 URL_RULES = (
     ("com", "/", "allow"),
@@ -64,6 +66,11 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(tokenizer_file(WORD_TOKENIZER), encoding="utf-8") as file:
+        return round_trip(table(spark, sf_dir, "documents"), file.read())
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("copies")
 
@@ -261,6 +268,7 @@ QUERIES: dict[str, Query] = {
         op2_toxicity,
         op3_near_dedup,
         op4_language,
+        op5_token_files,
         op6_mixing,
         op7_secrets,
         op8_url_rules,
