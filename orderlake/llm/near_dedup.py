@@ -7,8 +7,9 @@ gives an estimate of the similarity, which drops most false candidates; the rest
 is confirmed on full sets.
 
 Candidates of a bucket are tried in rounds: first against two of its members,
-then against another member per bucket, and at last, across the components that
-are left in a bucket, all against all. A large group of near copies is one component after the
+then against another member per bucket, and at last across the components that are left in a
+bucket: all against all in a small one, and in a large one those that share one of their
+rarest shingles, as linked sets must. A large group of near copies is mostly one component after the
 first rounds, so its pairs are never all formed. No bucket and no number of
 partners is capped.
 """
@@ -20,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.llm.binary_fuse import mixed
@@ -37,6 +38,10 @@ BANDS = 48
 REGISTERS = BAND * BANDS
 # Similarity of linked documents, as a fraction.
 SHARED, OF = 75, 100
+# A bucket up to this size gives all its pairs at once.
+SMALL_BUCKET = 12
+# Ratio of the limits of a class of set sizes.
+CLASS = 1.05
 # An estimate is off by less than this many of its standard errors.
 ERRORS = 6.0
 
@@ -204,20 +209,24 @@ class Search:
             .distinct()
         )
 
+    def texts(self, nodes: DataFrame, name: str) -> DataFrame:
+        """``(node, text)``: a text that has the set, for each of ``nodes``."""
+        wanted = self.sets.join(nodes, "node", "left_semi").select("node", "some_doc")
+        found = (
+            self.docs.select(_row_key().alias("some_doc"), whole_text().alias("text"))
+            .join(wanted, "some_doc")
+            .groupBy("node")
+            .agg(F.first("text").alias("text"))
+        )
+        return self.work.table(found, f"texts-{name}")
+
     def linked(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs of nodes that are linked by their full sets."""
         likely = self.work.table(self.likely(pairs), f"likely-{name}")
         if likely.isEmpty():
             return likely
         ends = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-        wanted = self.sets.join(ends, "node", "left_semi").select("node", "some_doc")
-        texts = self.work.table(
-            self.docs.select(_row_key().alias("some_doc"), whole_text().alias("text"))
-            .join(wanted, "some_doc")
-            .groupBy("node")
-            .agg(F.first("text").alias("text")),
-            f"texts-{name}",
-        )
+        texts = self.texts(ends, name)
         found = (
             likely.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
@@ -260,11 +269,11 @@ def near_groups(docs: DataFrame, with_row: bool = False) -> DataFrame:
     stars = members.select("id", F.explode(F.array("low", "high")).alias("head"))
     links = search.linked(_pairs(stars, "id", "head"), "stars")
     groups = connected(links, work)
-    for name, pairs in (("heads", _to_heads), ("rest", _across)):
+    for name, pairs in (("heads", _to_heads), ("rest", _rest)):
         mixed_buckets = _mixed(members, sets, groups, work)
         if mixed_buckets.isEmpty():
             break
-        more = search.linked(pairs(mixed_buckets), name)
+        more = search.linked(pairs(mixed_buckets, search), name)
         if not more.isEmpty():
             links = links.unionByName(more)
             groups = connected(links, work)
@@ -320,7 +329,7 @@ def _mixed(members: DataFrame, sets: DataFrame, groups: DataFrame, work: Work) -
     return work.table(named.join(work.table(spread, "spread"), "bucket", "left_semi"), "mixed")
 
 
-def _to_heads(members: DataFrame) -> DataFrame:
+def _to_heads(members: DataFrame, search: Search) -> DataFrame:
     """Pairs of each id with one id per bucket, another in every bucket."""
     heads = members.groupBy("bucket").agg(
         F.min(F.struct(F.xxhash64("bucket", "id"), "id", "label")).alias("head")
@@ -329,10 +338,106 @@ def _to_heads(members: DataFrame) -> DataFrame:
     return _pairs(met.select("id", F.col("head.id").alias("other")), "id", "other")
 
 
+def _rest(members: DataFrame, search: Search) -> DataFrame:
+    """All pairs of ids that share a bucket, lie in different components and may be linked.
+
+    A small bucket gives all its pairs. The members of large ones are paired where the rarest shingles
+    of both meet, which no linked pair avoids.
+    """
+    work = search.work
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+    small = members.join(work.table(sizes.where(F.col("size") <= SMALL_BUCKET), "small"), "bucket", "left_semi")
+    large = members.join(work.table(sizes.where(F.col("size") > SMALL_BUCKET), "large"), "bucket", "left_semi")
+    return _across(small).union(_rare_pairs(large, search)).distinct()
+
+
 def _across(members: DataFrame) -> DataFrame:
-    """All pairs of ids in one bucket and in different components."""
+    """All pairs of ids in one bucket with different labels."""
     other = members.select("bucket", F.col("id").alias("other"), F.col("label").alias("its"))
-    return _pairs(members.join(other, "bucket").where(F.col("label") < F.col("its")), "id", "other")
+    met = members.join(other, "bucket")
+    return _pairs(met.where(F.col("label") < F.col("its")), "id", "other")
+
+
+def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at = 0
+        for sets in sets_of(batch.column("text")):
+            lists = [s.view(np.int64) for s in sets]
+            ends = np.cumsum([0, *map(len, lists)])
+            hashes = pa.ListArray.from_arrays(
+                pa.array(ends, pa.int32()), pa.array(np.concatenate(lists))
+            )
+            part = batch.slice(at, len(sets))
+            at += len(sets)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("id"), part.column("label"), hashes], ["id", "label", "hashes"]
+            )
+
+
+def _size_class(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / F.lit(float(np.log(CLASS))))
+
+
+def _rare_pairs(members: DataFrame, search: Search) -> DataFrame:
+    """Pairs of ids of different components that share one of their rarest shingles.
+
+    Sets of n and m shingles can only be linked when they share a certain part of n + m, so with
+    the shingles of both in one order, rare ones first, they meet before that part begins.
+    The order of a set is cut for each class of sizes that a partner may have.
+    """
+    work = search.work
+    chosen = members.select("id", "label").distinct()
+    named = work.table(chosen.join(search.sets.select("id", "node"), "id"), "large")
+    texts = search.texts(named.select("node").distinct(), "large")
+    shingled = work.table(
+        named.join(texts, "node").select("id", "label", "text")
+        .mapInArrow(_shingled, "id long, label binary, hashes array<long>"),
+        "shingled",
+    )
+    each = shingled.select("id", "label", F.size("hashes").alias("n"), F.explode("hashes").alias("h"))
+    common = work.table(
+        each.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "common"
+    )
+    # Shingles that no other set has stand first in the order and meet nobody: their number is enough.
+    ordered = (
+        each.join(common, "h")
+        .groupBy("id", "label", "n")
+        .agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("shared"))
+    )
+    n, part = F.col("n"), SHARED / (SHARED + OF)
+    own = _size_class(n)
+    classes = F.sequence(
+        _size_class(F.greatest(F.floor(n * (SHARED / OF)), F.lit(1))) - 1,
+        _size_class(F.ceil(n * (OF / SHARED))) + 1,
+    )
+    partner = F.floor(F.pow(F.lit(CLASS), F.col("partner")))
+    reach = n - F.ceil((n + partner) * part - 1e-6) + 1
+    alone = n - F.size("shared")
+    keys = (
+        ordered.select("id", "label", "n", "shared", own.alias("own"), F.explode(classes).alias("partner"))
+        .withColumn("length", F.greatest(reach - alone, F.lit(0)).cast("int"))
+        .select(
+            "id", "label", "n", "own", alone.alias("alone"),
+            F.least("own", "partner").alias("low"), F.greatest("own", "partner").alias("high"),
+            F.posexplode(F.slice("shared", F.lit(1), F.col("length"))["h"]).alias("at", "h"),
+        )
+        .withColumn("at", F.col("at") + F.col("alone"))
+        .drop("alone")
+    )
+    keys = work.table(keys, "keys")
+    meet = ["low", "high", "h"]
+    # One of a pair has the lower class of sizes, the other the higher.
+    other = keys.where("own = high").select(
+        *meet, F.col("id").alias("other"), F.col("label").alias("its"),
+        F.col("n").alias("m"), F.col("at").alias("there"),
+    )
+    once = F.when(F.col("low") == F.col("high"), F.col("label") < F.col("its"))
+    # What the exact sizes of both ask for is stricter than what their classes do.
+    common = F.ceil((n + F.col("m")) * part - 1e-6)
+    early = (F.col("at") <= n - common) & (F.col("there") <= F.col("m") - common)
+    met = keys.where("own = low").join(other, meet)
+    met = met.where(early & once.otherwise(F.col("label") != F.col("its")))
+    return _pairs(met, "id", "other")
 
 
 def _labelled(
