@@ -26,24 +26,26 @@ from orderlake.functions import (  # noqa: E402
     normalize_blank_strings,
     parsed_name,
     safe_divide,
+    type_numbers,
 )
 from orderlake.operators.duplicates import COUNT, add_duplicate_count  # noqa: E402
 from orderlake.operators.quality import prepare, reject_summary, split  # noqa: E402
 from orderlake.operators.rules import SPECS  # noqa: E402
-from orderlake.operators.sizing import fit_shuffles  # noqa: E402
 from orderlake.operators.skew import DEFAULT_POLICY, SkewPolicy  # noqa: E402
 from orderlake.plans import checks, curated, dashboard, reports  # noqa: E402
 from orderlake.plans.pipeline import run_pipeline  # noqa: E402
-from orderlake.schemas import CURATED_INPUTS, TABLES  # noqa: E402
+from orderlake.schemas import CURATED_INPUTS, ORDER_ANALYTICS_COLUMNS, TABLES  # noqa: E402
 from orderlake.sources import (  # noqa: E402
     CURATED,
     CURATED_TABLE,
     PROCESSED,
     RAW_ZONE,
     REJECTED,
+    read_raw,
     read_zone,
+    zone_path,
 )
-from orderlake.sources.work import new_work_folder, shared_folder  # noqa: E402
+from orderlake.sources.work import new_work_folder  # noqa: E402
 
 try:
     import corpus_pipeline  # noqa: E402
@@ -59,7 +61,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 CLOCKS = ("ingestion_timestamp", "rejected_timestamp", "curated_timestamp")
 
 # Makes many keys of the test tables hot.
-FORCED = SkewPolicy(task_bytes=-1, lookup_bytes=-1, rows_per_slot=3)
+FORCED = SkewPolicy(rows_per_slot=3, keys_per_partition=10**6, lookup_bytes=-1)
 
 SLICERS = dashboard.Slicers(
     warehouse_city=["NATION_1", "NATION_7", "NATION_12"],
@@ -71,7 +73,7 @@ SLICERS = dashboard.Slicers(
 
 
 class Zones:
-    """The zones of one set of driver tables."""
+    """The zones of one set of driver tables, made by the pipeline from CSV files of them."""
 
     _written: dict[tuple, str] = {}
     _lock = threading.Lock()
@@ -79,14 +81,16 @@ class Zones:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.base = self._base() if shared_folder(spark) else None
+        self.base = self._base()
 
     def _base(self) -> str:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, self._versions())
         with self._lock:
             if key not in self._written:
                 base = new_work_folder(self.spark)
-                run_pipeline(self.spark, raw_tables(self.spark, self.sf_dir), base)
+                for table, raw in raw_tables(self.spark, self.sf_dir).items():
+                    as_csv(raw).csv(zone_path(base, RAW_ZONE, table), header=True)
+                run_pipeline(self.spark, base, base)
                 self._written[key] = base
             return self._written[key]
 
@@ -99,24 +103,33 @@ class Zones:
         )
 
     def processed(self, table: str) -> DataFrame:
-        if self.base:
-            return read_zone(self.spark, self.base, PROCESSED, table)
-        return split(self.raw(table), SPECS[table])[0]
+        return self._typed(read_zone(self.spark, self.base, PROCESSED, table), table)
 
     def rejected(self, table: str) -> DataFrame:
-        if self.base:
-            return read_zone(self.spark, self.base, REJECTED, table)
-        return split(self.raw(table), SPECS[table])[1]
+        return self._typed(read_zone(self.spark, self.base, REJECTED, table), table)
+
+    def _typed(self, df: DataFrame, table: str) -> DataFrame:
+        """Numbers of the types that the driver tables have, for comparison."""
+        kinds = {f.name: f.dataType for f in self.raw(table).schema if f.dataType.typeName() != "string"}
+        return df.withColumns({c: F.col(c).cast(kind) for c, kind in kinds.items()})
+
+    def csv(self, table: str) -> DataFrame:
+        """The raw rows as the CSV scan reads them, with typed numbers."""
+        read = type_numbers(read_raw(self.spark, self.base, table), SPECS[table].schema)
+        return self._typed(read, table).select(*self.raw(table).columns)
 
     def raw(self, table: str) -> DataFrame:
         return raw_table(self.spark, self.sf_dir, table)
 
     def curated(self) -> DataFrame:
-        if self.base:
-            wide = read_zone(self.spark, self.base, CURATED, CURATED_TABLE)
-            fit_shuffles(self.spark, [wide])
-            return wide
-        return curated.build_order_analytics(*map(self.processed, CURATED_INPUTS))
+        wide = read_zone(self.spark, self.base, CURATED, CURATED_TABLE)
+        return wide.withColumn("quantity", F.col("quantity").cast("int"))
+
+
+def as_csv(raw: DataFrame):
+    """A writer that keeps blanks around values."""
+    kept = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    return raw.write.options(**kept)
 
 
 def comparable(df: DataFrame, digits: dict[str, int] | None = None) -> DataFrame:
@@ -152,6 +165,16 @@ def _rejected(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(split(raw_table(spark, sf_dir, table), SPECS[table])[1])
 
 
+def _zone(zone: str, table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that the pipeline wrote into a zone."""
+    rows = getattr(Zones(spark, sf_dir), zone)(table)
+    return comparable(rows.drop("source_file"))
+
+
+def _csv(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Zones(spark, sf_dir).csv(table)
+
+
 def _reject_summary(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return reject_summary(split(raw_table(spark, sf_dir, table), SPECS[table])[1])
 
@@ -246,9 +269,15 @@ KPIS = REVENUE | {
     "missing_shipment_ratio": 6,
 }
 
+
+def _sliced(report: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+    return lambda oa: report(dashboard.apply_slicers(oa, SLICERS))
+
+
 # name: report and the digits its sums are compared at
 REPORTS: dict[str, tuple[Callable[[DataFrame], DataFrame], dict[str, int]]] = {
-    "preview": (reports.preview, {}),
+    # In an order that makes the ten rows the same everywhere.
+    "preview": (lambda oa: reports.preview(oa.orderBy(*ORDER_ANALYTICS_COLUMNS)), {}),
     "total_revenue": (reports.total_revenue, REVENUE),
     "total_orders": (reports.total_orders, {}),
     "revenue_by_category": (reports.revenue_by_category, REVENUE),
@@ -267,10 +296,10 @@ REPORTS: dict[str, tuple[Callable[[DataFrame], DataFrame], dict[str, int]]] = {
     ),
     "kpi_cards": (dashboard.kpi_cards, KPIS),
     "kpi_cards_sliced": (partial(dashboard.kpi_cards, slicers=SLICERS), KPIS),
-    "category_sliced": (
-        lambda oa: reports.category_performance(dashboard.apply_slicers(oa, SLICERS)),
-        {},
-    ),
+    "category_sliced": (_sliced(reports.category_performance), {}),
+    "month_sliced": (_sliced(reports.revenue_by_month_name), REVENUE),
+    "status_sliced": (_sliced(reports.orders_by_status), {}),
+    "segment_sliced": (_sliced(reports.revenue_by_segment), REVENUE),
     "dq_total_rows": (checks.total_rows, {}),
     "dq_missing_shipment_rows": (checks.missing_shipment_rows, {}),
     "dq_missing_shipment_by_status": (checks.missing_shipment_by_status, {}),
@@ -315,7 +344,8 @@ def dq_reconcile_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def queries() -> dict[str, Query]:
+def own_queries() -> dict[str, Query]:
+    """All queries but those on corpora."""
     found: dict[str, Query] = {}
     for table in TABLES:
         found[f"raw_{table}"] = partial(_raw, table)
@@ -323,6 +353,9 @@ def queries() -> dict[str, Query]:
         found[f"duplicate_count_{table}"] = partial(_duplicates, table, DEFAULT_POLICY)
         found[f"processed_{table}"] = partial(_processed, table)
         found[f"rejected_{table}"] = partial(_rejected, table)
+        found[f"zone_processed_{table}"] = partial(_zone, "processed", table)
+        found[f"zone_rejected_{table}"] = partial(_zone, "rejected", table)
+        found[f"csv_{table}"] = partial(_csv, table)
         found[f"reject_summary_{table}"] = partial(_reject_summary, table)
     found |= {name: partial(join, DEFAULT_POLICY) for name, join in JOINS.items()}
     found |= {name: partial(_report, name) for name in REPORTS}
@@ -339,11 +372,15 @@ def queries() -> dict[str, Query]:
     for table in ("orders", "order_items", "shipments"):
         found[f"duplicate_count_{table}_spread"] = partial(_duplicates, table, FORCED)
     found |= {f"{name}_spread": partial(join, FORCED) for name, join in JOINS.items()}
-    if corpus:
-        found |= corpus.QUERIES | {"pipeline": corpus_pipeline.run}
     return found
 
 
+def queries() -> dict[str, Query]:
+    if corpus is None:
+        return own_queries()
+    return own_queries() | corpus.QUERIES | {"pipeline": corpus_pipeline.run}
+
+
 def oracle_sql() -> dict[str, str]:
     if corpus is None:
         return oracle.statements()

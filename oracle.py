@@ -261,13 +261,25 @@ _REPORTS = {
     "revenue_month_over_month": """
         select cast(month as varchar) as month, round(total, 2) as total_revenue,
                round(before, 2) as previous_revenue, round(total - before, 2) as revenue_change
-        from (select month, total, lag(total) over (order by month) as before
+        from (select month, total,
+                     case when lag(month) over (order by month) + interval 1 month = month
+                          then lag(total) over (order by month) end as before
               from (select cast(date_trunc('month', order_date) as date) as month,
                            sum(line_revenue) as total from oa group by 1))""",
     "kpi_cards": _kpis(),
     "kpi_cards_sliced": _kpis(SLICED),
     "category_sliced": _performance_by("category").replace("from oa", f"from oa where {SLICED}"),
 }
+_REPORTS |= {
+    f"{name}_sliced": _REPORTS[report].replace("from oa", f"from oa where {SLICED}")
+    for name, report in {
+        "month": "revenue_by_month_name",
+        "status": "orders_by_status",
+        "segment": "revenue_by_segment",
+    }.items()
+}
+_REPORTS["preview"] = f"""{_WIDE}
+    order by {', '.join(f'{c} nulls first' for c in CURATED)} limit 10"""
 
 _CHECKS = {
     "dq_total_rows": "select count(*) as total_rows from oa",
@@ -362,6 +374,12 @@ def _per_table() -> dict[str, str]:
         queries[f"rejected_{t}"] = (
             f"select {', '.join(_columns(t))}, rejection_reason from rejected_{t}"
         )
+        for zone in ("processed", "rejected"):
+            queries[f"zone_{zone}_{t}"] = queries[f"{zone}_{t}"]
+        # CSV does not tell empty text from none.
+        known = TEXT[t].split()
+        columns = (f"nullif({c}, '') as {c}" if c in known else c for c in _columns(t))
+        queries[f"csv_{t}"] = f"select {', '.join(columns)} from raw_{t}"
         queries[f"reject_summary_{t}"] = f"""
             select rejection_reason, count(*) as rejected_rows from rejected_{t}
             group by rejection_reason"""

@@ -2,6 +2,7 @@ from orderlake.functions.cleaning import (
     normalize_blank_strings,
     parse_dates,
     parsed_name,
+    text_name,
     type_numbers,
 )
 from orderlake.functions.numeric import dax_divide, delivery_days, line_revenue, safe_divide
@@ -14,5 +15,6 @@ __all__ = [
     "parse_dates",
     "parsed_name",
     "safe_divide",
+    "text_name",
     "type_numbers",
 ]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,8 +21,20 @@ def normalize_blank_strings(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     )
 
 
+def text_name(column: str) -> str:
+    return f"_text_{column}"
+
+
+def _number(column: str, kind: T.DataType) -> Column:
+    """Text as a number; whole numbers may be written with a decimal point."""
+    if not isinstance(kind, T.IntegralType):
+        return F.col(column).try_cast(kind)
+    exact = F.col(column).try_cast("decimal(38, 6)")
+    return F.when(exact == F.floor(exact), exact.try_cast(kind))
+
+
 def type_numbers(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Give numeric columns that arrived as text their declared type.
+    """Give numeric columns that arrived as text their declared type; ``_text_<column>`` keeps the text.
 
     Text that is no number becomes NULL, so a rule reports it as missing.
     Comparing such text with a number would raise, or silently yield NULL and
@@ -34,7 +46,8 @@ def type_numbers(df: DataFrame, schema: T.StructType) -> DataFrame:
         for f in schema
         if isinstance(f.dataType, T.NumericType) and arrived.get(f.name) == "string"
     ]
-    return df.withColumns({f.name: F.col(f.name).try_cast(f.dataType) for f in text})
+    kept = df.withColumns({text_name(f.name): F.col(f.name) for f in text})
+    return kept.withColumns({f.name: _number(f.name, f.dataType) for f in text})
 
 
 def parsed_name(column: str) -> str:

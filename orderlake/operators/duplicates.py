@@ -4,7 +4,7 @@ A window over the key moves every row to the task of its key, so one hot key,
 or all the rows without a key, end up in a single task. That is fine for a
 table a task can hold. In a larger one the keys are counted first, with a
 map-side combine: few repeated keys are broadcast to the rows, and of many only
-the hot ones are, whose rows then need not meet in one task.
+the hot ones are, whose rows then go past the window.
 """
 
 from __future__ import annotations
@@ -12,13 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlake.operators.sizing import sized
 from orderlake.operators.skew import (
     DEFAULT_POLICY,
-    SLOT,
     SkewPolicy,
     can_be_hot,
     hot_counts,
-    own_slot,
     with_hot,
 )
 
@@ -45,16 +44,13 @@ def shuffled_counts(
 ) -> DataFrame:
     """Add the duplicate count for any number of repeated keys.
 
-    Rows with a hot key get their count from the short broadcast list and are
-    spread over slots 1 and up. All other rows are counted together in slot 0.
+    Rows with a hot key, or with no key where that is hot, get their count from the short broadcast list and
+    are not shuffled at all. All other rows are counted together.
     """
-    hot = hot_counts(repeated, key, policy).withColumnRenamed("_rows", "_hot_rows")
-    slot = F.when(F.col("_slots").isNull(), 0).otherwise(1 + own_slot("_slots"))
-    placed = with_hot(df, key, hot).withColumn(SLOT, slot)
-    together = F.count(F.lit(1)).over(Window.partitionBy(key, SLOT))
-    return placed.withColumn(COUNT, F.coalesce("_hot_rows", together)).drop(
-        "_hot_rows", "_slots", SLOT
-    )
+    hot = hot_counts(repeated, key, policy).drop("_slots").withColumnRenamed("_rows", COUNT)
+    rest = sized(with_hot(df, key, hot.drop(COUNT), "left_anti"), [key], [df])
+    together = F.count(F.lit(1)).over(Window.partitionBy(key))
+    return rest.withColumn(COUNT, together).unionByName(with_hot(df, key, hot, "inner"))
 
 
 def add_duplicate_count(

@@ -18,6 +18,7 @@ from orderlake.functions import (
     normalize_blank_strings,
     parse_dates,
     parsed_name,
+    text_name,
     type_numbers,
 )
 from orderlake.operators.duplicates import COUNT, add_duplicate_count
@@ -77,7 +78,8 @@ def judge(raw: DataFrame, spec: TableSpec, policy: SkewPolicy = DEFAULT_POLICY)
 
 
 def _helpers(spec: TableSpec) -> list[str]:
-    return [COUNT, *(parsed_name(c) for c in spec.dates)]
+    texts = [text_name(f.name) for f in spec.schema]
+    return [COUNT, *(parsed_name(c) for c in spec.dates), *texts]
 
 
 def valid_rows(judged: DataFrame, spec: TableSpec) -> DataFrame:
@@ -93,9 +95,14 @@ def valid_rows(judged: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def rejected_rows(judged: DataFrame, spec: TableSpec) -> DataFrame:
-    """Rows that break a rule, as they came, with every reason and the time."""
+    """Rows that break a rule, with every reason and the time.
+
+    Numbers that came as text are the text that came.
+    """
+    came = [c for c in spec.schema.fieldNames() if text_name(c) in judged.columns]
     return (
         with_reasons(judged.where(any_broken(spec.rules)), spec.rules)
+        .withColumns({c: F.col(text_name(c)) for c in came})
         .withColumn("rejected_timestamp", F.current_timestamp())
         .drop(*_helpers(spec))
     )

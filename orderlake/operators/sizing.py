@@ -2,35 +2,43 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 PARTITIONS = "spark.sql.shuffle.partitions"
 BYTES_PER_PARTITION = 256 * 1024 * 1024
-MOST_PARTITIONS = 50_000
+
+
+# What Spark plans for data that is no file and whose size it does not know.
+UNKNOWN_BYTES = 2**62
 
 
 def input_bytes(df: DataFrame) -> int:
     """Size of the files that ``df`` reads."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = (leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size()))
-    return sum(int(str(size)) for size in sizes)
+    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return sum(size for size in sizes if size < UNKNOWN_BYTES)
+
+
+def partitions_for(size: int, bytes_per_partition: int = BYTES_PER_PARTITION) -> int:
+    """So many partitions that none takes more of ``size`` bytes than given."""
+    return -(-size // bytes_per_partition)
 
 
-def fit_shuffles(
-    spark: SparkSession,
-    frames: Iterable[DataFrame],
+def sized(
+    df: DataFrame,
+    keys: Sequence[str],
+    inputs: Iterable[DataFrame],
     bytes_per_partition: int = BYTES_PER_PARTITION,
-) -> None:
-    """Raise the number of shuffle partitions of the session to what ``frames`` need.
+) -> DataFrame:
+    """``df`` by ``keys`` in as many partitions as its inputs need, where that is more than the session's.
 
-    Adaptive execution merges partitions that turn out small but never adds
-    any, so the number has to be high enough from the start. It is never
-    lowered. Sorts and aggregations spill, so the upper limit costs no memory.
+    Adaptive execution merges shuffle partitions that turn out small but never adds any.
+    A join or window on the keys reuses these. The session's setting stays as it is.
     """
-    now = spark.conf.get(PARTITIONS)
-    if not now.isdigit():
-        return
-    needed = -(-sum(map(input_bytes, frames)) // bytes_per_partition)
-    spark.conf.set(PARTITIONS, str(max(int(now), min(needed, MOST_PARTITIONS))))
+    needed = partitions_for(sum(map(input_bytes, inputs)), bytes_per_partition)
+    now = df.sparkSession.conf.get(PARTITIONS)
+    if not now.isdigit() or needed <= int(now):
+        return df
+    return df.repartition(needed, *keys)

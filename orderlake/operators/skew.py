@@ -1,43 +1,39 @@
 """Equi-joins that stay balanced when single keys hold a large share of the rows.
 
-A hot key is a key with more than ``rows_per_slot`` rows. Its rows are spread
-over several *slots* and the other side of the join is copied into each of
-them, so the join runs on ``(key, slot)`` and no task has to take a whole hot
-key. Every other key lives in slot 0 and is joined as usual, so results do not
-depend on which keys were found hot.
-
-The slot of a row comes from the id of the partition it is read in. That keeps
-exact copies of a row apart, as hashing the row would not, and a re-run task
-gives its rows the same slot again, as a random number would not.
+The rows of a hot key are spread over several *slots* and the other side of the join is
+copied into each of them, so the join runs on ``(key, slot)`` and no task has to
+take a whole hot key. Every other key lives in slot 0 and is joined as usual, so
+results do not depend on which keys were found hot.
+
+The slot of a row comes from a hash of its row key. That spreads a hot key however its
+rows are scattered over the input, and a re-run task gives its rows the same slot again.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLOT = "_slot"
+CODES = ["_code", "_more_code"]
 
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """When a key counts as hot.
+    """When a key counts as hot: it has more rows than a slot, and more than its share of all rows.
 
-    The list of hot keys is broadcast. ``max_keys`` rows of ``max_key_chars``
-    characters bound it at about 3 MB however large the data grows. Keys beyond the
-    bound are not lost: they stay in slot 0, and as they are outnumbered by
-    ``max_keys`` more frequent ones, each holds under 1/max_keys of the rows.
+    Its share is that of a quarter of an average shuffle partition, so there are at most
+    ``keys_per_partition`` hot keys per partition, by arithmetic. Their list has hash codes
+    and numbers only, and is broadcast.
     """
 
-    # A table up to this size cannot overload a task, even if it were all one key.
-    task_bytes: int = 128 * 1024 * 1024
+    rows_per_slot: int = 1_000_000
+    keys_per_partition: int = 4
     # Lookups up to this size are left to a broadcast join; None takes Spark's threshold.
     lookup_bytes: int | None = None
-    rows_per_slot: int = 1_000_000
-    max_keys: int = 10_000
-    max_key_chars: int = 256
 
 
 DEFAULT_POLICY = SkewPolicy()
@@ -49,24 +45,33 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(stats.sizeInBytes()))
 
 
+def broadcast_bytes(df: DataFrame) -> int:
+    """The size up to which the session broadcasts a side of a join; negative for never."""
+    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
 def fits_broadcast(df: DataFrame, policy: SkewPolicy) -> bool:
     """Whether a join with ``df`` on its right is left to Spark to broadcast."""
     limit = policy.lookup_bytes
-    if limit is None:
-        conf = df.sparkSession._jsparkSession.sessionState().conf()
-        limit = conf.autoBroadcastJoinThreshold()
-    return planned_bytes(df) <= limit
+    return planned_bytes(df) <= (broadcast_bytes(df) if limit is None else limit)
 
 
 def can_be_hot(df: DataFrame, policy: SkewPolicy) -> bool:
-    """Whether ``df`` is large enough for one key to overload a task."""
-    return planned_bytes(df) > policy.task_bytes
+    """Whether ``df`` has more rows than a slot. Counts no further than that in any partition."""
+    most = policy.rows_per_slot
+    return df.select(F.lit(1)).limit(most + 1).count() > most
+
+
+def key_codes(key: str) -> list[Column]:
+    """128 bits that stand for a key of any length; NULL has a code too."""
+    codes = F.xxhash64(F.col(key)), F.xxhash64(F.lit(1), F.col(key))
+    return [code.alias(name) for code, name in zip(codes, CODES)]
 
 
 def hot_keys(
     df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_POLICY, slots: str = "_slots"
 ) -> DataFrame:
-    """``(key, slots)`` of the hot keys. Reads one column and combines before its shuffle."""
+    """Codes and slots of the hot keys. Reads one column and combines before its shuffle."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     return hot_counts(counts, key, policy, slots).drop("_rows")
 
@@ -74,32 +79,37 @@ def hot_keys(
 def hot_counts(
     counts: DataFrame, key: str, policy: SkewPolicy = DEFAULT_POLICY, slots: str = "_slots"
 ) -> DataFrame:
-    """The same from ready ``(key, _rows)`` counts, which it keeps. NULL can be hot too."""
+    """The same from ready ``(key, _rows)`` counts, which it keeps."""
+    partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = counts.agg(F.sum("_rows")).scalar()
+    share = total / (policy.keys_per_partition * partitions)
     return (
         counts.where(F.col("_rows") > policy.rows_per_slot)
-        .where(F.coalesce(F.length(F.col(key).cast("string")), F.lit(0)) <= policy.max_key_chars)
-        .orderBy(F.desc("_rows"), F.col(key))
-        .limit(policy.max_keys)
-        .withColumn(slots, F.ceil(F.col("_rows") / policy.rows_per_slot).cast("int"))
+        .where(F.col("_rows") > share)
+        .select(
+            *key_codes(key),
+            "_rows",
+            F.ceil(F.col("_rows") / policy.rows_per_slot).cast("int").alias(slots),
+        )
     )
 
 
-def with_hot(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+def with_hot(df: DataFrame, key: str, hot: DataFrame, how: str = "left") -> DataFrame:
     """Attach the columns of ``hot`` to the rows with a hot key; NULL matches NULL."""
-    listed = hot.withColumnRenamed(key, "_hot_key")
-    return df.join(
-        F.broadcast(listed), F.col(key).eqNullSafe(F.col("_hot_key")), "left"
-    ).drop("_hot_key")
+    coded = df.withColumns(dict(zip(CODES, key_codes(key))))
+    return coded.join(F.broadcast(hot), CODES, how).drop(*CODES)
 
 
-def own_slot(slots: str | Column) -> Column:
+def own_slot(slots: str | Column, row_key: Sequence[str]) -> Column:
     """The slot of this row among ``slots``."""
-    return F.pmod(F.spark_partition_id(), F.coalesce(slots, F.lit(1)))
+    return F.pmod(F.xxhash64(*row_key), F.coalesce(slots, F.lit(1))).cast("int")
 
 
-def spread(df: DataFrame, key: str, hot: DataFrame, slots: str = "_slots") -> DataFrame:
+def spread(
+    df: DataFrame, key: str, hot: DataFrame, row_key: Sequence[str], slots: str = "_slots"
+) -> DataFrame:
     """Put each row with a hot key into one of the slots of its key."""
-    return with_hot(df, key, hot).withColumn(SLOT, own_slot(slots)).drop(slots)
+    return with_hot(df, key, hot).withColumn(SLOT, own_slot(slots, row_key)).drop(slots)
 
 
 def replicate(df: DataFrame, key: str, hot: DataFrame, slots: str = "_slots") -> DataFrame:
@@ -115,18 +125,26 @@ def lookup_join(
     lookup_key: str,
     how: str = "left",
     policy: SkewPolicy = DEFAULT_POLICY,
+    row_key: Sequence[str] = (),
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Join many ``facts`` to the few rows per key of ``lookup``.
 
     A lookup under Spark's broadcast threshold needs no shuffle, hence no care
-    for skew. Any other is shuffled, and hot keys of large facts are spread.
+    for skew. Any other is shuffled, and hot keys of the facts are spread by ``row_key``, columns
+    that tell facts apart (all columns if not given). Hot keys are looked for in ``keys``: the table that the
+    facts' keys come from, where ``facts`` are joined rows already.
     """
-    if fits_broadcast(lookup, policy) or not can_be_hot(facts, policy):
+    if fits_broadcast(lookup, policy):
+        return facts.join(lookup, F.col(key) == F.col(lookup_key), how)
+    searched = facts if keys is None else keys
+    if not can_be_hot(searched, policy):
         return facts.join(lookup, F.col(key) == F.col(lookup_key), how)
-    hot = hot_keys(facts, key, policy)
-    left = spread(facts, key, hot)
-    right = replicate(
-        lookup, lookup_key, hot.withColumnRenamed(key, lookup_key)
-    ).withColumnRenamed(SLOT, "_lookup_slot")
+    kinds = dict(facts.dtypes)[key], dict(lookup.dtypes)[lookup_key]
+    if kinds[0] != kinds[1]:
+        raise TypeError(f"{key} is {kinds[0]} and {lookup_key} is {kinds[1]}")
+    hot = hot_keys(searched, key, policy)
+    left = spread(facts, key, hot, row_key or facts.columns)
+    right = replicate(lookup, lookup_key, hot).withColumnRenamed(SLOT, "_lookup_slot")
     matched = (F.col(key) == F.col(lookup_key)) & (F.col(SLOT) == F.col("_lookup_slot"))
     return left.join(right, matched, how).drop(SLOT, "_lookup_slot")

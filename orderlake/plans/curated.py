@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.functions import delivery_days, line_revenue
+from orderlake.operators.sizing import sized
 from orderlake.operators.skew import (
     DEFAULT_POLICY,
     SkewPolicy,
-    can_be_hot,
+    key_codes,
     lookup_join,
     own_slot,
     with_hot,
@@ -27,7 +28,10 @@ def _named(df: DataFrame, **names: str) -> DataFrame:
 
 
 def join_customers(
-    orders: DataFrame, customers: DataFrame, policy: SkewPolicy = DEFAULT_POLICY
+    orders: DataFrame,
+    customers: DataFrame,
+    policy: SkewPolicy = DEFAULT_POLICY,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Customer columns for each order, NULL when the customer is unknown."""
     known = _named(
@@ -36,11 +40,16 @@ def join_customers(
         customer_name="customer_name",
         customer_segment="customer_segment",
     )
-    return lookup_join(orders, known, "customer_id", "known_customer_id", policy=policy)
+    return lookup_join(
+        orders, known, "customer_id", "known_customer_id", "left", policy, ["order_id"], keys
+    )
 
 
 def join_warehouses(
-    orders: DataFrame, warehouses: DataFrame, policy: SkewPolicy = DEFAULT_POLICY
+    orders: DataFrame,
+    warehouses: DataFrame,
+    policy: SkewPolicy = DEFAULT_POLICY,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Columns of the warehouse named by the order, NULL when it is unknown."""
     known = _named(
@@ -49,7 +58,9 @@ def join_warehouses(
         warehouse_name="warehouse_name",
         warehouse_city="city",
     )
-    return lookup_join(orders, known, "warehouse_id", "known_warehouse_id", policy=policy)
+    return lookup_join(
+        orders, known, "warehouse_id", "known_warehouse_id", "left", policy, ["order_id"], keys
+    )
 
 
 def join_products(
@@ -63,7 +74,9 @@ def join_products(
         category="category",
         supplier_id="supplier_id",
     )
-    return lookup_join(items, known, "product_id", "known_product_id", policy=policy)
+    return lookup_join(
+        items, known, "product_id", "known_product_id", "left", policy, ["order_item_id"]
+    )
 
 
 def join_orders_items(
@@ -72,7 +85,7 @@ def join_orders_items(
     """Lines with their order; lines without an order and orders without lines drop out."""
     known = orders.withColumnRenamed("order_id", "known_order_id")
     return lookup_join(
-        items, known, "order_id", "known_order_id", "inner", policy
+        items, known, "order_id", "known_order_id", "inner", policy, ["order_item_id"]
     ).drop("known_order_id")
 
 
@@ -83,50 +96,47 @@ BATCHES = [f"{LINES}_batch", f"{SHIPMENTS}_batch"]
 
 def crowded_orders(
     items: DataFrame, shipments: DataFrame, policy: SkewPolicy
-) -> DataFrame | None:
-    """Orders with very many lines or shipments, and how many batches of each to make.
+) -> DataFrame:
+    """Orders that give more rows than a slot, by codes, and how many batches of each side to make.
 
-    None when both tables are too small to hold such an order.
+    An order gives a row per line and shipment. Of its lines and shipments so many batches are
+    made that a line batch meets a shipment batch in half a slot's rows on average,
+    which leaves room for uneven batches.
     """
-    if not (can_be_hot(items, policy) or can_be_hot(shipments, policy)):
-        return None
     both = items.select("order_id", F.lit(1).alias(LINES), F.lit(0).alias(SHIPMENTS)).unionAll(
         shipments.select("order_id", F.lit(0), F.lit(1))
     )
     counts = both.groupBy("order_id").agg(
         F.sum(LINES).alias(LINES), F.sum(SHIPMENTS).alias(SHIPMENTS)
     )
-    most = F.greatest(LINES, SHIPMENTS)
-    batches = {
-        c: F.greatest(F.ceil(F.col(c) / policy.rows_per_slot), F.lit(1)).cast("int")
-        for c in (LINES, SHIPMENTS)
-    }
-    return (
-        counts.where(most > policy.rows_per_slot)
-        .where(F.length("order_id") <= policy.max_key_chars)
-        .orderBy(most.desc(), "order_id")
-        .limit(policy.max_keys)
-        .withColumns(batches)
+    lines = F.greatest(LINES, F.lit(1)).cast("double")
+    ships = F.greatest(SHIPMENTS, F.lit(1)).cast("double")
+    target = policy.rows_per_slot / 2
+    # The shorter side is cut to the root of the target at most, the longer one takes the rest.
+    of_lines = F.ceil(lines * F.least(ships, F.lit(target**0.5)) / target)
+    of_ships = F.ceil(ships * (lines / of_lines) / target)
+    return counts.where(lines * ships > policy.rows_per_slot).select(
+        *key_codes("order_id"),
+        # Never more batches than rows: an order with several batches of shipments has shipments.
+        F.least(of_lines, lines).cast("int").alias(LINES),
+        F.least(of_ships, ships).cast("int").alias(SHIPMENTS),
     )
 
 
-def place(df: DataFrame, crowded: DataFrame | None, own: str | None = None) -> DataFrame:
+def place(df: DataFrame, crowded: DataFrame, own: str | None = None, row_key: str = "") -> DataFrame:
     """Assign rows to the batches in which lines, shipments and their order meet.
 
     A row is in one batch along its ``own`` axis and is copied along the other,
     so each pair of a line and a shipment of one order meets exactly once.
     """
-    if crowded is None:
-        return df
     placed = with_hot(df, "order_id", crowded)
     for axis, batch in zip((LINES, SHIPMENTS), BATCHES):
         every = F.explode(F.sequence(F.lit(0), F.coalesce(axis, F.lit(1)) - 1))
-        placed = placed.withColumn(batch, own_slot(axis) if axis == own else every)
+        placed = placed.withColumn(batch, own_slot(axis, [row_key]) if axis == own else every)
     return placed
 
 
-def meet_on(crowded: DataFrame | None) -> list[str]:
-    return ["order_id"] if crowded is None else ["order_id", *BATCHES]
+MEET_ON = ["order_id", *BATCHES]
 
 
 def join_shipments(
@@ -134,21 +144,24 @@ def join_shipments(
 ) -> DataFrame:
     """Every line once per shipment of its order, or once with NULLs when it has none."""
     crowded = crowded_orders(lines, shipments, policy)
-    return _ship(place(lines, crowded, LINES), shipments, crowded)
+    placed = place(lines, crowded, LINES, "order_item_id")
+    inputs = [lines, shipments]
+    return _ship(sized(placed, MEET_ON, inputs), shipments, crowded, inputs)
 
 
-def _ship(placed: DataFrame, shipments: DataFrame, crowded: DataFrame | None) -> DataFrame:
+def _ship(
+    placed: DataFrame, shipments: DataFrame, crowded: DataFrame, inputs: list[DataFrame]
+) -> DataFrame:
     carried = shipments.select(
         "order_id", "shipment_id", "carrier", "shipment_date", "delivery_date", "shipment_status"
     )
-    if crowded is None:
-        return placed.join(carried, "order_id", "left")
-    met = place(carried.withColumn("_shipped", F.lit(True)), crowded, SHIPMENTS)
+    met = place(carried.withColumn("_shipped", F.lit(True)), crowded, SHIPMENTS, "shipment_id")
+    met = sized(met.drop(LINES, SHIPMENTS), MEET_ON, inputs)
     # An order with several batches of shipments has shipments, so a line that
     # found none in one of the batches is not a line without a shipment.
     alone = F.coalesce(SHIPMENTS, F.lit(1)) == 1
     return (
-        placed.join(met.drop(LINES, SHIPMENTS), meet_on(crowded), "left")
+        placed.join(met, MEET_ON, "left")
         .where(alone | F.col("_shipped"))
         .drop(LINES, SHIPMENTS, "_shipped", *BATCHES)
     )
@@ -169,17 +182,18 @@ def build_order_analytics(
     this table counts them once per shipment. That is the meaning the reports
     are defined on.
     """
+    inputs = [orders, items, shipments]
     heads = orders.select("order_id", "order_date", "order_status", "customer_id", "warehouse_id")
-    heads = join_warehouses(join_customers(heads, customers, policy), warehouses, policy)
-    heads = heads.drop("customer_id", "warehouse_id")
-    lines = join_products(
-        items.select("order_id", "product_id", "quantity", "unit_price"), products, policy
-    ).drop("product_id")
+    heads = join_customers(heads, customers, policy, orders)
+    heads = join_warehouses(heads, warehouses, policy, orders).drop("customer_id", "warehouse_id")
+    own = ["order_item_id", "order_id", "product_id", "quantity", "unit_price"]
+    lines = join_products(items.select(*own), products, policy).drop("product_id")
     crowded = crowded_orders(items, shipments, policy)
-    ordered = place(heads, crowded).drop(LINES, SHIPMENTS).join(
-        place(lines, crowded, LINES), meet_on(crowded)
+    placed = place(heads, crowded).drop(LINES, SHIPMENTS)
+    ordered = sized(placed, MEET_ON, inputs).join(
+        sized(place(lines, crowded, LINES, "order_item_id"), MEET_ON, inputs), MEET_ON
     )
-    wide = _ship(ordered, shipments, crowded).withColumnsRenamed(
+    wide = _ship(ordered, shipments, crowded, inputs).withColumnsRenamed(
         {
             "known_customer_id": "customer_id",
             "known_warehouse_id": "warehouse_id",

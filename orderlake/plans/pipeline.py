@@ -30,8 +30,7 @@ from orderlake.operators.quality import (
     valid_rows,
 )
 from orderlake.operators.rules import SPECS
-from orderlake.operators.sizing import fit_shuffles
-from orderlake.operators.skew import DEFAULT_POLICY, SkewPolicy
+from orderlake.operators.skew import DEFAULT_POLICY, SkewPolicy, broadcast_bytes
 from orderlake.plans.curated import build_order_analytics
 from orderlake.schemas import CURATED_INPUTS, TABLES
 from orderlake.sources import (
@@ -48,9 +47,8 @@ from orderlake.sources.work import new_work_folder, remove_work_folder, written
 
 @dataclass(frozen=True)
 class PipelineOptions:
-    # Repeated keys are broadcast up to this many keys and characters.
-    broadcast_keys: int = 1_000_000
-    broadcast_chars: int = 64_000_000
+    # Repeated keys are broadcast up to this size; None takes the session's threshold.
+    broadcast_bytes: int | None = None
     policy: SkewPolicy = DEFAULT_POLICY
     partition_curated_by: Sequence[str] = ()
     # Tables cleaned side by side; small ones would leave a cluster idle.
@@ -59,6 +57,9 @@ class PipelineOptions:
 
 DEFAULT_OPTIONS = PipelineOptions()
 
+# What a row of the list of repeated keys takes besides the text of its key.
+ROW_BYTES = 32
+
 
 def _repeated(prepared: DataFrame, key: str, path: str, options: PipelineOptions):
     """The repeated keys as a written table, and whether they are few enough to broadcast."""
@@ -71,9 +72,8 @@ def _repeated(prepared: DataFrame, key: str, path: str, options: PipelineOptions
         ),
         path,
     )
-    few = size.get["keys"] <= options.broadcast_keys
-    short = size.get["chars"] <= options.broadcast_chars
-    return repeated, few and short
+    limit = broadcast_bytes(prepared) if options.broadcast_bytes is None else options.broadcast_bytes
+    return repeated, size.get["keys"] * ROW_BYTES + 4 * size.get["chars"] <= limit
 
 
 def clean_table(
@@ -97,7 +97,11 @@ def clean_table(
         )
         valid = apart.where(~F.col("_broken")).drop("_broken")
         rejected = apart.where("_broken").drop("_broken")
-    zones = {PROCESSED: valid_rows(valid, spec), REJECTED: rejected_rows(rejected, spec)}
+    # Few rows are rejected by each task; without this they would lie in as many small files.
+    zones = {
+        PROCESSED: valid_rows(valid, spec),
+        REJECTED: rejected_rows(rejected, spec).hint("rebalance"),
+    }
     with ThreadPoolExecutor(len(zones)) as pool:
         list(pool.map(lambda zone: write_zone(zones[zone], out, zone, spec.name), zones))
 
@@ -110,7 +114,6 @@ def clean_all(
 ) -> None:
     """Write the processed and rejected zones of all tables."""
     work = new_work_folder(spark)
-    fit_shuffles(spark, raw.values())
 
     def clean(table: str) -> None:
         clean_table(raw[table], SPECS[table], out, work, options)
@@ -132,7 +135,6 @@ def build_curated(
 ) -> None:
     """Write the curated table from the processed zone."""
     inputs = [read_zone(spark, out, PROCESSED, table) for table in CURATED_INPUTS]
-    fit_shuffles(spark, inputs)
     wide = build_order_analytics(*inputs, policy=options.policy)
     write_zone(wide, out, CURATED, CURATED_TABLE, options.partition_curated_by)
 

@@ -87,15 +87,21 @@ def warehouse_performance(oa: DataFrame) -> DataFrame:
 
 
 def segment_performance(oa: DataFrame) -> DataFrame:
-    """Customers, orders, revenue and revenue per order of each segment."""
+    """Customers, orders, revenue and revenue per order of each segment.
+
+    Both distinct counts are row counts of a further reduction, and meet in one row per segment.
+    """
     per_order = oa.groupBy("customer_segment", "customer_id", "order_id").agg(
         F.sum("line_revenue").alias("revenue")
     )
-    totals = per_order.groupBy("customer_segment").agg(
-        F.countDistinct("customer_id").alias("total_customers"),
-        _orders(),
-        F.sum("revenue").alias("revenue"),
+    segment = "customer_segment"
+    customers = per_order.groupBy(segment, "customer_id").agg(F.sum("revenue").alias("revenue"))
+    customers = customers.groupBy(segment).agg(
+        F.count("customer_id").alias("total_customers"), F.sum("revenue").alias("revenue")
     )
+    orders = per_order.select(F.col(segment).alias("of"), "order_id").distinct()
+    orders = orders.groupBy("of").agg(F.count("order_id").alias("total_orders"))
+    totals = customers.join(orders, F.col(segment).eqNullSafe(F.col("of")))
     per_order_value = safe_divide(F.col("revenue"), F.col("total_orders"))
     return totals.select(
         "customer_segment",
@@ -155,10 +161,13 @@ def revenue_by_month_name(oa: DataFrame) -> DataFrame:
 def revenue_month_over_month(oa: DataFrame) -> DataFrame:
     """Revenue per month of each year and its change against the month before it.
 
-    The window has no partitions; it runs over one row per month.
+    There is no change where the month before has no sales. The window has no partitions; it runs
+    over one row per month.
     """
     monthly = oa.groupBy(F.trunc("order_date", "month").alias("month")).agg(_revenue())
-    previous = F.lag("total_revenue").over(Window.orderBy("month"))
+    last = F.lag("month").over(Window.orderBy("month"))
+    revenue = F.lag("total_revenue").over(Window.orderBy("month"))
+    previous = F.when(last == F.add_months("month", -1), revenue)
     return (
         monthly.withColumn("previous_revenue", previous)
         .withColumn("revenue_change", F.col("total_revenue") - F.col("previous_revenue"))

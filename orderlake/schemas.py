@@ -20,16 +20,16 @@ RAW = {
         unit_price=T.DoubleType(),
     ),
     "suppliers": _table("supplier_id supplier_name country", supplier_rating=T.DoubleType()),
-    "warehouses": _table("warehouse_id warehouse_name city", capacity_units=T.IntegerType()),
+    "warehouses": _table("warehouse_id warehouse_name city", capacity_units=T.LongType()),
     "inventory": _table(
         "inventory_id warehouse_id product_id inventory_date",
-        quantity_on_hand=T.IntegerType(),
-        reorder_level=T.IntegerType(),
+        quantity_on_hand=T.LongType(),
+        reorder_level=T.LongType(),
     ),
     "orders": _table("order_id customer_id warehouse_id order_date order_status"),
     "order_items": _table(
         "order_item_id order_id product_id",
-        quantity=T.IntegerType(),
+        quantity=T.LongType(),
         unit_price=T.DoubleType(),
     ),
     "shipments": _table(
@@ -43,11 +43,26 @@ TABLES = tuple(RAW)
 CURATED_INPUTS = ("orders", "order_items", "customers", "products", "warehouses", "shipments")
 
 # Fixed output order of the curated table, without its clock column.
-ORDER_ANALYTICS_COLUMNS = (
-    "order_id order_date order_status "
-    "customer_id customer_name customer_segment "
-    "warehouse_id warehouse_name warehouse_city "
-    "product_id product_name category supplier_id "
-    "quantity unit_price line_revenue "
-    "shipment_id carrier shipment_date delivery_date shipment_status delivery_days"
-).split()
+ORDER_ANALYTICS = T.StructType(
+    [
+        T.StructField(name, kind)
+        for kind, names in (
+            (T.StringType(), "order_id"),
+            (T.DateType(), "order_date"),
+            (
+                T.StringType(),
+                "order_status customer_id customer_name customer_segment "
+                "warehouse_id warehouse_name warehouse_city "
+                "product_id product_name category supplier_id",
+            ),
+            (T.LongType(), "quantity"),
+            (T.DoubleType(), "unit_price line_revenue"),
+            (T.StringType(), "shipment_id carrier"),
+            (T.DateType(), "shipment_date delivery_date"),
+            (T.StringType(), "shipment_status"),
+            (T.IntegerType(), "delivery_days"),
+        )
+        for name in names.split()
+    ]
+)
+ORDER_ANALYTICS_COLUMNS = ORDER_ANALYTICS.fieldNames()

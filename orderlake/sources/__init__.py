@@ -4,6 +4,7 @@ from orderlake.sources.zones import (
     PROCESSED,
     RAW_ZONE,
     REJECTED,
+    bad_lines,
     read_raw,
     read_zone,
     register_tables,
@@ -18,6 +19,7 @@ __all__ = [
     "PROCESSED",
     "RAW_ZONE",
     "REJECTED",
+    "bad_lines",
     "read_raw",
     "read_zone",
     "register_tables",

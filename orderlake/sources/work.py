@@ -2,23 +2,37 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_own: dict[str, str] = {}
+_lock = threading.Lock()
+
 
 def shared_folder(spark: SparkSession) -> str | None:
-    """The folder all executors can reach, or None on a cluster that names none."""
+    """The folder all executors can reach, or None on a cluster that names none.
+
+    Where driver and executors are one process and none is named, a temporary folder is
+    made when first asked for, one per application.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     context = spark.sparkContext
     if context.getCheckpointDir():
         return context.getCheckpointDir()
-    if context.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="orderlake-")
-    return None
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        return None
+    with _lock:
+        if context.applicationId not in _own:
+            _own[context.applicationId] = tempfile.mkdtemp(prefix="orderlake-")
+            files, path = _file_system(spark, _own[context.applicationId])
+            files.deleteOnExit(path)
+        return _own[context.applicationId]
 
 
 def _file_system(spark: SparkSession, folder: str):
@@ -26,6 +40,12 @@ def _file_system(spark: SparkSession, folder: str):
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
+def subfolders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders in ``folder``, on whatever file system it lies."""
+    files, path = _file_system(spark, folder)
+    return sorted(f.getPath().getName() for f in files.listStatus(path) if f.isDirectory())
+
+
 def new_work_folder(spark: SparkSession) -> str:
     """A new folder in the shared one. It goes away with the session at the latest."""
     shared = shared_folder(spark)

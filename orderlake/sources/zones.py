@@ -11,52 +11,101 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlake.schemas import RAW, TABLES
+from orderlake.schemas import ORDER_ANALYTICS, RAW, TABLES
+from orderlake.sources.work import subfolders
 
 RAW_ZONE = "raw"
 PROCESSED = "processed"
 REJECTED = "rejected"
 CURATED = "curated"
 CURATED_TABLE = "order_analytics"
+BAD_LINE = "_bad_line"
 
 
 def zone_path(base: str, zone: str, table: str) -> str:
     return f"{base.rstrip('/')}/{zone}/{table}"
 
 
-def raw_schema(spark: SparkSession, path: str, table: str) -> T.StructType:
-    """Declared types in the column order of the files; extra columns pass as text.
-
-    Only header names are taken from the files. Values are never sampled.
-    """
+def raw_header(spark: SparkSession, path: str, table: str) -> list[str]:
+    """The column names of the files. Values are never sampled."""
     header = [name.lower() for name in spark.read.option("header", True).csv(path).columns]
-    declared = {f.name: f.dataType for f in RAW[table]}
-    absent = [name for name in declared if name not in header]
+    absent = [f.name for f in RAW[table] if f.name not in header]
     if absent:
         raise ValueError(f"{path}: no column {', '.join(absent)} in the header")
+    return header
+
+
+def raw_schema(spark: SparkSession, path: str, table: str) -> T.StructType:
+    """Declared types in the column order of the files; extra columns pass as text."""
+    declared = {f.name: f.dataType for f in RAW[table]}
     return T.StructType(
-        [T.StructField(name, declared.get(name, T.StringType())) for name in header]
+        [
+            T.StructField(name, declared.get(name, T.StringType()))
+            for name in raw_header(spark, path, table)
+        ]
     )
 
 
-def read_raw(spark: SparkSession, base: str, table: str) -> DataFrame:
-    """Raw rows of one table with the file each came from.
-
-    A file whose header differs from the others' is an error: its values would
-    otherwise land under wrong names.
-    """
+def _scan(spark: SparkSession, base: str, table: str) -> DataFrame:
     path = zone_path(base, RAW_ZONE, table)
+    names = [*raw_header(spark, path, table), BAD_LINE]
     return (
-        spark.read.schema(raw_schema(spark, path, table))
+        spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
         .option("header", True)
         .option("enforceSchema", False)
+        .option("columnNameOfCorruptRecord", BAD_LINE)
         .csv(path)
         .withColumn("source_file", F.col("_metadata.file_path"))
     )
 
 
+def read_raw(spark: SparkSession, base: str, table: str) -> DataFrame:
+    """Raw rows of one table, all text, with the file each came from.
+
+    A file whose header differs from the others' is an error: its values would
+    otherwise land under wrong names. Lines with too few or too many fields are rows here, and
+    ``bad_lines`` shows them as they are.
+    """
+    return _scan(spark, base, table).drop(BAD_LINE)
+
+
+def bad_lines(spark: SparkSession, base: str, table: str) -> DataFrame:
+    """``(source_file, <key>, line)`` of lines with another number of fields than the header."""
+    # A plain null check would be pushed into the scan, which fills the column after it.
+    found = _scan(spark, base, table).where(F.coalesce(BAD_LINE, F.lit("")) != "")
+    return found.select("source_file", RAW[table][0].name, F.col(BAD_LINE).alias("line"))
+
+
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """The columns that the folders of a written table are named by."""
+    found: list[str] = []
+    while named := [f for f in subfolders(spark, path) if "=" in f and f[0] not in "._"]:
+        found.append(named[0].split("=")[0])
+        path = f"{path}/{named[0]}"
+    return found
+
+
+def _declared(zone: str, table: str) -> dict[str, T.DataType]:
+    if zone == CURATED:
+        return {f.name: f.dataType for f in ORDER_ANALYTICS} if table == CURATED_TABLE else {}
+    return {f.name: f.dataType for f in RAW.get(table, ())}
+
+
 def read_zone(spark: SparkSession, base: str, zone: str, table: str) -> DataFrame:
-    return spark.read.parquet(zone_path(base, zone, table))
+    """A written table. Columns that its folders are named by have their declared types and places."""
+    path = zone_path(base, zone, table)
+    by = partition_columns(spark, path)
+    if not by:
+        return spark.read.parquet(path)
+    declared = _declared(zone, table)
+    found = spark.read.parquet(path).schema
+    kinds = [
+        T.StructField(f.name, declared.get(f.name, f.dataType) if f.name in by else f.dataType)
+        for f in found
+    ]
+    df = spark.read.schema(T.StructType(kinds)).parquet(path)
+    order = [name for name in declared if name in df.columns]
+    return df.select(*order, *(c for c in df.columns if c not in order))
 
 
 def write_zone(
@@ -77,20 +126,38 @@ def register_views(spark: SparkSession, base: str) -> None:
     read_zone(spark, base, CURATED, CURATED_TABLE).createOrReplaceTempView(CURATED_TABLE)
 
 
+def _free(spark: SparkSession, name: str, path: str) -> None:
+    """Drop a table that was registered here before; refuse to touch any other."""
+    if not spark.catalog.tableExists(name):
+        return
+    told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    same = told.get("Location", "").split(":", 1)[-1].lstrip("/") == path.split(":", 1)[-1].lstrip("/")
+    if told.get("Type") != "EXTERNAL" or not same:
+        raise ValueError(f"{name} exists and is not an external table over {path}")
+    spark.sql(f"DROP TABLE {name}")
+
+
 def register_tables(spark: SparkSession, base: str, databases: dict[str, str]) -> None:
     """Catalog tables over the zones, so that database-qualified SQL text runs as it is.
 
     ``databases`` maps a zone to the name of its database; zones left out are
-    not registered. The tables are external: dropping them keeps the files.
+    not registered. The tables are external: dropping them keeps the files. A table of the same name that
+    lies elsewhere is an error.
     """
     for zone, database in databases.items():
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
         for table in (CURATED_TABLE,) if zone == CURATED else TABLES:
             name = f"`{database}`.`{table}`"
             path = zone_path(base, zone, table)
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            _free(spark, name, path)
             if zone == RAW_ZONE:
                 schema = raw_schema(spark, path, table)
-                spark.catalog.createTable(name, path, "csv", schema, header="true")
-            else:
-                spark.catalog.createTable(name, path, "parquet")
+                options = {"header": "true", "enforceSchema": "false"}
+                spark.catalog.createTable(name, path, "csv", schema, **options)
+                continue
+            by = partition_columns(spark, path)
+            columns = read_zone(spark, base, zone, table)._jdf.schema().toDDL()
+            parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in by)})" if by else ""
+            spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {parts} LOCATION '{path}'")
+            if by:
+                spark.catalog.recoverPartitions(name)

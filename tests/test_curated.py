@@ -36,9 +36,9 @@ def inputs(spark):
 
 
 POLICIES = {
-    "plain": SkewPolicy(task_bytes=10**30),
-    "searched": SkewPolicy(task_bytes=-1),
-    "spread": SkewPolicy(task_bytes=-1, lookup_bytes=-1, rows_per_slot=1),
+    "plain": SkewPolicy(),
+    "searched": SkewPolicy(lookup_bytes=-1),
+    "spread": SkewPolicy(rows_per_slot=1, keys_per_partition=10**6, lookup_bytes=-1),
 }
 
 

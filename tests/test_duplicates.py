@@ -17,19 +17,16 @@ from orderlake.operators.duplicates import (
 )
 from orderlake.operators.skew import SkewPolicy
 
-PLAIN = SkewPolicy(task_bytes=10**30)
-FORCED = SkewPolicy(task_bytes=-1, rows_per_slot=3)
+PLAIN = SkewPolicy()
+FORCED = SkewPolicy(rows_per_slot=3, keys_per_partition=10**6)
 
 WAYS = {
     "window": lambda df: add_duplicate_count(df, "k", PLAIN),
     "forced": lambda df: add_duplicate_count(df, "k", FORCED),
     "broadcast": lambda df: broadcast_counts(df, "k", repeated_keys(df, "k")),
     "shuffled": lambda df: shuffled_counts(df, "k", repeated_keys(df, "k"), FORCED),
-    "one hot key at most": lambda df: shuffled_counts(
-        df, "k", repeated_keys(df, "k"), SkewPolicy(rows_per_slot=1, max_keys=1)
-    ),
-    "long keys are not listed": lambda df: shuffled_counts(
-        df, "k", repeated_keys(df, "k"), SkewPolicy(rows_per_slot=1, max_key_chars=1)
+    "few hot keys": lambda df: shuffled_counts(
+        df, "k", repeated_keys(df, "k"), SkewPolicy(rows_per_slot=1, keys_per_partition=1)
     ),
 }
 
@@ -59,3 +56,12 @@ def test_other_columns_are_kept(spark):
     out = shuffled_counts(df, "k", repeated_keys(df, "k"), FORCED)
     assert out.columns == ["id", "k", COUNT]
     assert rows(out, "id", COUNT) == [(i, 10) for i in range(10)]
+
+
+def test_rows_of_hot_keys_are_not_shuffled(spark):
+    keys = ["h" * 300] * 50 + ["b", "b", "c"]
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    out = shuffled_counts(df, "k", repeated_keys(df, "k"), SkewPolicy(rows_per_slot=3))
+    assert rows(out, "k", COUNT) == expected(keys)
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in text.split("Window")[1] and "Union" in text

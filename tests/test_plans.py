@@ -10,7 +10,7 @@ from orderlake.fixtures import raw_table
 from orderlake.operators.duplicates import broadcast_counts, repeated_keys
 from orderlake.operators.quality import prepare, valid_rows
 from orderlake.operators.rules import SPECS
-from orderlake.operators.skew import SkewPolicy, planned_bytes
+from orderlake.operators.skew import planned_bytes
 from orderlake.plans import checks, reports
 from orderlake.plans.curated import build_order_analytics
 from orderlake.schemas import CURATED_INPUTS
@@ -35,9 +35,9 @@ def zones(spark):
     return entry.Zones(spark, SF_DIR)
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", entry.own_queries())
 def test_no_query_pairs_all_rows_or_runs_python(spark, name):
-    text = plan(entry.queries()[name](spark, SF_DIR))
+    text = plan(entry.own_queries()[name](spark, SF_DIR))
     for node in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "MapInPandas"):
         assert node not in text
 
@@ -48,7 +48,8 @@ def test_reports_read_their_columns_only(zones):
     text = plan(checks.missing_shipment_by_status(zones.curated()))
     assert scans(text) == [{"order_status", "shipment_id"}]
     assert "PushedFilters: [IsNull(shipment_id)]" in text
-    assert "Expand" not in plan(reports.shipment_completeness(zones.curated()))
+    for report in (reports.shipment_completeness, reports.segment_performance):
+        assert "Expand" not in plan(report(zones.curated()))
 
 
 def test_reconciling_reads_no_columns(spark):
@@ -66,21 +67,17 @@ def test_few_repeated_keys_need_no_shuffle(spark, tmp_path):
     assert not shuffles(before_the_join)
 
 
-@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(task_bytes=-1)])
-def test_orders_lines_and_shipments_are_shuffled_once_each(spark, zones, policy):
+def test_orders_lines_and_shipments_are_shuffled_once_each(spark, zones):
     limit = "spark.sql.autoBroadcastJoinThreshold"
     inputs = [zones.processed(t) for t in CURATED_INPUTS]
     lookups = [zones.processed(t) for t in ("customers", "products", "warehouses")]
     spark.conf.set(limit, str(max(map(planned_bytes, lookups))))
     try:
-        text = plan(build_order_analytics(*inputs, policy=policy))
+        text = plan(build_order_analytics(*inputs))
     finally:
         spark.conf.unset(limit)
-    meets = re.findall(r"Exchange hashpartitioning\(order_id#\d+L?, (?:_lines_batch|8)", text)
-    # The search for crowded orders is planned once per side and runs once.
-    searches = text.count("TakeOrderedAndProject")
-    assert searches == (3 if policy.task_bytes < 0 else 0)
-    assert len(meets) == 3 + searches
+    meets = re.findall(r"Exchange hashpartitioning\(order_id#\d+L?, _lines_batch", text)
+    assert len(meets) == 3
     assert text.count("SortMergeJoin") == 2
 
 

@@ -9,7 +9,7 @@ from conftest import SF_DIR
 
 import __spark_entry__ as entry
 
-QUERIES = entry.queries()
+QUERIES = entry.own_queries()
 EXPECTED = entry.oracle_sql()
 KINDS = {
     "int": "INTEGER",
@@ -38,18 +38,14 @@ def ordered(columns, data):
 def test_query(spark, duck, name):
     df = QUERIES[name](spark, SF_DIR)
     found = [tuple(r) for r in df.collect()]
-    if name == "preview":
-        assert len(found) == 10 and len(df.columns) == 22
-        return
     expected = duck.sql(EXPECTED[name])
     kinds = dict(zip(expected.columns, map(str, expected.types)))
     assert {c: KINDS[k] for c, k in df.dtypes} == kinds
     assert ordered(df.columns, found) == ordered(expected.columns, expected.fetchall())
 
 
-def test_only_the_preview_has_no_expected_result():
-    assert set(QUERIES) - set(EXPECTED) == {"preview"}
-    assert set(EXPECTED) <= set(QUERIES)
+def test_all_queries_have_expected_results():
+    assert set(QUERIES) <= set(EXPECTED) <= set(entry.queries())
 
 
 def test_entry(spark):
@@ -69,11 +65,8 @@ def test_known_totals(spark):
     assert run("dq_delivered_missing_raw").delivered_orders_missing_raw_shipment == 132
 
 
-def test_zones_without_a_shared_folder(spark, monkeypatch):
-    """On a cluster that names no shared folder the zones are plans, with equal results."""
-    written = entry.REPORTS["category_performance"][0](entry.Zones(spark, SF_DIR).curated())
-    monkeypatch.setattr(entry, "shared_folder", lambda spark: None)
-    planned = entry.REPORTS["category_performance"][0](entry.Zones(spark, SF_DIR).curated())
-    assert written.collect() == planned.collect()
-
-
+def test_zones_need_a_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr(entry.Zones, "_written", {})
+    monkeypatch.setattr("orderlake.sources.work.shared_folder", lambda spark: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        entry.Zones(spark, SF_DIR)

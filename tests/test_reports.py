@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import rows
 
 from orderlake.plans import checks, dashboard, reports
@@ -105,9 +106,21 @@ def test_months(oa):
     assert listed(reports.revenue_by_month_name(oa)) == [("January", 55.5), ("March", 4.0)]
     assert listed(reports.revenue_month_over_month(oa)) == [
         (day("2023-01-01"), 15.5, None, None),
-        (day("2023-03-01"), 4.0, 15.5, -11.5),
-        (day("2024-01-01"), 40.0, 4.0, 36.0),
-        (day("2024-03-01"), 0.0, 40.0, -40.0),
+        (day("2023-03-01"), 4.0, None, None),
+        (day("2024-01-01"), 40.0, None, None),
+        (day("2024-03-01"), 0.0, None, None),
+    ]
+
+
+def test_months_in_a_row_and_a_gap(spark):
+    sales = [("2023-12-31", 5.0), ("2024-01-01", 1.0), ("2024-01-31", 2.0), ("2024-03-01", 9.0)]
+    oa = spark.createDataFrame(sales, "order_date string, line_revenue double").withColumn(
+        "order_date", F.to_date("order_date")
+    )
+    assert listed(reports.revenue_month_over_month(oa)) == [
+        (day("2023-12-01"), 5.0, None, None),
+        (day("2024-01-01"), 3.0, 5.0, -2.0),
+        (day("2024-03-01"), 9.0, None, None),
     ]
 
 

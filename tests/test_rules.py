@@ -230,5 +230,5 @@ def test_text_that_is_no_number_is_missing(spark):
     )
     valid, rejected = split(raw, SPECS["order_items"])
     assert rows(valid, "quantity", "unit_price") == [(2, 3.5)]
-    assert dict(valid.dtypes)["quantity"] == "int"
+    assert dict(valid.dtypes)["quantity"] == "bigint"
     assert rows(rejected, "order_item_id", "rejection_reason") == [("L2", "MISSING_QUANTITY")]

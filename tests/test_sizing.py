@@ -1,15 +1,15 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
-from orderlake.operators.sizing import MOST_PARTITIONS, PARTITIONS, fit_shuffles, input_bytes
-
-
-@pytest.fixture
-def partitions(spark):
-    before = spark.conf.get(PARTITIONS)
-    yield lambda: int(spark.conf.get(PARTITIONS))
-    spark.conf.set(PARTITIONS, before)
+from orderlake.operators.sizing import (
+    BYTES_PER_PARTITION,
+    PARTITIONS,
+    input_bytes,
+    partitions_for,
+    sized,
+)
 
 
 def test_input_bytes(spark, sf_dir):
@@ -20,30 +20,31 @@ def test_input_bytes(spark, sf_dir):
     assert input_bytes(customer) == os.path.getsize(names[0])
 
 
-def test_partitions_are_raised_only(spark, sf_dir, partitions):
+@pytest.mark.parametrize("size", [0, 1, BYTES_PER_PARTITION, 10**14, 10**16])
+def test_no_partition_is_larger_than_given(size):
+    n = partitions_for(size)
+    assert n * BYTES_PER_PARTITION >= size
+    assert (n - 1) * BYTES_PER_PARTITION < max(size, 1)
+
+
+def test_large_inputs_get_more_partitions_and_the_setting_stays(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    before = partitions()
-    fit_shuffles(spark, [orders])
-    assert partitions() == before
+    before = spark.conf.get(PARTITIONS)
+    assert sized(orders, ["o_custkey"], [orders]) is orders
     size = input_bytes(orders)
-    fit_shuffles(spark, [orders, orders], size // 20)
-    raised = partitions()
-    assert 40 <= raised <= 42
-    fit_shuffles(spark, [orders])
-    assert partitions() == raised
-    fit_shuffles(spark, [orders] * 2, 1)
-    assert partitions() == min(2 * size, MOST_PARTITIONS)
+    wide = sized(orders, ["o_custkey"], [orders, orders], size // 20)
+    assert 40 <= wide.rdd.getNumPartitions() <= 42
+    assert spark.conf.get(PARTITIONS) == before
+    counted = wide.groupBy("o_custkey").agg(F.count(F.lit(1)))
+    text = counted._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1
 
 
 def test_other_settings_are_left_alone(spark, sf_dir):
-    class Conf:
-        def get(self, name):
-            return "auto"
-
-        def set(self, name, value):
-            raise AssertionError
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
 
-    class Session:
-        conf = Conf()
+    class Frame:
+        class sparkSession:
+            conf = {PARTITIONS: "auto"}
 
-    fit_shuffles(Session(), [spark.read.parquet(f"{sf_dir}/orders.parquet")], 1)
+    assert sized(Frame, ["o_custkey"], [orders], 1) is Frame

@@ -7,20 +7,23 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from orderlake.operators.skew import (
+    CODES,
     SLOT,
     SkewPolicy,
     can_be_hot,
     fits_broadcast,
     hot_keys,
+    key_codes,
     lookup_join,
     planned_bytes,
     replicate,
     spread,
 )
-from orderlake.plans.curated import BATCHES, crowded_orders, join_shipments, place
+from orderlake.plans.curated import BATCHES, MEET_ON, crowded_orders, join_shipments, place
 
-PLAIN = SkewPolicy(task_bytes=10**30)
-FORCED = SkewPolicy(task_bytes=-1, lookup_bytes=-1, rows_per_slot=10)
+PLAIN = SkewPolicy(rows_per_slot=10**12)
+MANY = 10**6
+FORCED = SkewPolicy(rows_per_slot=10, keys_per_partition=MANY, lookup_bytes=-1)
 
 
 @pytest.fixture(scope="module")
@@ -45,29 +48,46 @@ def test_lookup_join(facts, lookup, how):
     assert rows(spread_out) == rows(plain)
 
 
+def named(hot, keys):
+    """Slots by key; the list itself has codes only."""
+    coded = keys.distinct().select("k", *key_codes("k"))
+    return {r.k: r._slots for r in coded.join(hot, CODES).collect()}
+
+
 def test_hot_keys(facts):
-    found = {r.k: r._slots for r in hot_keys(facts, "k", FORCED).collect()}
+    found = named(hot_keys(facts, "k", FORCED), facts.select("k"))
     counts = {r.k: r["count"] for r in facts.groupBy("k").count().collect()}
     assert found == {k: -(-n // 10) for k, n in counts.items() if n > 10}
     assert found["hot"] == 20 and None in found
 
 
-def test_the_list_of_hot_keys_is_bounded(facts):
-    most = hot_keys(facts, "k", SkewPolicy(rows_per_slot=1, max_keys=1)).collect()
-    assert [r.k for r in most] == ["hot"]
-    short = hot_keys(facts, "k", SkewPolicy(rows_per_slot=1, max_key_chars=2)).collect()
-    assert "hot" not in [r.k for r in short]
+def test_the_number_of_hot_keys_is_bounded_by_their_share(spark, facts):
+    few = SkewPolicy(rows_per_slot=1, keys_per_partition=1)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = named(hot_keys(facts, "k", few), facts.select("k"))
+    counts = {r.k: r["count"] for r in facts.groupBy("k").count().collect()}
+    assert set(found) == {k for k, n in counts.items() if n > 600 / partitions}
+    assert len(found) < partitions
+
 
+def slot_sizes(df, hot, row_key):
+    return [r["count"] for r in spread(df, "k", hot, row_key).groupBy(SLOT).count().collect()]
 
-def test_slots_split_a_hot_key_even_among_exact_copies(spark):
-    copies = spark.range(1200, numPartitions=12).select(F.lit("hot").alias("k"))
-    hot = hot_keys(copies, "k", SkewPolicy(rows_per_slot=100))
-    sizes = [r["count"] for r in spread(copies, "k", hot).groupBy(SLOT).count().collect()]
-    assert sizes == [100] * 12
+
+@pytest.mark.parametrize("key", ["hot", "x" * 300])
+@pytest.mark.parametrize("layout", ["scattered", "one partition", "merged shuffle"])
+def test_slots_split_a_hot_key_however_it_lies(spark, key, layout):
+    df = spark.range(1200, numPartitions=24).select("id", F.lit(key).alias("k"))
+    if layout == "one partition":
+        df = df.coalesce(1)
+    if layout == "merged shuffle":
+        df = df.groupBy("id").agg(F.first("k").alias("k"))
+    sizes = slot_sizes(df, hot_keys(df, "k", SkewPolicy(rows_per_slot=100)), ["id"])
+    assert len(sizes) == 12 and sum(sizes) == 1200 and max(sizes) < 150
 
 
 def test_a_row_is_copied_to_each_slot_of_its_key(spark, facts, lookup):
-    hot = hot_keys(facts, "k", FORCED).withColumnRenamed("k", "lk")
+    hot = hot_keys(facts, "k", FORCED)
     counted = replicate(lookup, "lk", hot).groupBy("lk").count()
     copies = {r.lk: r["count"] for r in counted.collect()}
     assert copies["hot"] == 20 and copies["unused"] == 1
@@ -78,7 +98,8 @@ def test_sizes_are_checked(spark, sf_dir):
     assert fits_broadcast(small, SkewPolicy())
     assert not fits_broadcast(small, FORCED)
     assert not can_be_hot(small, SkewPolicy())
-    assert can_be_hot(small, FORCED)
+    assert not can_be_hot(small, SkewPolicy(rows_per_slot=25))
+    assert can_be_hot(small, SkewPolicy(rows_per_slot=24))
     assert planned_bytes(small.select("n_name")) < planned_bytes(small)
 
 
@@ -89,7 +110,7 @@ def orders_with_crowds(spark):
     ships = {"lines": 1, "both": 35, "ships": 70, "few": 2, "orphan": 40}
     items = spark.createDataFrame(
         [(k, f"{k}-{i}") for k, n in lines.items() for i in range(n)],
-        "order_id string, line string",
+        "order_id string, order_item_id string",
     ).repartition(7)
     shipments = spark.createDataFrame(
         [(f"{k}-s{i}", k) for k, n in ships.items() for i in range(n)],
@@ -103,7 +124,7 @@ def orders_with_crowds(spark):
 def test_join_shipments(orders_with_crowds):
     items, shipments = orders_with_crowds
     plain = items.join(shipments, "order_id", "left")
-    for policy in (PLAIN, FORCED, SkewPolicy(task_bytes=-1, rows_per_slot=1, max_keys=2)):
+    for policy in (PLAIN, FORCED, SkewPolicy(rows_per_slot=1)):
         out = join_shipments(items, shipments, policy)
         assert sorted(out.columns) == sorted(plain.columns)
         assert rows(out, *sorted(out.columns)) == rows(plain, *sorted(out.columns))
@@ -126,18 +147,18 @@ def test_join_shipments_without_adaptive_execution(spark, orders_with_crowds):
     st.lists(st.sampled_from(["a", "b", "c", "e"]), min_size=1, max_size=25),
 )
 def test_any_lines_and_shipments(spark, lines, ships):
-    items = spark.createDataFrame(list(enumerate(lines)), "line int, order_id string")
+    items = spark.createDataFrame(list(enumerate(lines)), "order_item_id int, order_id string")
     given_ships = spark.createDataFrame(list(enumerate(ships)), "n int, order_id string")
     shipments = given_ships.withColumnsRenamed({"n": "shipment_id"}).withColumns(
         {c: F.lit("x") for c in ("carrier", "shipment_date", "delivery_date", "shipment_status")}
     )
-    out = join_shipments(items, shipments, SkewPolicy(task_bytes=-1, rows_per_slot=2))
+    out = join_shipments(items, shipments, SkewPolicy(rows_per_slot=2))
     expected = [
         (k, line, n)
         for line, k in enumerate(lines)
         for n in ([i for i, s in enumerate(ships) if s == k] or [None])
     ]
-    assert rows(out, "order_id", "line", "shipment_id") == sorted(expected, key=repr)
+    assert rows(out, "order_id", "order_item_id", "shipment_id") == sorted(expected, key=repr)
 
 
 def test_keys_need_not_be_text(spark):
@@ -147,22 +168,47 @@ def test_keys_need_not_be_text(spark):
     assert rows(lookup_join(facts, lookup, "k", "lk", "left", FORCED)) == rows(plain)
 
 
+def test_keys_of_different_types_are_refused(spark):
+    facts = spark.range(40).withColumn("k", F.col("id") % 3)
+    lookup = spark.createDataFrame([("0", "zero")], "lk string, v string")
+    with pytest.raises(TypeError):
+        lookup_join(facts, lookup, "k", "lk", "left", FORCED)
+
+
+def test_hot_keys_are_sought_in_the_table_they_come_from(spark, facts, lookup):
+    joined = facts.join(facts.select(F.col("id").alias("same")), F.col("id") == F.col("same"))
+    plain = joined.join(lookup, F.col("k") == F.col("lk"), "left")
+    out = lookup_join(joined, lookup, "k", "lk", "left", FORCED, ["id"], facts)
+    assert rows(out) == rows(plain)
+
+
+def crowds(items, shipments, policy):
+    """``{order: (batches of lines, batches of shipments)}``"""
+    keys = items.select("order_id").union(shipments.select("order_id")).distinct()
+    coded = keys.select("order_id", *key_codes("order_id"))
+    found = coded.join(crowded_orders(items, shipments, policy), CODES)
+    return {r.order_id: (r._lines, r._shipments) for r in found.collect()}
+
+
 def test_crowded_orders(orders_with_crowds):
     items, shipments = orders_with_crowds
-    found = {tuple(r) for r in crowded_orders(items, shipments, FORCED).collect()}
-    assert found == {
-        ("lines", 6, 1),
-        ("both", 5, 4),
-        ("ships", 1, 7),
-        ("bare-many", 5, 1),
-        ("orphan", 1, 4),
-    }
-    assert crowded_orders(items, shipments, PLAIN) is None
-
-
-def test_batches_are_smaller_than_the_order(orders_with_crowds):
-    items, shipments = orders_with_crowds
-    crowded = crowded_orders(items, shipments, FORCED)
-    placed = place(items, crowded, "_lines").where("order_id = 'lines'")
-    sizes = [r["count"] for r in placed.groupBy(*BATCHES).count().collect()]
-    assert sum(sizes) == 60 and len(sizes) > 3 and max(sizes) < 30
+    found = crowds(items, shipments, FORCED)
+    assert set(found) == {"lines", "both", "ships", "bare-many", "orphan"}
+    sizes = {"lines": (60, 1), "both": (45, 35), "ships": (2, 70), "bare-many": (50, 1), "orphan": (1, 40)}
+    for order, (lines, ships) in sizes.items():
+        assert lines * ships / (found[order][0] * found[order][1]) <= 5
+    assert crowds(items, shipments, PLAIN) == {}
+
+
+def test_cells_hold_what_a_slot_does(spark):
+    """900 lines and 900 shipments give 810,000 rows; no cell takes much of them."""
+    policy = SkewPolicy(rows_per_slot=1000)
+    items = spark.range(900).select(F.lit("O").alias("order_id"), F.col("id").alias("order_item_id"))
+    shipments = spark.range(900).select(F.lit("O").alias("order_id"), F.col("id").alias("shipment_id"))
+    crowded = crowded_orders(items, shipments, policy)
+    lines = place(items, crowded, "_lines", "order_item_id").drop("_lines", "_shipments")
+    met = lines.join(
+        place(shipments, crowded, "_shipments", "shipment_id").drop("_lines", "_shipments"), MEET_ON
+    )
+    cells = [r["count"] for r in met.groupBy(*BATCHES).count().collect()]
+    assert sum(cells) == 810_000 and max(cells) <= 1500 and len(cells) >= 810
