@@ -46,7 +46,7 @@ def raw_schema(spark: SparkSession, path: str, table: str) -> T.StructType:
     )
 
 
-def _scan(spark: SparkSession, base: str, table: str) -> DataFrame:
+def _scan(spark: SparkSession, base: str, table: str, whole_lines: bool = False) -> DataFrame:
     path = zone_path(base, RAW_ZONE, table)
     names = [*raw_header(spark, path, table), BAD_LINE]
     return (
@@ -54,6 +54,8 @@ def _scan(spark: SparkSession, base: str, table: str) -> DataFrame:
         .option("header", True)
         .option("enforceSchema", False)
         .option("columnNameOfCorruptRecord", BAD_LINE)
+        # A scan of few columns does not see how many fields a line has.
+        .option("columnPruning", not whole_lines)
         .csv(path)
         .withColumn("source_file", F.col("_metadata.file_path"))
     )
@@ -72,7 +74,7 @@ def read_raw(spark: SparkSession, base: str, table: str) -> DataFrame:
 def bad_lines(spark: SparkSession, base: str, table: str) -> DataFrame:
     """``(source_file, <key>, line)`` of lines with another number of fields than the header."""
     # A plain null check would be pushed into the scan, which fills the column after it.
-    found = _scan(spark, base, table).where(F.coalesce(BAD_LINE, F.lit("")) != "")
+    found = _scan(spark, base, table, True).where(F.coalesce(BAD_LINE, F.lit("")) != "")
     return found.select("source_file", RAW[table][0].name, F.col(BAD_LINE).alias("line"))
 
 
