@@ -53,7 +53,8 @@ def _grams(codes: np.ndarray) -> np.ndarray:
     code, inner = padded, word
     for n in range(2, LONGEST + 1):
         code = code[:-1] | padded[n - 1 :] << (_BITS * (n - 1))
-        whole = word[: len(code)] | word[n - 1 :]
+        # Gaps only stand at the ends, and not alone.
+        whole = word[: len(code)] | word[n - 1 :] if n == 2 else np.ones(len(code), bool)
         for k in range(1, n - 1):
             whole &= word[k : k + len(code)]
         made.append(code[whole])
