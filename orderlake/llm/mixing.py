@@ -78,17 +78,23 @@ def _copies_and_rest() -> dict[str, Column]:
     return {"whole": whole, "rest": F.col("target") - whole * F.col("source_size")}
 
 
-def _rank(preference: Column) -> Column:
-    """Odds of the random number over odds of inclusion; small ranks are drawn first."""
+def _odds_of_inclusion(preference: Column) -> Column:
     size = F.greatest(F.col("source_size"), F.lit(1)).cast("double")
     share = F.col("rest") / size * preference
     share = F.least(F.greatest(share, F.lit(EDGE)), F.lit(1 - EDGE))
+    return share / (1 - share)
+
+
+def _rank(preference: Column) -> Column:
+    """Odds of the random number over odds of inclusion; small ranks are drawn first."""
     u = chance()
-    return u / (1 - u) / (share / (1 - share))
+    return u / (1 - u) / _odds_of_inclusion(preference)
 
 
 def _bucket() -> Column:
-    return F.floor(F.col("rank") / (F.col("rank") + 1) * BUCKETS)
+    """Rises with the rank, and spreads the documents of any source over all buckets."""
+    odds = F.col("rank") * _odds_of_inclusion(F.lit(1.0))
+    return F.floor(odds / (odds + 1) * BUCKETS)
 
 
 def _own_order() -> list[Column]:
