@@ -186,10 +186,10 @@ def thresholds(rows: DataFrame, work: Work) -> DataFrame:
     levels = [
         (fences(own, ["lang", "source"]), ["lang", "source"]),
         (fences(by_lang, ["lang"]), ["lang"]),
-        (fences(merged(by_lang, []), []).withColumn("every", F.lit(True)), ["every"]),
     ]
+    # One row, whatever the size of the corpus.
+    every = fences(merged(by_lang, []), []).first()
     groups = rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("rows"))
-    groups = groups.withColumn("every", F.lit(True))
     for k, (limits, by) in enumerate(levels):
         names = {c: f"{c}_{k}" for c in limits.columns}
         same = F.lit(True)
@@ -198,7 +198,9 @@ def thresholds(rows: DataFrame, work: Work) -> DataFrame:
         groups = groups.join(limits.withColumnsRenamed(names), same, "left")
     enough = [F.col("size_0") >= LEAST_GROUP, F.col("size_1") >= LEAST_GROUP]
     chosen = [
-        F.when(enough[0], F.col(f"{c}_0")).when(enough[1], F.col(f"{c}_1")).otherwise(F.col(f"{c}_2")).alias(c)
+        F.when(enough[0], F.col(f"{c}_0")).when(enough[1], F.col(f"{c}_1"))
+        .otherwise(F.lit(every[c] if every else None).cast("double"))
+        .alias(c)
         for c in _limit_names()
     ]
     return groups.select(F.col("lang").alias("its_lang"), F.col("source").alias("its_source"), *chosen)
