@@ -41,6 +41,12 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, ascending. Sorting is much faster here than hashing, which ``unique`` does."""
+    ordered = np.sort(values)
+    return ordered[np.concatenate([[True], ordered[1:] != ordered[:-1]])] if len(values) else ordered
+
+
 def raw_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of a text column without NULLs, without a copy."""
     column = column.cast(pa.large_string()) if pa.types.is_string(column.type) else column
@@ -112,7 +118,7 @@ def shingle_sets(words: Words) -> list[np.ndarray]:
         at = 0
         for count in words.counts.tolist():
             if count >= SHINGLE:
-                made.append(np.unique(total[at : at + count - SHINGLE + 1]))
+                made.append(distinct(total[at : at + count - SHINGLE + 1]))
             elif count:
                 few = (hashes[at : at + count] * _COEFFICIENTS[:count]).sum(dtype=U)
                 made.append(mixed(np.array([few + U(count)]), 3))

@@ -122,7 +122,11 @@ class UnitCache:
     def _units(part: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         begins, ends = word_spans(part, starts)
         kind = _KIND[part]
-        meets = np.flatnonzero((kind[:-1] + kind[1:] == 3) & (kind[:-1] * kind[1:] == 2)) + 1
-        # Words are apart, so a cut that is no begin lies inside one.
-        inner = np.setdiff1d(meets, starts)
-        return np.union1d(begins, inner), np.union1d(ends, inner)
+        cut = np.zeros(len(part) + 1, bool)
+        cut[1:-1] = (kind[:-1] + kind[1:] == 3) & (kind[:-1] != 0) & (kind[1:] != 0)
+        # A cut between two texts is none; any other lies inside a word.
+        cut[starts] = False
+        first, last = cut.copy(), cut
+        first[begins] = True
+        last[ends] = True
+        return np.flatnonzero(first), np.flatnonzero(last)
