@@ -30,6 +30,7 @@ from orderlake.llm.common import Work, whole_text
 
 # Characters of a chunk; longer documents are cut.
 CHUNK = 1 << 16
+CHUNKS_PER_TASK = 4
 # Units per e-fold of rank. Sums over a chunk stay below 2**24, exact as 32-bit floats.
 UNITS = 16
 # Below the rarest piece; runs of spaces are pieces of last resort.
@@ -335,10 +336,11 @@ def _whole(frame: pd.DataFrame) -> pd.DataFrame:
 def _giants(texts: DataFrame, pieces: Pieces, chunk: int, work: Work) -> DataFrame:
     """``(row, found)`` of documents in chunks, which are dealt over all tasks."""
     longest = _tables(pieces.model)[3]
-    chunks = work.table(
-        texts.select("row", "text").mapInPandas(_cut(chunk, longest), CUT).repartition("row", "k"),
-        "chunks",
-    )
+    # Chunks take long for their size, so a task gets few of them.
+    n_chunks = texts.agg(F.sum(F.length("text"))).first()[0] // chunk + 1
+    tasks = max(1, n_chunks // CHUNKS_PER_TASK)
+    cuts = texts.select("row", "text").mapInPandas(_cut(chunk, longest), CUT)
+    chunks = work.table(cuts.repartition(tasks, "row", "k"), "chunks")
     matrices = work.table(chunks.mapInPandas(_measure(pieces), MATRICES), "matrices")
     entries = matrices.groupBy("row").applyInPandas(_entries(longest), ENTRIES)
     traced = chunks.join(work.table(entries, "entries"), ["row", "k"]).mapInPandas(
