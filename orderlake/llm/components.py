@@ -28,25 +28,41 @@ def _step(links: DataFrame, larger: bool, work: Work) -> DataFrame:
     return work.table(out.where(F.col("a") < F.col("b")).distinct(), "links")
 
 
-def _trace(links: DataFrame) -> tuple:
-    row = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _settled(links: DataFrame) -> bool:
+    """Whether every node sees one smaller node at most, and none that is a larger node elsewhere."""
+    seen = links.select(F.col("b").alias("x"), F.col("a").alias("p"))
+    seen = seen.union(links.select(F.col("a"), F.col("a")))
+    return seen.groupBy("x").agg(F.min("p").alias("p"), F.max("p").alias("q")).where("p < q").isEmpty()
 
 
 def connected(links: DataFrame, work: Work) -> DataFrame:
     """``(node, label)`` of all nodes of the links ``(a, b)``; the label is the smallest node."""
     ordered = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     links = work.table(ordered.where(F.col("a") < F.col("b")).distinct(), "links")
-    before = _trace(links)
     for _ in range(MOST_ROUNDS):
-        links = _step(_step(links, True, work), False, work)
-        now = _trace(links)
-        if now == before:
+        if _settled(links):
             break
-        before = now
+        links = _step(_step(links, True, work), False, work)
     else:
         raise RuntimeError("components did not settle")
     ends = links.select(F.col("b").alias("node"), F.col("a").alias("label"))
+    return work.table(ends.union(links.select(F.col("a"), F.col("a")).distinct()), "labels")
+
+
+def joined(groups: DataFrame, links: DataFrame, work: Work) -> DataFrame:
+    """The components of ``groups`` and further ``links``: only labels are connected anew."""
+    nodes = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    fresh = nodes.join(groups, "node", "left_anti").select("node", F.col("node").alias("label"))
+    groups = work.table(groups.union(fresh), "joined")
+    of_a = groups.select(F.col("node").alias("a"), F.col("label").alias("label_a"))
+    of_b = groups.select(F.col("node").alias("b"), F.col("label").alias("label_b"))
+    between = links.join(of_a, "a").join(of_b, "b").select(
+        F.col("label_a").alias("a"), F.col("label_b").alias("b")
+    )
+    merged = connected(between, work).select(F.col("node").alias("old"), F.col("label").alias("new"))
     return work.table(
-        ends.union(links.select(F.col("a"), F.col("a")).distinct()), "labels"
+        groups.join(merged, F.col("label") == F.col("old"), "left").select(
+            "node", F.coalesce("new", "label").alias("label")
+        ),
+        "labels",
     )

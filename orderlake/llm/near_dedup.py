@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from orderlake.llm.binary_fuse import mixed
 from orderlake.llm.common import Work, whole_text
-from orderlake.llm.components import connected
+from orderlake.llm.components import connected, joined
 from orderlake.llm.shingles import sets_of
 
 U = np.uint64
@@ -275,8 +275,7 @@ def near_groups(docs: DataFrame, with_row: bool = False) -> DataFrame:
             break
         more = search.linked(pairs(mixed_buckets, search), name)
         if not more.isEmpty():
-            links = links.unionByName(more)
-            groups = connected(links, work)
+            groups = joined(groups, more, work)
     found = _labelled(sketched, sets, groups, work)
     return found if with_row else found.drop("some_doc")
 
@@ -445,11 +444,11 @@ def _labelled(
 ) -> DataFrame:
     named = groups.join(sets.select("node", "some_id"), "node")
     least = named.groupBy("label").agg(F.min("some_id").alias("component_id"))
-    joined = work.table(
-        groups.join(work.table(least, "least"), "label").select("node", "component_id"), "joined"
+    named = work.table(
+        groups.join(work.table(least, "least"), "label").select("node", "component_id"), "named"
     )
     own = work.table(
-        sets.select("node", "some_id").join(joined, "node", "left")
+        sets.select("node", "some_id").join(named, "node", "left")
         .select("node", F.coalesce("component_id", "some_id").alias("component_id")),
         "own",
     )
