@@ -11,8 +11,6 @@ Everything is built-in functions. Texts that hold no candidate are passed over e
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -155,10 +153,7 @@ def chi_squared_p(value: Column, size: Column) -> Column:
 
 def _classes(value: Column, size: Column) -> tuple[Column, Column]:
     """The string as digits (1) and others (0), and the expected share of digits."""
-    ones = F.translate(
-        F.regexp_replace(F.regexp_replace(value, "[0-9]", "1"), "[^1]", "0"), "", ""
-    )
-    return ones, 10.0 / size
+    return F.regexp_replace(F.regexp_replace(value, "[0-9]", "1"), "[^1]", "0"), 10.0 / size
 
 
 def runs_p(value: Column, size: Column) -> Column:
