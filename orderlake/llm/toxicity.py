@@ -15,6 +15,7 @@ A document's score comes from the decisions of all its windows.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -254,7 +255,7 @@ class Map:
         return weights
 
 
-def train(texts: list[np.ndarray], toxic: np.ndarray) -> Machine:
+def train(texts: Iterable[np.ndarray], toxic: np.ndarray) -> Machine:
     """Fit on code points of labelled documents. Labels of one kind only give no toxic windows."""
     toxic = np.asarray(toxic, bool)
     streams = [symbols(t) if len(t) else np.zeros(0, np.uint8) for t in texts]
@@ -269,26 +270,27 @@ def train(texts: list[np.ndarray], toxic: np.ndarray) -> Machine:
     tied = {m.tobytes().strip(b"\0") for m in marks[: LANDMARKS - PLAIN_LANDMARKS]}
     per_doc = max(1, CLEAN_WINDOWS // max(1, int((~labels).sum())))
     chosen = np.random.default_rng(1)
-    bad, good, first = [], [], []
-    for stream, label in zip(streams, labels):
-        starts = window_starts(stream)
-        if label:
-            bad.append(mapped.windows(stream, starts))
-            listed = [w in tied for w in _word_list(stream)]
-            first.append(np.array(listed + [False] * (len(starts) - len(listed))))
-        else:
-            starts = chosen.permutation(starts)[:per_doc]
-            good.append(mapped.windows(stream, starts))
-    bad, good, picked = np.concatenate(bad), np.concatenate(good), np.concatenate(first)
+    clean = [s for s, label in zip(streams, labels) if not label]
+    good = np.concatenate(
+        [mapped.windows(s, chosen.permutation(window_starts(s))[:per_doc]) for s in clean]
+    )
+    bad = [s for s, label in zip(streams, labels) if label]
+    starts = [window_starts(s) for s in bad]
+    picked = []
+    for s, at in zip(bad, starts):
+        listed = [w in tied for w in _word_list(s)]
+        picked.append(np.array(listed + [False] * (len(at) - len(listed)), bool))
     for _ in range(ROUNDS):
-        if not picked.any():
+        if not any(p.any() for p in picked):
             return silent
-        x = np.concatenate([bad[picked], good])
-        y = np.repeat([1.0, -1.0], [picked.sum(), len(good)])
-        weight = np.where(y > 0, len(good) / picked.sum(), 1.0) ** 0.5
+        # Only what is picked is mapped; the rest of the toxic documents is seen through the table.
+        taken = np.concatenate([mapped.windows(s, at[p]) for s, at, p in zip(bad, starts, picked)])
+        x = np.concatenate([taken, good])
+        y = np.repeat([1.0, -1.0], [len(taken), len(good)])
+        weight = np.where(y > 0, len(good) / len(taken), 1.0) ** 0.5
         w = _support_vectors(x, y, weight)
-        picked = bad @ w[:-1] + w[-1] > 0
-    fitted = Machine(mapped.table(w[:-1]), float(w[-1]), silent.curve)
+        fitted = Machine(mapped.table(w[:-1]), float(w[-1]), silent.curve)
+        picked = [fitted.windows(s) > 0 for s in bad]
     rows = np.array([summary(fitted.windows(s)) for s in streams])
     return Machine(fitted.weights, fitted.bias, _logistic(rows, labels.astype(float)))
 
@@ -312,7 +314,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Machine:
     """The machine that a bounded sample of labelled documents teaches."""
     rows = labelled_sample(docs, labels).select("doc_id", F.lower("text").alias("text"), "toxic")
     rows = sorted(rows.collect(), key=lambda row: (row["doc_id"], row["text"]))
-    texts = [np.frombuffer(r["text"].encode("utf-32-le"), np.uint32) for r in rows]
+    texts = (np.frombuffer(r["text"].encode("utf-32-le"), np.uint32) for r in rows)
     return train(texts, np.array([r["toxic"] == 1 for r in rows], bool))
 
 
