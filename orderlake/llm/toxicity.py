@@ -161,8 +161,10 @@ def summary(decisions: np.ndarray) -> np.ndarray:
 
 
 def _support_vectors(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """A linear machine with squared hinge loss, by Newton's method in the primal."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    """A linear machine with squared hinge loss, by Newton's method in the primal.
+
+    The last column of ``x`` is ones, for the bias.
+    """
     w = np.zeros(x.shape[1])
     ridge = RIDGE * np.eye(x.shape[1])
     ridge[-1, -1] = 1e-6
@@ -245,7 +247,7 @@ class Map:
             found = np.where(valid, self.index[code[inside]], -1)
             row, _ = hit = np.nonzero(found >= 0)
             np.add.at(out, row, weight * self.phi[found[hit]])
-        return out @ self.root
+        return (out @ self.root).astype(np.float32)
 
     def table(self, w: np.ndarray) -> np.ndarray:
         """The weight of every subsequence in the decision."""
@@ -285,7 +287,8 @@ def train(texts: Iterable[np.ndarray], toxic: np.ndarray) -> Machine:
             return silent
         # Only what is picked is mapped; the rest of the toxic documents is seen through the table.
         taken = np.concatenate([mapped.windows(s, at[p]) for s, at, p in zip(bad, starts, picked)])
-        x = np.concatenate([taken, good])
+        x = np.ones((len(taken) + len(good), good.shape[1] + 1), np.float32)
+        x[: len(taken), :-1], x[len(taken) :, :-1] = taken, good
         y = np.repeat([1.0, -1.0], [len(taken), len(good)])
         weight = np.where(y > 0, len(good) / len(taken), 1.0) ** 0.5
         w = _support_vectors(x, y, weight)
