@@ -3,7 +3,8 @@
 The tokenizer works on stretches of letters, digits or punctuation one by one, so the ids of a text are
 those of its units: runs between ASCII white space, cut where an ASCII letter or digit meets ASCII
 punctuation. Apostrophes and all other characters stay with their neighbours, as they may belong together.
-A text that holds the opening of a special token is given to the tokenizer whole.
+A text that holds the opening of a special token is given to the tokenizer whole. Capitals are made small
+in advance in units of ASCII alone: the tokenizer composes marks first, and some do so only with a small letter.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import os
 
 import numpy as np
 
-from orderlake.llm.shingles import _LOWER, hashed_spans, word_spans
+from orderlake.llm.shingles import _LOWER, distinct, hashed_spans, word_spans
 
 SPECIAL = b"<|"
 # Distinct units that a worker remembers before it starts anew, and units per call of the library.
@@ -97,10 +98,10 @@ class UnitCache:
         return self._encode_plain(part, starts)
 
     def _encode_plain(self, part: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
-        part = _LOWER[part]
         begins, ends = self._units(part, starts)
         if not len(begins):
             return [np.zeros(0, np.uint32)] * (len(starts) - 1)
+        part = self._folded(part, begins, ends)
         hashes = hashed_spans(part, begins, ends)
         _, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         raw = part.tobytes()
@@ -118,6 +119,20 @@ class UnitCache:
         before = np.concatenate([[0], until])[np.searchsorted(begins, starts)]
         return np.split(ids, before[1:-1])
 
+    @staticmethod
+    def _folded(part: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """``part`` with the capitals of units of ASCII alone made small."""
+        folded, high = _LOWER[part], np.flatnonzero(part >= 128)
+        if len(high):
+            # Units in order hold all bytes that are not ASCII.
+            held = distinct(np.searchsorted(begins, high, "right") - 1)
+            edges = np.zeros(len(part) + 1, np.int8)
+            edges[begins[held]] += 1
+            edges[ends[held]] -= 1
+            raw = np.cumsum(edges[:-1], dtype=np.int8).view(bool)
+            folded[raw] = part[raw]
+        return folded
+
     @staticmethod
     def _units(part: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         begins, ends = word_spans(part, starts)

@@ -36,6 +36,15 @@ def test_units_give_the_tokenizers_ids(tokenizer_json, monkeypatch):
         assert [ids.tolist() for ids in found] == wanted
 
 
+def test_marks_that_join_small_letters_only(tokenizer_json):
+    cache, library = UnitCache(tokenizer_json), Tokenizer.from_str(tokenizer_json)
+    pairs = ["H\u0331", "T\u0308", "W\u030a", "Y\u030a", "J\u030c", "T\u0344"]
+    texts = pairs + [p.lower() for p in pairs] + [f"AB {p}x, É CD{p}.EF,{p}" for p in pairs] + ["A", "É"]
+    data, offsets = raw_bytes(pa.array(texts))
+    wanted = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids.tolist() for ids in cache.encode(data, offsets)] == wanted
+
+
 @pytest.mark.parametrize("n", [0, 1, 5, 400])
 def test_shard_round_trip_and_random_access(n):
     rng = np.random.default_rng(n)
