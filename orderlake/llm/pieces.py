@@ -1,11 +1,15 @@
 """SentencePiece encoding and decoding, with giant documents encoded in parallel chunks.
 
-The ids of a text are its segmentation of greatest total score over the pieces of a
-SentencePiece model file. A piece scores the logarithm of its rank in the file, in whole
+With the model of ``Pieces.of_file`` the ids of a text are what SentencePiece gives for the file. A
+giant document is cut where no piece of the file has both neighbours in it, so that no merge crosses the
+cut, and the ids of its chunks are joined.
+
+With the model of ``Pieces.from_file`` the ids of a text are its segmentation of greatest total score over the
+pieces of a SentencePiece model file. A piece scores the logarithm of its rank in the file, in whole
 units, so that sums are exact in any order. Of equal sums the one
 whose last piece is longer wins, at every position.
 
-A giant document is cut into chunks at fixed positions. A piece may reach over
+There a giant document is cut into chunks at fixed positions. A piece may reach over
 a cut, and how far is the state there. A chunk yields the matrix of best
 scores from each state at its begin to each state at its end; the matrices combine
 associatively under (max, +) to the scores at every cut. With these each chunk
@@ -19,6 +23,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -43,7 +48,7 @@ ENCODED = "struct<ids: array<int>, ids_crc32: bigint>"
 
 @dataclass(frozen=True)
 class Pieces:
-    """A model file with whole-unit scores, as the library and as tables."""
+    """A model: as the library, and if it has whole-unit scores, as tables."""
 
     model: bytes
 
@@ -55,6 +60,17 @@ class Pieces:
     def scores(self) -> dict[str, int]:
         return _tables(self.model)[0]
 
+    @property
+    def merges(self) -> bool:
+        """Whether ids come from merges in order, not from a total score."""
+        return _merging(self.model) is not None
+
+    @classmethod
+    def of_file(cls, path: str) -> Pieces:
+        """The model of a file as it is."""
+        with open(path, "rb") as file:
+            return cls(file.read())
+
     @classmethod
     def from_file(cls, path: str) -> Pieces:
         """The pieces of a model file, rescored for segmentation by total score."""
@@ -83,6 +99,25 @@ def _library(model: bytes):
     return loaded
 
 
+@lru_cache(4)
+def _merging(model: bytes):
+    """The library without a space in front, and the neighbours inside pieces; None without merges."""
+    from sentencepiece import sentencepiece_model_pb2 as schema
+
+    proto = schema.ModelProto()
+    proto.ParseFromString(model)
+    if proto.trainer_spec.model_type != schema.TrainerSpec.BPE:
+        return None
+    normalizer = proto.normalizer_spec
+    as_it_is = not (normalizer.precompiled_charsmap or normalizer.remove_extra_whitespaces)
+    if not (as_it_is and normalizer.add_dummy_prefix) or proto.trainer_spec.treat_whitespace_as_suffix:
+        raise ValueError("merges in chunks need a model that leaves texts as they are, one space in front")
+    texts = [p.piece for p in proto.pieces]
+    joined = frozenset(text[k : k + 2] for text in texts for k in range(len(text) - 1))
+    normalizer.add_dummy_prefix = False
+    return _library(proto.SerializeToString()), joined
+
+
 @lru_cache(4)
 def _tables(model: bytes) -> tuple[dict[str, int], frozenset[str], int, int]:
     """Scores, proper beginnings of pieces, the unknown character's score, longest piece."""
@@ -229,15 +264,26 @@ def cut(text: str, chunk: int, longest: int) -> list[tuple[str, str]]:
     ]
 
 
+def cut_between(text: str, chunk: int, joined: frozenset[str]) -> Iterator[str]:
+    """Stretches of symbols of at least ``chunk`` characters, cut between neighbours that no piece joins."""
+    seen, begin = symbols(text), 0
+    while begin < len(seen):
+        end = begin + chunk
+        while end < len(seen) and seen[end - 1 : end + 1] in joined:
+            end += 1
+        yield seen[begin:end]
+        begin = end
+
+
 def _crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-def _encoded(lists: list[list[int]]) -> pa.Array:
-    lengths = np.cumsum([0, *map(len, lists)])
-    flat = np.fromiter((i for ids in lists for i in ids), np.int32, lengths[-1])
-    crcs = [_crc(flat[a:b]) for a, b in zip(lengths[:-1], lengths[1:])]
-    ids = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat))
+def _encoded(flats: list[np.ndarray], lengths: list[int]) -> pa.Array:
+    until = np.cumsum([0, *lengths])
+    flat = np.concatenate(flats) if flats else np.zeros(0, np.int32)
+    crcs = [_crc(flat[a:b]) for a, b in zip(until[:-1], until[1:])]
+    ids = pa.ListArray.from_arrays(pa.array(until, pa.int32()), pa.array(flat))
     return pa.StructArray.from_arrays([ids, pa.array(crcs, pa.int64())], ["ids", "ids_crc32"])
 
 
@@ -250,10 +296,15 @@ def encoding(pieces: Pieces, text: Column) -> Column:
 
     @F.arrow_udf(ENCODED)
     def encode(column: pa.Array) -> pa.Array:
-        lists: list[list[int]] = []
+        # Lists of Python numbers take ten times the memory of arrays, so few are held at a time.
+        flats: list[np.ndarray] = []
+        lengths: list[int] = []
         for at in range(0, len(column), AT_ONCE):
-            lists += pieces.library.encode(column[at : at + AT_ONCE].to_pylist(), num_threads=1)
-        return _encoded(lists)
+            lists = pieces.library.encode(column[at : at + AT_ONCE].to_pylist(), num_threads=1)
+            sizes = [len(ids) for ids in lists]
+            flats.append(np.fromiter(chain.from_iterable(lists), np.int32, sum(sizes)))
+            lengths += sizes
+        return _encoded(flats, lengths)
 
     return encode(text)
 
@@ -333,6 +384,45 @@ def _whole(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"row": [frame["row"].iloc[0]], "found": [found]})
 
 
+STRETCHES = "row long, k int, own string"
+STRETCH_IDS = "row long, k int, ids array<int>"
+
+
+def _cut_between(pieces: Pieces, chunk: int):
+    def cuts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for row, text in zip(frame["row"], frame["text"]):
+                for k, own in enumerate(cut_between(text, chunk, _merging(pieces.model)[1])):
+                    yield pd.DataFrame({"row": [row], "k": [k], "own": [own]})
+
+    return cuts
+
+
+def _merge(pieces: Pieces):
+    def merged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for part in frame.itertuples():
+                ids = _merging(pieces.model)[0].encode(part.own)
+                yield pd.DataFrame({"row": [part.row], "k": [part.k], "ids": [ids]})
+
+    return merged
+
+
+def _joined(frame: pd.DataFrame) -> pd.DataFrame:
+    ids = np.concatenate(frame.sort_values("k")["ids"].tolist()).astype(np.int32)
+    found = {"ids": ids.tolist(), "ids_crc32": _crc(ids)}
+    return pd.DataFrame({"row": [frame["row"].iloc[0]], "found": [found]})
+
+
+def _merged_giants(texts: DataFrame, pieces: Pieces, chunk: int, work: Work) -> DataFrame:
+    """``(row, found)`` of documents cut where no merge crosses."""
+    n_chunks = texts.agg(F.sum(F.length("text"))).first()[0] // chunk + 1
+    cuts = texts.select("row", "text").mapInPandas(_cut_between(pieces, chunk), STRETCHES)
+    dealt = cuts.repartition(max(1, n_chunks // CHUNKS_PER_TASK), "row", "k")
+    ids = work.table(dealt.mapInPandas(_merge(pieces), STRETCH_IDS), "merged")
+    return ids.groupBy("row").applyInPandas(_joined, WHOLE)
+
+
 def _giants(texts: DataFrame, pieces: Pieces, chunk: int, work: Work) -> DataFrame:
     """``(row, found)`` of documents in chunks, which are dealt over all tasks."""
     longest = _tables(pieces.model)[3]
@@ -364,7 +454,8 @@ def encode(docs: DataFrame, pieces: Pieces, chunk: int = CHUNK) -> DataFrame:
     )
     made = rows.where(~long).select("doc", encoding(pieces, F.col("text")).alias("found"))
     if not giants.isEmpty():
-        found = work.table(_giants(giants, pieces, chunk, work), "whole")
+        whole = _merged_giants if pieces.merges else _giants
+        found = work.table(whole(giants, pieces, chunk, work), "whole")
         made = made.unionByName(giants.join(found, "row").select("doc", "found"))
     return made.select("doc.*", "found.ids", "found.ids_crc32")
 

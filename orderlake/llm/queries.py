@@ -101,8 +101,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids of every document, and the digest of what they decode to."""
-    pieces = Pieces.from_file(tokenizer_file(PIECES))
+    """The model's own ids of every document, and the digest of what they decode to."""
+    pieces = Pieces.of_file(tokenizer_file(PIECES))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decode(encode(docs, pieces).drop("text"), pieces).select(
         "doc_id",

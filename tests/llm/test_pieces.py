@@ -3,9 +3,11 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import sentencepiece
 from corpus import corpus, empty, odd
 
 from orderlake.llm import pieces as module
+from orderlake.llm import queries
 from orderlake.llm.pieces import Chunk, Pieces, combined, cut, decode, encode, prefixes, symbols
 
 TEXTS = [
@@ -88,3 +90,40 @@ def test_odd_rows(spark, model):
 
 def test_no_rows(spark, model):
     assert encode(empty(spark), model).collect() == []
+
+
+@pytest.fixture(scope="module")
+def own_library():
+    return sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@pytest.mark.parametrize("size", [1, 3, 64])
+def test_no_merge_crosses_a_cut(own_library, size):
+    own = Pieces.of_file(public_tokenizers.path("piece_bpe_32k.model"))
+    bare, joined = module._merging(own.model)
+    for text in [*TEXTS, " lead trail  ", "▁a ▁▁b"]:
+        parts = list(module.cut_between(text, size, joined))
+        assert "".join(parts) == symbols(text)
+        assert [i for ids in bare.encode(parts) for i in ids] == own_library.encode(text), text
+    assert len(list(module.cut_between(TEXTS[7], size, joined))) > 5
+
+
+@pytest.mark.parametrize("chunk", [module.CHUNK, 100])
+def test_own_model_gives_the_ids_of_its_file(spark, own_library, chunk):
+    own = Pieces.of_file(public_tokenizers.path("piece_bpe_32k.model"))
+    df = corpus(spark, list(enumerate([*TEXTS, "", None])))
+    found = decode(encode(df, own, chunk), own).collect()
+    assert len(found) == len(TEXTS) + 2
+    for r in found:
+        assert r.ids == own_library.encode(r.text or "")
+        assert r.decoded == (r.text or "")
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+
+
+def test_query_gives_the_ids_of_the_named_model(spark, sf_dir, own_library):
+    wanted = {}
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect():
+        ids = own_library.encode(r.text or "")
+        wanted[r.doc_id] = (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+    found = queries.op10_pieces(spark, sf_dir).collect()
+    assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in found} == wanted
