@@ -49,4 +49,8 @@ class Work:
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         """``df`` written and read again, so that a lost executor costs tasks and no lineage."""
-        return written(df, f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}")
+        return written(df, self.path(name))
+
+    def path(self, name: str) -> str:
+        """A new place in the folder."""
+        return f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}"

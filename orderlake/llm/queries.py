@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import quality_rules, secret_scan, toxicity, url_rules
+from orderlake.llm import centroids, passages, quality_rules, secret_scan, toxicity, url_rules
+from orderlake.llm.alignment import Tokenizers, align
 from orderlake.llm.exact_dedup import exact_groups
 from orderlake.llm.language import identify
 from orderlake.llm.mixing import mix
@@ -21,6 +22,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The tokenizer files are given by name; where they lie is the business of their package.
 PIECES = "piece_bpe_32k.model"
 WORD_TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
+# A document of this quality score or more counts as good.
+GOOD = 0.3
 
 URL_RULES = (
     ("com", "/", "allow"),
@@ -112,6 +116,25 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select(
+        "doc_id", "held_out", "score", (F.col("score") >= GOOD).cast("int").alias("predicted"), "top_passage"
+    )
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.clusters(table(spark, sf_dir, "embeddings"))
+    listed = F.concat_ws(",", F.col("centroid").cast("array<string>"))
+    return found.withColumn("centroid_sha256", F.sha2(listed.cast("binary"), 256)).drop("centroid")
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizers = Tokenizers.of_files(tokenizer_file(BYTE_TOKENIZER), tokenizer_file(PIECES))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    return align(table(spark, sf_dir, "documents"), tokenizers, {"groups_sha256": digest}).documents
+
+
 OP1_SQL = """
     select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
            doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
@@ -261,6 +284,48 @@ OP9_SQL = r"""
     from judged join within using (nth)
 """
 
+
+
+def _op12_sql(rounds: int = centroids.ROUNDS) -> str:
+    """Rounds one after the other: distances, nearest centroids, floors of the means."""
+    parts = [
+        """
+    kept as materialized (
+        select row_number() over () as nth, vec_id, embedding from embeddings
+        where len(embedding) = 64
+          and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))),
+    comps as materialized (
+        select nth, j, cast(floor(1024 * embedding[j]::double) as bigint) as x
+        from kept, range(1, 65) as dims(j)),
+    begun as (
+        select nth, row_number() over (order by sha256('3:' || vec_id)) - 1 as c
+        from kept qualify c < 8),
+    c0 as materialized (select c, j, x from begun join comps using (nth))"""
+    ]
+    for r in range(rounds + 1):
+        parts.append(f"""
+    a{r} as materialized (
+        select nth, arg_min(c, d * 8 + c) as c, min(d) as d
+        from (select nth, c, cast(sum((v.x - m.x) * (v.x - m.x)) as hugeint) as d
+              from comps v join c{r} m using (j) group by nth, c)
+        group by nth)""")
+        if r < rounds:
+            parts.append(f"""
+    c{r + 1} as materialized (
+        select o.c, o.j, coalesce(m.x, o.x) as x
+        from c{r} o left join (
+            select c, j, cast((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) as bigint) as x
+            from comps join a{r} using (nth) group by c, j) m using (c, j))""")
+    return f"""
+    with {",".join(parts)},
+    named as (select c, sha256(string_agg(x::varchar, ',' order by j)) as centroid_sha256 from c{rounds} group by c)
+    select vec_id, cast(c as integer) as cluster, cast(d as bigint) as distance,
+           cast(sum(d) over (partition by c) as bigint) as cluster_inertia,
+           cast(sum(d) over () as bigint) as inertia, centroid_sha256
+    from a{rounds} join kept using (nth) join named using (c)
+"""
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -274,6 +339,9 @@ QUERIES: dict[str, Query] = {
         op8_url_rules,
         op9_quality_rules,
         op10_pieces,
+        op11_passages,
+        op12_centroids,
+        op13_alignment,
     )
 }
 
@@ -282,4 +350,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_mixing": OP6_SQL,
     "op8_url_rules": OP8_SQL,
     "op9_quality_rules": OP9_SQL,
+    "op12_centroids": _op12_sql(),
 }

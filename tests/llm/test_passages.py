@@ -1,0 +1,114 @@
+import numpy as np
+import pyarrow as pa
+import pytest
+from corpus import corpus, empty, odd
+
+from orderlake.llm import passages
+from orderlake.llm.passages import FEATURES, Model, features, passage_starts, score, scores, train
+from orderlake.llm.queries import op11_passages
+from orderlake.llm.shingles import raw_bytes
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def prose(seed, n=120):
+    random = np.random.default_rng(seed)
+    return " ".join("".join(random.choice(list("abcdefghij"), 5)) for _ in range(n)) + "."
+
+
+def junk(seed, n=120):
+    return prose(seed, n).upper().replace(" ", "!! ")
+
+
+def test_passages_of_rows():
+    starts, counts = passage_starts(np.array([0, 0, 512, 1025]))
+    assert starts.tolist() == [0, 0, 512, 1024] and counts.tolist() == [1, 1, 2]
+
+
+def test_features_are_those_of_each_passage_alone():
+    texts = ["", "Ab 1.", "", "x" * 600 + " x x", "été!"]
+    data, offsets = raw_bytes(pa.array(texts, pa.large_string()))
+    together = features(data, passage_starts(offsets)[0])
+    parts = [t.encode()[k : k + 512] for t in texts for k in range(0, max(len(t.encode()), 1), 512)]
+    alone = [features(np.frombuffer(p, np.uint8), np.zeros(1, np.int64))[0] for p in parts]
+    assert np.array_equal(together, np.array(alone)) and together.shape[1] == FEATURES
+    assert not together[0].any()
+
+
+def test_gradient_is_the_slope_of_the_loss():
+    random = np.random.default_rng(3)
+    counts = np.array([1, 3, 2])
+    x, y, weight = random.random((6, FEATURES)), np.array([1.0, 0.0, 1.0]), np.array([0.5, 0.3, 0.2])
+    begin = Model.begin(0.3)
+    model = Model(*(random.normal(0, 0.5, getattr(begin, n).shape) for n in "WbVUwcd"))
+
+    def loss(m):
+        _, total, z = m.bags(x, counts)
+        p = m.curve(z / total[:, None])
+        return -(weight * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum()
+
+    slope = passages._gradient(model, x, counts, y, weight)
+    for name in "WbVUwcd":
+        at = tuple(random.integers(0, s) for s in getattr(model, name).shape)
+        sides = []
+        for step in (1e-5, -1e-5):
+            moved = {n: getattr(model, n).copy() for n in "WbVUwcd"}
+            moved[name][at] += step
+            sides.append(loss(Model(**moved)))
+        assert np.isclose((sides[0] - sides[1]) / 2e-5, getattr(slope, name)[at], atol=1e-7)
+
+
+@pytest.fixture(scope="module")
+def model():
+    texts = [prose(i) for i in range(30)] + [junk(i) for i in range(30)]
+    bags = []
+    for text in texts:
+        data = np.frombuffer(text.encode(), np.uint8)
+        bags.append(features(data, passage_starts(np.array([0, len(data)]))[0]))
+    return train(bags, np.repeat([1, 0], 30), np.ones(60))
+
+
+def test_blocks_of_a_long_text_give_the_score_of_the_whole(model, monkeypatch):
+    texts = [prose(1, 4000), "", junk(5, 3000) + prose(2, 10), "é" * 5000]
+    wanted = scores(model, *raw_bytes(pa.array(texts, pa.large_string())))
+    monkeypatch.setattr(passages, "BLOCK", 1536)
+    made = scores(model, *raw_bytes(pa.array(texts, pa.large_string())))
+    assert np.allclose(made[0], wanted[0], atol=1e-9)
+    # All passages of the last text are alike.
+    assert made[1].tolist()[:3] == wanted[1].tolist()[:3]
+
+
+def test_one_bad_passage_is_attended_to(model):
+    text = prose(70, 100)[:512] + junk(71, 100)[:512] + prose(72, 300)
+    (found,), (top,) = scores(model, *raw_bytes(pa.array([text], pa.large_string())))
+    (clean,), _ = scores(model, *raw_bytes(pa.array([prose(70, 400)], pa.large_string())))
+    assert clean > 0.9 and found < clean and top >= 0
+
+
+def test_held_out_documents_of_the_driver(spark):
+    folder = "/root/testdata/sf0.01"
+    known = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")
+    rows = op11_passages(spark, folder).join(known, "doc_id").where("held_out").collect()
+    right = [r.predicted == r.quality for r in rows]
+    good = [r.predicted for r in rows if r.quality]
+    assert len(rows) > 50 and np.mean(right) > 0.95 and np.mean(good) > 0.97
+
+
+def test_labels_of_held_out_rows_teach_nothing(spark):
+    rows = [(i, prose(i) if i % 2 else junk(i)) for i in range(40)]
+    docs = corpus(spark, rows)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], LABELS)
+    first = score(docs, labels)
+    held = {r.doc_id for r in first.where("held_out").collect()}
+    turned = spark.createDataFrame([(i, 1 - i % 2 if i in held else i % 2, 0) for i in range(40)], LABELS)
+    assert held and sorted(map(tuple, first.collect())) == sorted(map(tuple, score(docs, turned).collect()))
+
+
+def test_odd_rows_and_no_labels(spark):
+    df = odd(spark)
+    labels = spark.createDataFrame([(4, 1, 0), (10, 0, 0), (6, 0, 0), (None, 1, 0), (5, None, None), (77, 1, 1)], LABELS)
+    found = score(df, labels).collect()
+    assert len(found) == df.count() and all(0 <= r.score <= 1 for r in found)
+    assert len({r.score for r in found if r.doc_id in (1, 2)}) == 1
+    assert {r.score for r in score(df, labels.where("false")).collect()} == {0.5}
+    assert score(empty(spark), labels).collect() == []
