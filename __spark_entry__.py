@@ -32,8 +32,8 @@ from orderlake.operators.duplicates import COUNT, add_duplicate_count  # noqa: E
 from orderlake.operators.quality import prepare, reject_summary, split  # noqa: E402
 from orderlake.operators.rules import SPECS  # noqa: E402
 from orderlake.operators.skew import DEFAULT_POLICY, SkewPolicy  # noqa: E402
-from orderlake.plans import checks, curated, dashboard, reports  # noqa: E402
-from orderlake.plans.pipeline import run_pipeline  # noqa: E402
+from orderlake.plans import checks, curated, dashboard, reports, rollup  # noqa: E402
+from orderlake.plans.pipeline import facts_of, run_pipeline  # noqa: E402
 from orderlake.schemas import CURATED_INPUTS, ORDER_ANALYTICS_COLUMNS, TABLES  # noqa: E402
 from orderlake.sources import (  # noqa: E402
     CURATED,
@@ -41,8 +41,10 @@ from orderlake.sources import (  # noqa: E402
     PROCESSED,
     RAW_ZONE,
     REJECTED,
+    ROLLUP_TABLE,
     read_raw,
     read_zone,
+    record,
     zone_path,
 )
 from orderlake.sources.work import new_work_folder  # noqa: E402
@@ -121,10 +123,16 @@ class Zones:
     def raw(self, table: str) -> DataFrame:
         return raw_table(self.spark, self.sf_dir, table)
 
-    def curated(self) -> DataFrame:
-        wide = read_zone(self.spark, self.base, CURATED, CURATED_TABLE)
+    def curated(self, derived: bool = False) -> DataFrame:
+        wide = read_zone(self.spark, self.base, CURATED, CURATED_TABLE, derived)
         return wide.withColumn("quantity", F.col("quantity").cast("int"))
 
+    def rollup(self) -> DataFrame:
+        return read_zone(self.spark, self.base, CURATED, ROLLUP_TABLE)
+
+    def facts(self) -> curated.Facts:
+        return facts_of(self.spark, self.base)
+
 
 def as_csv(raw: DataFrame):
     """A writer that keeps blanks around values."""
@@ -216,36 +224,43 @@ def join_orders_items(policy: SkewPolicy, spark: SparkSession, sf_dir: str) -> D
     zones = Zones(spark, sf_dir)
     orders = zones.processed("orders").select("order_id", "order_date", "order_status")
     items = zones.processed("order_items").drop(*CLOCKS)
-    return comparable(curated.join_orders_items(orders, items, policy))
+    return comparable(curated.join_orders_items(orders, items, policy, facts=zones.facts()))
 
 
 def join_customers(policy: SkewPolicy, spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = Zones(spark, sf_dir)
     orders = zones.processed("orders").select("order_id", "customer_id")
-    return curated.join_customers(orders, zones.processed("customers"), policy)
+    return curated.join_customers(orders, zones.processed("customers"), policy, facts=zones.facts())
 
 
 def join_products(policy: SkewPolicy, spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = Zones(spark, sf_dir)
     items = zones.processed("order_items").select("order_item_id", "product_id")
-    return curated.join_products(items, zones.processed("products"), policy)
+    return curated.join_products(items, zones.processed("products"), policy, facts=zones.facts())
 
 
 def join_warehouses(policy: SkewPolicy, spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = Zones(spark, sf_dir)
     orders = zones.processed("orders").select("order_id", "warehouse_id")
-    return curated.join_warehouses(orders, zones.processed("warehouses"), policy)
+    return curated.join_warehouses(orders, zones.processed("warehouses"), policy, facts=zones.facts())
 
 
 def join_shipments(policy: SkewPolicy, spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = Zones(spark, sf_dir)
     items = zones.processed("order_items").select("order_id", "order_item_id")
-    return comparable(curated.join_shipments(items, zones.processed("shipments"), policy))
+    return comparable(curated.join_shipments(items, zones.processed("shipments"), policy, facts=zones.facts()))
 
 
 def order_analytics(policy: SkewPolicy, spark: SparkSession, sf_dir: str) -> DataFrame:
+    zones = Zones(spark, sf_dir)
+    inputs = map(zones.processed, CURATED_INPUTS)
+    return comparable(curated.build_order_analytics(*inputs, policy=policy, facts=zones.facts()))
+
+
+def order_analytics_searched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without the record of the zones: crowded orders are searched for."""
     inputs = map(Zones(spark, sf_dir).processed, CURATED_INPUTS)
-    return comparable(curated.build_order_analytics(*inputs, policy=policy))
+    return comparable(curated.build_order_analytics(*inputs))
 
 
 JOINS = {
@@ -314,7 +329,39 @@ REPORTS: dict[str, tuple[Callable[[DataFrame], DataFrame], dict[str, int]]] = {
 
 def _report(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     build, digits = REPORTS[name]
-    return comparable(build(Zones(spark, sf_dir).curated()), digits)
+    # Sliced reports see the month that the folders are named by.
+    return comparable(build(Zones(spark, sf_dir).curated(name in SLICED)), digits)
+
+
+SLICED = [name for name in REPORTS if name.endswith("_sliced")]
+
+# The reports that the roll-up answers too: name of the report, and how.
+ROLLED: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "total_revenue": rollup.total_revenue,
+    "total_orders": rollup.total_orders,
+    "revenue_by_category": partial(rollup.revenue_by, dimension="category"),
+    "revenue_by_warehouse": partial(rollup.revenue_by, dimension="warehouse_city"),
+    "revenue_by_segment": partial(rollup.revenue_by, dimension="customer_segment"),
+    "orders_by_status": rollup.orders_by_status,
+    "avg_delivery_days": rollup.avg_delivery_days,
+    "category_performance": partial(rollup.performance_by, dimension="category"),
+    "warehouse_performance": partial(rollup.performance_by, dimension="warehouse_city"),
+    "segment_performance": rollup.segment_performance,
+    "shipment_completeness": rollup.shipment_completeness,
+    "revenue_by_month_name": rollup.revenue_by_month_name,
+    "revenue_month_over_month": lambda rows: reports.revenue_month_over_month(
+        rows.withColumnRenamed("revenue", "line_revenue")
+    ),
+    "kpi_cards": rollup.kpi_cards,
+    "kpi_cards_sliced": partial(rollup.kpi_cards, slicers=SLICERS),
+    "dq_summary": rollup.dq_summary,
+    "dq_affected_orders": rollup.affected_orders,
+    "dq_duplicate_orders": rollup.duplicate_orders,
+}
+
+
+def _rolled(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(ROLLED[name](Zones(spark, sf_dir).rollup()), REPORTS[name][1])
 
 
 # Reconciliation between zones
@@ -337,11 +384,8 @@ def dq_delivered_missing_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_reconcile_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    zones = Zones(spark, sf_dir)
-    readers = {RAW_ZONE: zones.raw, PROCESSED: zones.processed, REJECTED: zones.rejected}
-    return checks.reconcile_zones(
-        {zone: {t: read(t) for t in TABLES} for zone, read in readers.items()}
-    )
+    """From the record of the run that wrote the zones."""
+    return checks.reconcile_record(record(spark, Zones(spark, sf_dir).base))
 
 
 def own_queries() -> dict[str, Query]:
@@ -359,7 +403,9 @@ def own_queries() -> dict[str, Query]:
         found[f"reject_summary_{table}"] = partial(_reject_summary, table)
     found |= {name: partial(join, DEFAULT_POLICY) for name, join in JOINS.items()}
     found |= {name: partial(_report, name) for name in REPORTS}
+    found |= {f"rollup_{name}": partial(_rolled, name) for name in ROLLED}
     for query in (
+        order_analytics_searched,
         parse_dates,
         safe_division,
         dq_delivered_coverage,

@@ -401,6 +401,9 @@ def statements() -> dict[str, str]:
         from normal_inventory"""
     for name in SPREAD:
         queries[f"{name}_spread"] = queries[name]
+    queries["order_analytics_searched"] = queries["order_analytics"]
+    for name in ROLLED:
+        queries[f"rollup_{name}"] = queries[name]
     return {name: _with(ctes, text) for name, text in queries.items()}
 
 
@@ -410,3 +413,11 @@ SPREAD = (
     + "join_orders_items join_customers join_products join_warehouses join_shipments".split()
     + ["order_analytics"]
 )
+
+# Reports over the curated table that its roll-up must answer alike.
+ROLLED = """
+    total_revenue total_orders revenue_by_category revenue_by_warehouse revenue_by_segment
+    orders_by_status avg_delivery_days category_performance warehouse_performance
+    segment_performance shipment_completeness revenue_by_month_name revenue_month_over_month
+    kpi_cards kpi_cards_sliced dq_summary dq_affected_orders dq_duplicate_orders
+""".split()

@@ -54,9 +54,12 @@ def shuffled_counts(
 
 
 def add_duplicate_count(
-    df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_POLICY
+    df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_POLICY, rows: int | None = None
 ) -> DataFrame:
-    """Add ``_duplicate_count``, the number of rows with the same key, to every row."""
-    if can_be_hot(df, policy):
+    """Add ``_duplicate_count``, the number of rows with the same key, to every row.
+
+    ``rows`` is the number of rows where it is known; else they are counted.
+    """
+    if can_be_hot(df, policy, rows):
         return shuffled_counts(df, key, repeated_keys(df, key), policy)
     return df.withColumn(COUNT, F.count(F.lit(1)).over(Window.partitionBy(key)))

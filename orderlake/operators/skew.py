@@ -56,10 +56,13 @@ def fits_broadcast(df: DataFrame, policy: SkewPolicy) -> bool:
     return planned_bytes(df) <= (broadcast_bytes(df) if limit is None else limit)
 
 
-def can_be_hot(df: DataFrame, policy: SkewPolicy) -> bool:
-    """Whether ``df`` has more rows than a slot. Counts no further than that in any partition."""
-    most = policy.rows_per_slot
-    return df.select(F.lit(1)).limit(most + 1).count() > most
+def can_be_hot(df: DataFrame, policy: SkewPolicy, rows: int | None = None) -> bool:
+    """Whether ``df`` has more rows than a slot.
+
+    ``rows`` is its number of rows where a record of its write tells it. Else they are counted: one number per
+    partition is moved, and of a plain Parquet table the footers alone are read.
+    """
+    return (df.count() if rows is None else rows) > policy.rows_per_slot
 
 
 def key_codes(key: str) -> list[Column]:
@@ -127,18 +130,19 @@ def lookup_join(
     policy: SkewPolicy = DEFAULT_POLICY,
     row_key: Sequence[str] = (),
     keys: DataFrame | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Join many ``facts`` to the few rows per key of ``lookup``.
 
     A lookup under Spark's broadcast threshold needs no shuffle, hence no care
     for skew. Any other is shuffled, and hot keys of the facts are spread by ``row_key``, columns
     that tell facts apart (all columns if not given). Hot keys are looked for in ``keys``: the table that the
-    facts' keys come from, where ``facts`` are joined rows already.
+    facts' keys come from, where ``facts`` are joined rows already. ``rows`` is how many rows that table has, if known.
     """
     if fits_broadcast(lookup, policy):
         return facts.join(lookup, F.col(key) == F.col(lookup_key), how)
     searched = facts if keys is None else keys
-    if not can_be_hot(searched, policy):
+    if not can_be_hot(searched, policy, rows):
         return facts.join(lookup, F.col(key) == F.col(lookup_key), how)
     kinds = dict(facts.dtypes)[key], dict(lookup.dtypes)[lookup_key]
     if kinds[0] != kinds[1]:

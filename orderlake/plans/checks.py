@@ -151,3 +151,13 @@ def reconcile_zones(zones: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:
     )
     adds_up = F.col("raw_rows") == F.col("processed_rows") + F.col("rejected_rows")
     return counted.withColumn("reconciled", adds_up)
+
+
+def reconcile_record(record: DataFrame) -> DataFrame:
+    """The same from the counts that the run kept when it wrote the zones; no table is read."""
+    zones = ("raw", "processed", "rejected")
+    counted = record.where(F.col("zone").isin(*zones)).groupBy("table_name").agg(
+        *(F.sum(F.when(F.col("zone") == zone, F.col("rows"))).alias(f"{zone}_rows") for zone in zones)
+    )
+    adds_up = F.col("raw_rows") == F.col("processed_rows") + F.col("rejected_rows")
+    return counted.withColumn("reconciled", adds_up)

@@ -2,11 +2,18 @@
 
 The two small-per-key lookups of an order (customer, warehouse) are joined to
 orders, and the product to the lines, before lines and orders meet. Then orders, lines and
-shipments meet on one key, so each of the three is shuffled by it once.
+shipments meet on one key, so each of the three is shuffled by it once. Zones in buckets by that
+key are not shuffled at all.
+
+What the record of the zones tells is not looked up in the rows again: where no order has many lines
+and many shipments, none can be crowded, and none is searched for.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +30,30 @@ from orderlake.operators.skew import (
 from orderlake.schemas import ORDER_ANALYTICS_COLUMNS
 
 
+@dataclass(frozen=True)
+class Facts:
+    """What the record of the zones tells about the inputs: nothing, if they were never written."""
+
+    rows: Mapping[str, int] = field(default_factory=dict)
+    # The most lines and the most shipments of one order.
+    most_lines: int | None = None
+    most_shipments: int | None = None
+    # ``(order_id, rows)`` of orders with more than one line or shipment.
+    lines: DataFrame | None = None
+    shipments: DataFrame | None = None
+    # Lines, shipments and orders lie in the same number of buckets.
+    bucketed: bool = False
+
+    def uncrowded(self, policy: SkewPolicy) -> bool:
+        """Whether no order can give more rows than a slot."""
+        if self.most_lines is None or self.most_shipments is None:
+            return False
+        return max(self.most_lines, 1) * max(self.most_shipments, 1) <= policy.rows_per_slot
+
+
+UNKNOWN = Facts()
+
+
 def _named(df: DataFrame, **names: str) -> DataFrame:
     return df.select(*(F.col(old).alias(new) for new, old in names.items()))
 
@@ -32,6 +63,7 @@ def join_customers(
     customers: DataFrame,
     policy: SkewPolicy = DEFAULT_POLICY,
     keys: DataFrame | None = None,
+    facts: Facts = UNKNOWN,
 ) -> DataFrame:
     """Customer columns for each order, NULL when the customer is unknown."""
     known = _named(
@@ -40,8 +72,9 @@ def join_customers(
         customer_name="customer_name",
         customer_segment="customer_segment",
     )
+    rows = facts.rows.get("orders")
     return lookup_join(
-        orders, known, "customer_id", "known_customer_id", "left", policy, ["order_id"], keys
+        orders, known, "customer_id", "known_customer_id", "left", policy, ["order_id"], keys, rows
     )
 
 
@@ -50,6 +83,7 @@ def join_warehouses(
     warehouses: DataFrame,
     policy: SkewPolicy = DEFAULT_POLICY,
     keys: DataFrame | None = None,
+    facts: Facts = UNKNOWN,
 ) -> DataFrame:
     """Columns of the warehouse named by the order, NULL when it is unknown."""
     known = _named(
@@ -58,13 +92,17 @@ def join_warehouses(
         warehouse_name="warehouse_name",
         warehouse_city="city",
     )
+    rows = facts.rows.get("orders")
     return lookup_join(
-        orders, known, "warehouse_id", "known_warehouse_id", "left", policy, ["order_id"], keys
+        orders, known, "warehouse_id", "known_warehouse_id", "left", policy, ["order_id"], keys, rows
     )
 
 
 def join_products(
-    items: DataFrame, products: DataFrame, policy: SkewPolicy = DEFAULT_POLICY
+    items: DataFrame,
+    products: DataFrame,
+    policy: SkewPolicy = DEFAULT_POLICY,
+    facts: Facts = UNKNOWN,
 ) -> DataFrame:
     """Product columns for each line, NULL when the product is unknown."""
     known = _named(
@@ -74,18 +112,23 @@ def join_products(
         category="category",
         supplier_id="supplier_id",
     )
+    rows = facts.rows.get("order_items")
     return lookup_join(
-        items, known, "product_id", "known_product_id", "left", policy, ["order_item_id"]
+        items, known, "product_id", "known_product_id", "left", policy, ["order_item_id"], rows=rows
     )
 
 
 def join_orders_items(
-    orders: DataFrame, items: DataFrame, policy: SkewPolicy = DEFAULT_POLICY
+    orders: DataFrame,
+    items: DataFrame,
+    policy: SkewPolicy = DEFAULT_POLICY,
+    facts: Facts = UNKNOWN,
 ) -> DataFrame:
     """Lines with their order; lines without an order and orders without lines drop out."""
     known = orders.withColumnRenamed("order_id", "known_order_id")
+    rows = facts.rows.get("order_items")
     return lookup_join(
-        items, known, "order_id", "known_order_id", "inner", policy, ["order_item_id"]
+        items, known, "order_id", "known_order_id", "inner", policy, ["order_item_id"], rows=rows
     ).drop("known_order_id")
 
 
@@ -94,21 +137,28 @@ SHIPMENTS = "_shipments"
 BATCHES = [f"{LINES}_batch", f"{SHIPMENTS}_batch"]
 
 
-def crowded_orders(
-    items: DataFrame, shipments: DataFrame, policy: SkewPolicy
-) -> DataFrame:
+def order_counts(items: DataFrame, shipments: DataFrame) -> DataFrame:
+    """``(order_id, lines, shipments)`` by looking at both tables: their order ids are shuffled once."""
+    both = items.select("order_id", F.lit(1).alias(LINES), F.lit(0).alias(SHIPMENTS)).unionAll(
+        shipments.select("order_id", F.lit(0), F.lit(1))
+    )
+    return both.groupBy("order_id").agg(F.sum(LINES).alias(LINES), F.sum(SHIPMENTS).alias(SHIPMENTS))
+
+
+def recorded_counts(facts: Facts) -> DataFrame:
+    """The same from the counts that were kept when the zones were written."""
+    lines = facts.lines.select("order_id", F.col("rows").alias(LINES), F.lit(0).alias(SHIPMENTS))
+    both = lines.unionAll(facts.shipments.select("order_id", F.lit(0), "rows"))
+    return both.groupBy("order_id").agg(F.sum(LINES).alias(LINES), F.sum(SHIPMENTS).alias(SHIPMENTS))
+
+
+def crowded(counts: DataFrame, policy: SkewPolicy) -> DataFrame:
     """Orders that give more rows than a slot, by codes, and how many batches of each side to make.
 
     An order gives a row per line and shipment. Of its lines and shipments so many batches are
     made that a line batch meets a shipment batch in half a slot's rows on average,
     which leaves room for uneven batches.
     """
-    both = items.select("order_id", F.lit(1).alias(LINES), F.lit(0).alias(SHIPMENTS)).unionAll(
-        shipments.select("order_id", F.lit(0), F.lit(1))
-    )
-    counts = both.groupBy("order_id").agg(
-        F.sum(LINES).alias(LINES), F.sum(SHIPMENTS).alias(SHIPMENTS)
-    )
     lines = F.greatest(LINES, F.lit(1)).cast("double")
     ships = F.greatest(SHIPMENTS, F.lit(1)).cast("double")
     target = policy.rows_per_slot / 2
@@ -123,13 +173,22 @@ def crowded_orders(
     )
 
 
-def place(df: DataFrame, crowded: DataFrame, own: str | None = None, row_key: str = "") -> DataFrame:
+def crowded_orders(
+    items: DataFrame, shipments: DataFrame, policy: SkewPolicy, facts: Facts = UNKNOWN
+) -> DataFrame:
+    """The crowded orders, from the record where there is one."""
+    if facts.lines is None or facts.shipments is None:
+        return crowded(order_counts(items, shipments), policy)
+    return crowded(recorded_counts(facts), policy)
+
+
+def place(df: DataFrame, found: DataFrame, own: str | None = None, row_key: str = "") -> DataFrame:
     """Assign rows to the batches in which lines, shipments and their order meet.
 
     A row is in one batch along its ``own`` axis and is copied along the other,
     so each pair of a line and a shipment of one order meets exactly once.
     """
-    placed = with_hot(df, "order_id", crowded)
+    placed = with_hot(df, "order_id", found)
     for axis, batch in zip((LINES, SHIPMENTS), BATCHES):
         every = F.explode(F.sequence(F.lit(0), F.coalesce(axis, F.lit(1)) - 1))
         placed = placed.withColumn(batch, own_slot(axis, [row_key]) if axis == own else every)
@@ -139,23 +198,35 @@ def place(df: DataFrame, crowded: DataFrame, own: str | None = None, row_key: st
 MEET_ON = ["order_id", *BATCHES]
 
 
+CARRIED = ["order_id", "shipment_id", "carrier", "shipment_date", "delivery_date", "shipment_status"]
+
+
+def _meeting(df: DataFrame, keys: list[str], inputs: list[DataFrame], facts: Facts) -> DataFrame:
+    """``df`` shuffled by ``keys`` into enough partitions, unless it lies in buckets."""
+    return df if facts.bucketed else sized(df, keys, inputs)
+
+
 def join_shipments(
-    lines: DataFrame, shipments: DataFrame, policy: SkewPolicy = DEFAULT_POLICY
+    lines: DataFrame,
+    shipments: DataFrame,
+    policy: SkewPolicy = DEFAULT_POLICY,
+    facts: Facts = UNKNOWN,
 ) -> DataFrame:
     """Every line once per shipment of its order, or once with NULLs when it has none."""
-    crowded = crowded_orders(lines, shipments, policy)
-    placed = place(lines, crowded, LINES, "order_item_id")
     inputs = [lines, shipments]
-    return _ship(sized(placed, MEET_ON, inputs), shipments, crowded, inputs)
+    if facts.uncrowded(policy):
+        met = _meeting(shipments.select(*CARRIED), ["order_id"], inputs, facts)
+        return _meeting(lines, ["order_id"], inputs, facts).join(met, "order_id", "left")
+    found = crowded_orders(lines, shipments, policy, facts)
+    placed = place(lines, found, LINES, "order_item_id")
+    return _ship(sized(placed, MEET_ON, inputs), shipments, found, inputs)
 
 
 def _ship(
-    placed: DataFrame, shipments: DataFrame, crowded: DataFrame, inputs: list[DataFrame]
+    placed: DataFrame, shipments: DataFrame, found: DataFrame, inputs: list[DataFrame]
 ) -> DataFrame:
-    carried = shipments.select(
-        "order_id", "shipment_id", "carrier", "shipment_date", "delivery_date", "shipment_status"
-    )
-    met = place(carried.withColumn("_shipped", F.lit(True)), crowded, SHIPMENTS, "shipment_id")
+    carried = shipments.select(*CARRIED)
+    met = place(carried.withColumn("_shipped", F.lit(True)), found, SHIPMENTS, "shipment_id")
     met = sized(met.drop(LINES, SHIPMENTS), MEET_ON, inputs)
     # An order with several batches of shipments has shipments, so a line that
     # found none in one of the batches is not a line without a shipment.
@@ -175,35 +246,48 @@ def build_order_analytics(
     warehouses: DataFrame,
     shipments: DataFrame,
     policy: SkewPolicy = DEFAULT_POLICY,
+    facts: Facts = UNKNOWN,
 ) -> DataFrame:
     """One row per order line and shipment, 23 columns.
 
     An order with several shipments repeats its lines, so revenue summed over
     this table counts them once per shipment. That is the meaning the reports
-    are defined on.
+    are defined on. ``facts`` are those of the record of the inputs; without them crowded orders are searched for.
     """
     inputs = [orders, items, shipments]
     heads = orders.select("order_id", "order_date", "order_status", "customer_id", "warehouse_id")
-    heads = join_customers(heads, customers, policy, orders)
-    heads = join_warehouses(heads, warehouses, policy, orders).drop("customer_id", "warehouse_id")
+    heads = join_customers(heads, customers, policy, orders, facts)
+    heads = join_warehouses(heads, warehouses, policy, orders, facts)
+    heads = heads.drop("customer_id", "warehouse_id")
     own = ["order_item_id", "order_id", "product_id", "quantity", "unit_price"]
-    lines = join_products(items.select(*own), products, policy).drop("product_id")
-    crowded = crowded_orders(items, shipments, policy)
-    placed = place(heads, crowded).drop(LINES, SHIPMENTS)
-    ordered = sized(placed, MEET_ON, inputs).join(
-        sized(place(lines, crowded, LINES, "order_item_id"), MEET_ON, inputs), MEET_ON
-    )
-    wide = _ship(ordered, shipments, crowded, inputs).withColumnsRenamed(
-        {
-            "known_customer_id": "customer_id",
-            "known_warehouse_id": "warehouse_id",
-            "known_product_id": "product_id",
-        }
+    lines = join_products(items.select(*own), products, policy, facts).drop("product_id")
+    if facts.uncrowded(policy):
+        ordered = _meeting(heads, ["order_id"], inputs, facts).join(
+            _meeting(lines, ["order_id"], inputs, facts), "order_id"
+        )
+        met = _meeting(shipments.select(*CARRIED), ["order_id"], inputs, facts)
+        wide = ordered.join(met, "order_id", "left")
+    else:
+        found = crowded_orders(items, shipments, policy, facts)
+        placed = place(heads, found).drop(LINES, SHIPMENTS)
+        ordered = sized(placed, MEET_ON, inputs).join(
+            sized(place(lines, found, LINES, "order_item_id"), MEET_ON, inputs), MEET_ON
+        )
+        wide = _ship(ordered, shipments, found, inputs)
+    return (
+        wide.withColumnsRenamed(
+            {
+                "known_customer_id": "customer_id",
+                "known_warehouse_id": "warehouse_id",
+                "known_product_id": "product_id",
+            }
+        )
+        .withColumns(
+            {
+                "line_revenue": line_revenue(),
+                "delivery_days": delivery_days(),
+                "curated_timestamp": F.current_timestamp(),
+            }
+        )
+        .select(*ORDER_ANALYTICS_COLUMNS, "curated_timestamp")
     )
-    return wide.withColumns(
-        {
-            "line_revenue": line_revenue(),
-            "delivery_days": delivery_days(),
-            "curated_timestamp": F.current_timestamp(),
-        }
-    ).select(*ORDER_ANALYTICS_COLUMNS, "curated_timestamp")

@@ -36,15 +36,19 @@ def _picked(column: str, picks: Sequence[str | None]) -> Column:
 
 
 def apply_slicers(oa: DataFrame, slicers: Slicers) -> DataFrame:
-    """The rows that every slicer selects; give them to any report or measure."""
+    """The rows that every slicer selects; give them to any report or measure.
+
+    Where the table is read with its ``order_month``, folders of other months are not read.
+    """
     for column in ("warehouse_city", "order_status", "category"):
         picks = getattr(slicers, column)
         if picks:
             oa = oa.where(_picked(column, picks))
-    if slicers.date_from is not None:
-        oa = oa.where(F.col("order_date") >= F.lit(slicers.date_from))
-    if slicers.date_to is not None:
-        oa = oa.where(F.col("order_date") <= F.lit(slicers.date_to))
+    for date, within in ((slicers.date_from, Column.__ge__), (slicers.date_to, Column.__le__)):
+        if date is not None:
+            oa = oa.where(within(F.col("order_date"), F.lit(date)))
+            if "order_month" in oa.columns:
+                oa = oa.where(within(F.col("order_month"), F.lit(date.replace(day=1))))
     return oa
 
 

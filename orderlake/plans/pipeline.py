@@ -10,13 +10,20 @@ Cleaning one table takes three steps, each reading what the last one wrote:
    shuffled. Otherwise the judged rows are shuffled, once, and written apart by verdict.
 
 Losing an executor costs the tasks it ran, never an earlier step.
+
+Orders, lines and shipments are written in buckets by order, so that what joins or groups them by order later does not
+shuffle them. Lines and shipments are counted per order on the way. The largest counts say whether an order is too large for a
+bucket, and whether the curated join must look after crowded orders.
+
+A run becomes visible with its record, all zones at once (see ``sources.records``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from contextlib import contextmanager
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -31,16 +38,27 @@ from orderlake.operators.quality import (
 )
 from orderlake.operators.rules import SPECS
 from orderlake.operators.skew import DEFAULT_POLICY, SkewPolicy, broadcast_bytes
-from orderlake.plans.curated import build_order_analytics
+from orderlake.operators.sizing import PARTITIONS, input_bytes, partitions_for
+from orderlake.plans.curated import Facts, build_order_analytics
+from orderlake.plans.rollup import build_rollup
 from orderlake.schemas import CURATED_INPUTS, TABLES
 from orderlake.sources import (
+    COUNTS,
     CURATED,
     CURATED_TABLE,
     PROCESSED,
+    RAW_ZONE,
     REJECTED,
+    ROLLUP_TABLE,
+    Written,
+    commit,
+    last_record,
+    new_run,
     read_raw,
-    read_zone,
-    write_zone,
+    read_written,
+    remove_run_folders,
+    unused_folders,
+    write_run,
 )
 from orderlake.sources.work import new_work_folder, remove_work_folder, written
 
@@ -50,7 +68,10 @@ class PipelineOptions:
     # Repeated keys are broadcast up to this size; None takes the session's threshold.
     broadcast_bytes: int | None = None
     policy: SkewPolicy = DEFAULT_POLICY
-    partition_curated_by: Sequence[str] = ()
+    # ``order_month`` is made from the order's date; slicers by date then read the months they need.
+    partition_curated_by: Sequence[str] = ("order_month",)
+    # Buckets of orders, lines and shipments; None for as many as their size needs, 0 for none.
+    buckets: int | None = None
     # Tables cleaned side by side; small ones would leave a cluster idle.
     tables_at_once: int = 4
 
@@ -61,6 +82,11 @@ DEFAULT_OPTIONS = PipelineOptions()
 ROW_BYTES = 32
 
 
+# The tables that meet by order, and those of which an order has many rows.
+BY_ORDER = ("orders", "order_items", "shipments")
+PER_ORDER = ("order_items", "shipments")
+
+
 def _repeated(prepared: DataFrame, key: str, path: str, options: PipelineOptions):
     """The repeated keys as a written table, and whether they are few enough to broadcast."""
     size = Observation()
@@ -76,15 +102,36 @@ def _repeated(prepared: DataFrame, key: str, path: str, options: PipelineOptions
     return repeated, size.get["keys"] * ROW_BYTES + 4 * size.get["chars"] <= limit
 
 
+def _order_counts(valid: DataFrame, out: str, table: str, run: str) -> Written:
+    """Write the rows per order of a table, where an order has several, and keep the largest count."""
+    most = Observation()
+    counts = valid.groupBy("order_id").agg(F.count(F.lit(1)).alias("rows"))
+    seen = counts.observe(most, F.coalesce(F.max("rows"), F.lit(0)).alias("most")).where("rows > 1")
+    entry = write_run(seen, out, COUNTS, table, run)
+    return replace(entry, most_per_order=most.get["most"])
+
+
 def clean_table(
     raw: DataFrame,
     spec: TableSpec,
     out: str,
     work: str,
     options: PipelineOptions = DEFAULT_OPTIONS,
-) -> None:
-    """Write the processed and the rejected rows of one table."""
-    prepared = written(prepare(raw, spec), f"{work}/prepared/{spec.name}")
+    run: str | None = None,
+    buckets: int = 0,
+) -> list[Written]:
+    """Write the processed and the rejected rows of one table; what was written is for the record.
+
+    Without a ``run`` it is a run of its own, and its record is written too.
+    """
+    if run is None:
+        run = new_run()
+        entries = clean_table(raw, spec, out, work, options, run, buckets)
+        commit(raw.sparkSession, out, entries)
+        return entries
+    came = Observation()
+    counted = prepare(raw, spec).observe(came, F.count(F.lit(1)).alias("rows"))
+    prepared = written(counted, f"{work}/prepared/{spec.name}")
     repeated, small = _repeated(prepared, spec.key, f"{work}/repeated/{spec.name}", options)
     if small:
         valid = rejected = broadcast_counts(prepared, spec.key, repeated)
@@ -97,46 +144,130 @@ def clean_table(
         )
         valid = apart.where(~F.col("_broken")).drop("_broken")
         rejected = apart.where("_broken").drop("_broken")
+    valid, rejected = valid_rows(valid, spec), rejected_rows(rejected, spec)
+    entries = [Written(RAW_ZONE, spec.name, None, came.get["rows"])]
+    if spec.name in PER_ORDER:
+        entries.append(_order_counts(valid, out, spec.name, run))
+        # All rows of an order lie in one bucket, which a task must be able to hold.
+        if entries[-1].most_per_order > options.policy.rows_per_slot:
+            buckets = 0
+    by = "order_id" if spec.name in BY_ORDER and buckets else None
     # Few rows are rejected by each task; without this they would lie in as many small files.
-    zones = {
-        PROCESSED: valid_rows(valid, spec),
-        REJECTED: rejected_rows(rejected, spec).hint("rebalance"),
-    }
-    with ThreadPoolExecutor(len(zones)) as pool:
-        list(pool.map(lambda zone: write_zone(zones[zone], out, zone, spec.name), zones))
+    writes = [
+        lambda: write_run(valid, out, PROCESSED, spec.name, run, (), buckets if by else 0, by),
+        lambda: write_run(rejected.hint("rebalance"), out, REJECTED, spec.name, run),
+    ]
+    with ThreadPoolExecutor(len(writes)) as pool:
+        return entries + list(pool.map(lambda write: write(), writes))
 
 
-def clean_all(
-    spark: SparkSession,
-    raw: Mapping[str, DataFrame],
-    out: str,
-    options: PipelineOptions = DEFAULT_OPTIONS,
-) -> None:
-    """Write the processed and rejected zones of all tables."""
+def _buckets(raw: Mapping[str, DataFrame], options: PipelineOptions) -> int:
+    """As many buckets as a shuffle of the largest of the tables would have partitions."""
+    if options.buckets is not None:
+        return options.buckets
+    frames = [raw[table] for table in BY_ORDER]
+    now = frames[0].sparkSession.conf.get(PARTITIONS)
+    return max(int(now) if now.isdigit() else 1, partitions_for(sum(map(input_bytes, frames))))
+
+
+def _clean_all(
+    spark: SparkSession, raw: Mapping[str, DataFrame], out: str, options: PipelineOptions, run: str
+) -> list[Written]:
     work = new_work_folder(spark)
+    buckets = _buckets(raw, options)
 
-    def clean(table: str) -> None:
-        clean_table(raw[table], SPECS[table], out, work, options)
+    def clean(table: str) -> list[Written]:
+        return clean_table(raw[table], SPECS[table], out, work, options, run, buckets)
 
     try:
         with ThreadPoolExecutor(options.tables_at_once) as pool:
-            list(pool.map(clean, sorted(TABLES, key=_largest_first)))
+            found = pool.map(clean, sorted(TABLES, key=_largest_first))
+            return [entry for entries in found for entry in entries]
     finally:
         remove_work_folder(spark, work)
 
 
+def clean_all(
+    spark: SparkSession,
+    raw: Mapping[str, DataFrame],
+    out: str,
+    options: PipelineOptions = DEFAULT_OPTIONS,
+) -> None:
+    """Write the processed and rejected zones of all tables, which become current together."""
+    with _run(spark, out) as (run, entries):
+        entries += _clean_all(spark, raw, out, options, run)
+
+
 def _largest_first(table: str) -> int:
     big = ("order_items", "shipments", "orders")
     return big.index(table) if table in big else len(big)
 
 
+@contextmanager
+def _run(spark: SparkSession, out: str) -> Iterator[tuple[str, list[Written]]]:
+    """A run: its tables become current at its end, or are deleted if it fails."""
+    run, entries = new_run(), []
+    try:
+        yield run, entries
+    except BaseException:
+        remove_run_folders(spark, out, [f"{zone}/{table}/{run}" for zone, table in _places()])
+        raise
+    commit(spark, out, entries)
+    remove_run_folders(spark, out, unused_folders(spark, out))
+
+
+def _places() -> list[tuple[str, str]]:
+    cleaned = [(zone, table) for zone in (PROCESSED, REJECTED) for table in TABLES]
+    counts = [(COUNTS, table) for table in PER_ORDER]
+    return [*cleaned, *counts, (CURATED, CURATED_TABLE), (CURATED, ROLLUP_TABLE)]
+
+
+def facts_of(
+    spark: SparkSession, out: str, record: Mapping[tuple[str, str], Written] | None = None
+) -> Facts:
+    """What the record tells about the inputs of the curated join."""
+    record = last_record(spark, out) if record is None else record
+    inputs = {t: record[PROCESSED, t] for t in CURATED_INPUTS if (PROCESSED, t) in record}
+    counts = [record.get((COUNTS, t)) for t in PER_ORDER]
+    if len(inputs) < len(CURATED_INPUTS) or None in counts:
+        return Facts()
+    lines, shipments = (read_written(spark, out, COUNTS, c.table_name, c) for c in counts)
+    return Facts(
+        {t: entry.rows for t, entry in inputs.items()},
+        *(c.most_per_order for c in counts),
+        lines,
+        shipments,
+        inputs["orders"].buckets > 0 and len({inputs[t].buckets for t in BY_ORDER}) == 1,
+    )
+
+
+def _build_curated(
+    spark: SparkSession,
+    out: str,
+    options: PipelineOptions,
+    run: str,
+    record: Mapping[tuple[str, str], Written],
+) -> list[Written]:
+    inputs = [read_written(spark, out, PROCESSED, t, record.get((PROCESSED, t))) for t in CURATED_INPUTS]
+    facts = facts_of(spark, out, record)
+    wide = build_order_analytics(*inputs, policy=options.policy, facts=facts)
+    by = list(options.partition_curated_by)
+    if "order_month" in by:
+        wide = wide.withColumn("order_month", F.trunc("order_date", "month"))
+    if by:
+        # Few files per value, and large values over many tasks.
+        wide = wide.hint("rebalance", *map(F.col, by))
+    entries = [write_run(wide, out, CURATED, CURATED_TABLE, run, by)]
+    rollup = build_rollup(*inputs, policy=options.policy, facts=facts)
+    return [*entries, write_run(rollup, out, CURATED, ROLLUP_TABLE, run)]
+
+
 def build_curated(
     spark: SparkSession, out: str, options: PipelineOptions = DEFAULT_OPTIONS
 ) -> None:
-    """Write the curated table from the processed zone."""
-    inputs = [read_zone(spark, out, PROCESSED, table) for table in CURATED_INPUTS]
-    wide = build_order_analytics(*inputs, policy=options.policy)
-    write_zone(wide, out, CURATED, CURATED_TABLE, options.partition_curated_by)
+    """Write the curated table, and its roll-up, from the processed zone."""
+    with _run(spark, out) as (run, entries):
+        entries += _build_curated(spark, out, options, run, last_record(spark, out))
 
 
 def run_pipeline(
@@ -145,8 +276,10 @@ def run_pipeline(
     out: str,
     options: PipelineOptions = DEFAULT_OPTIONS,
 ) -> None:
-    """Raw files, or ready raw frames by table name, to all zones under ``out``."""
+    """Raw files, or ready raw frames by table name, to all zones under ``out``, which become current together."""
     if isinstance(raw, str):
         raw = {table: read_raw(spark, raw, table) for table in TABLES}
-    clean_all(spark, raw, out, options)
-    build_curated(spark, out, options)
+    with _run(spark, out) as (run, entries):
+        entries += _clean_all(spark, raw, out, options, run)
+        record = {(w.zone, w.table_name): w for w in entries}
+        entries += _build_curated(spark, out, options, run, record)

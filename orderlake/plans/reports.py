@@ -89,19 +89,25 @@ def warehouse_performance(oa: DataFrame) -> DataFrame:
 def segment_performance(oa: DataFrame) -> DataFrame:
     """Customers, orders, revenue and revenue per order of each segment.
 
-    Both distinct counts are row counts of a further reduction, and meet in one row per segment.
+    One scan: the table is reduced to orders, which name their customers, and those to customers. An order counts with the first
+    customer it names, so it counts once, and without any where it names none.
     """
-    per_order = oa.groupBy("customer_segment", "customer_id", "order_id").agg(
-        F.sum("line_revenue").alias("revenue")
+    per_order = oa.groupBy("customer_segment", "order_id").agg(
+        F.sum("line_revenue").alias("revenue"), F.collect_set("customer_id").alias("customers")
     )
-    segment = "customer_segment"
-    customers = per_order.groupBy(segment, "customer_id").agg(F.sum("revenue").alias("revenue"))
-    customers = customers.groupBy(segment).agg(
-        F.count("customer_id").alias("total_customers"), F.sum("revenue").alias("revenue")
+    named = per_order.select(
+        "customer_segment", "order_id", "revenue", F.posexplode_outer("customers").alias("nth", "customer_id")
+    )
+    first = F.coalesce("nth", F.lit(0)) == 0
+    customers = named.groupBy("customer_segment", "customer_id").agg(
+        F.sum(F.when(first, F.col("revenue"))).alias("revenue"),
+        F.count(F.when(first, F.col("order_id"))).alias("orders"),
+    )
+    totals = customers.groupBy("customer_segment").agg(
+        F.count("customer_id").alias("total_customers"),
+        F.sum("orders").alias("total_orders"),
+        F.sum("revenue").alias("revenue"),
     )
-    orders = per_order.select(F.col(segment).alias("of"), "order_id").distinct()
-    orders = orders.groupBy("of").agg(F.count("order_id").alias("total_orders"))
-    totals = customers.join(orders, F.col(segment).eqNullSafe(F.col("of")))
     per_order_value = safe_divide(F.col("revenue"), F.col("total_orders"))
     return totals.select(
         "customer_segment",

@@ -1,29 +1,48 @@
+from orderlake.sources.records import Written, commit, last_record, new_run, record, unused_folders
 from orderlake.sources.zones import (
+    COUNTS,
     CURATED,
     CURATED_TABLE,
     PROCESSED,
     RAW_ZONE,
     REJECTED,
+    ROLLUP_TABLE,
     bad_lines,
+    current,
     read_raw,
+    read_written,
     read_zone,
     register_tables,
     register_views,
+    remove_run_folders,
+    write_run,
     write_zone,
     zone_path,
 )
 
 __all__ = [
+    "COUNTS",
     "CURATED",
     "CURATED_TABLE",
     "PROCESSED",
     "RAW_ZONE",
     "REJECTED",
+    "ROLLUP_TABLE",
     "bad_lines",
+    "commit",
+    "current",
+    "last_record",
+    "new_run",
     "read_raw",
+    "read_written",
     "read_zone",
+    "record",
     "register_tables",
     "register_views",
+    "remove_run_folders",
+    "unused_folders",
+    "write_run",
     "write_zone",
     "zone_path",
+    "Written",
 ]

@@ -30,19 +30,20 @@ def shared_folder(spark: SparkSession) -> str | None:
     with _lock:
         if context.applicationId not in _own:
             _own[context.applicationId] = tempfile.mkdtemp(prefix="orderlake-")
-            files, path = _file_system(spark, _own[context.applicationId])
+            files, path = file_system(spark, _own[context.applicationId])
             files.deleteOnExit(path)
         return _own[context.applicationId]
 
 
-def _file_system(spark: SparkSession, folder: str):
+def file_system(spark: SparkSession, folder: str):
+    """The Hadoop file system of a folder, and the folder as its path."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
 def subfolders(spark: SparkSession, folder: str) -> list[str]:
     """Names of the folders in ``folder``, on whatever file system it lies."""
-    files, path = _file_system(spark, folder)
+    files, path = file_system(spark, folder)
     return sorted(f.getPath().getName() for f in files.listStatus(path) if f.isDirectory())
 
 
@@ -52,7 +53,7 @@ def new_work_folder(spark: SparkSession) -> str:
     if shared is None:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     folder = f"{shared.rstrip('/')}/orderlake-{uuid.uuid4()}"
-    files, path = _file_system(spark, folder)
+    files, path = file_system(spark, folder)
     files.mkdirs(path)
     files.deleteOnExit(path)
     return folder
@@ -60,7 +61,7 @@ def new_work_folder(spark: SparkSession) -> str:
 
 def remove_work_folder(spark: SparkSession, folder: str) -> None:
     """Delete a folder made by ``new_work_folder``, on whatever file system it lies."""
-    files, path = _file_system(spark, folder)
+    files, path = file_system(spark, folder)
     files.delete(path, True)
 
 

@@ -1,25 +1,37 @@
 """The zones of the lake: raw CSV in, processed, rejected and curated Parquet out.
 
-A zone is a directory under a base path with one directory per table.
+A zone is a directory under a base path with one directory per table. The pipeline writes each run into a folder below
+that, and the record of the run tells which one is current; a table without a record is read as it lies.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake.schemas import ORDER_ANALYTICS, RAW, TABLES
-from orderlake.sources.work import subfolders
+from orderlake.sources.records import Written, last_record
+from orderlake.sources.work import remove_work_folder, subfolders
 
 RAW_ZONE = "raw"
 PROCESSED = "processed"
 REJECTED = "rejected"
 CURATED = "curated"
 CURATED_TABLE = "order_analytics"
+ROLLUP_TABLE = "order_rollup"
+# Rows per order of the lines and shipments, where an order has more than one.
+COUNTS = "counts"
+# Columns that folders are named by and that are no part of the table.
+DERIVED = {"order_month": T.DateType()}
+# The catalog's entries for tables in buckets; Spark knows buckets from the catalog only.
+BUCKETED = "orderlake_buckets"
 BAD_LINE = "_bad_line"
+# Ending of the view of a raw table with typed numbers.
+TYPED = "_typed"
 
 
 def zone_path(base: str, zone: str, table: str) -> str:
@@ -93,32 +105,124 @@ def _declared(zone: str, table: str) -> dict[str, T.DataType]:
     return {f.name: f.dataType for f in RAW.get(table, ())}
 
 
-def read_zone(spark: SparkSession, base: str, zone: str, table: str) -> DataFrame:
-    """A written table. Columns that its folders are named by have their declared types and places."""
-    path = zone_path(base, zone, table)
-    by = partition_columns(spark, path)
+def current(spark: SparkSession, base: str, zone: str, table: str) -> Written | None:
+    """What the record of the last run says about a table."""
+    return last_record(spark, base).get((zone, table))
+
+
+def current_path(spark: SparkSession, base: str, zone: str, table: str) -> str:
+    """Where the rows of a table lie now."""
+    entry = current(spark, base, zone, table)
+    return zone_path(base, zone, table) if entry is None else f"{base.rstrip('/')}/{entry.folder}"
+
+
+def read_zone(
+    spark: SparkSession, base: str, zone: str, table: str, derived: bool = False
+) -> DataFrame:
+    """A written table. Columns that its folders are named by have their declared types and places.
+
+    Columns made for the folders only are left out unless ``derived`` asks for them, for filters that skip folders.
+    """
+    return read_written(spark, base, zone, table, current(spark, base, zone, table), derived)
+
+
+def read_written(
+    spark: SparkSession, base: str, zone: str, table: str, entry: Written | None, derived: bool = False
+) -> DataFrame:
+    """The same for a table that a run has written, whether or not its record is there yet."""
+    path = zone_path(base, zone, table) if entry is None else f"{base.rstrip('/')}/{entry.folder}"
+    if entry is not None and entry.buckets:
+        return spark.table(_bucketed_table(spark, path, entry))
+    by = partition_columns(spark, path) if entry is None else entry.partition_by
     if not by:
         return spark.read.parquet(path)
     declared = _declared(zone, table)
+    kinds_of = DERIVED | declared
     found = spark.read.parquet(path).schema
     kinds = [
-        T.StructField(f.name, declared.get(f.name, f.dataType) if f.name in by else f.dataType)
+        T.StructField(f.name, kinds_of.get(f.name, f.dataType) if f.name in by else f.dataType)
         for f in found
     ]
     df = spark.read.schema(T.StructType(kinds)).parquet(path)
     order = [name for name in declared if name in df.columns]
-    return df.select(*order, *(c for c in df.columns if c not in order))
+    shown = df.select(*order, *(c for c in df.columns if c not in order))
+    return shown if derived else shown.drop(*(c for c in by if c in DERIVED and c not in declared))
+
+
+def _bucket_name(path: str) -> str:
+    return f"`{BUCKETED}`.`t_{hashlib.md5(path.encode()).hexdigest()}`"
+
+
+def _bucketed_table(spark: SparkSession, path: str, entry: Written) -> str:
+    """The catalog's entry for a table in buckets, made where this session's catalog has none."""
+    name = _bucket_name(path)
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{BUCKETED}`")
+        columns = spark.read.parquet(path)._jdf.schema().toDDL()
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {_clustered(entry)} LOCATION '{path}'"
+        )
+    return name
+
+
+def _clustered(entry: Written) -> str:
+    by = entry.bucket_by
+    return f"CLUSTERED BY (`{by}`) SORTED BY (`{by}`) INTO {entry.buckets} BUCKETS"
 
 
 def write_zone(
     df: DataFrame, base: str, zone: str, table: str, partition_by: Sequence[str] = ()
 ) -> None:
+    """Write a table in place, without a record."""
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(zone_path(base, zone, table))
 
 
+def write_run(
+    df: DataFrame,
+    base: str,
+    zone: str,
+    table: str,
+    run: str,
+    partition_by: Sequence[str] = (),
+    buckets: int = 0,
+    bucket_by: str | None = None,
+    most_per_order: int | None = None,
+) -> Written:
+    """Write a table into the folder of a run and count its rows on the way.
+
+    With ``buckets`` rows lie in so many files by ``bucket_by``, so that tables with as many buckets are joined on it,
+    or grouped by it, without a shuffle.
+    """
+    folder = f"{zone}/{table}/{run}"
+    path = f"{base.rstrip('/')}/{folder}"
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    if buckets:
+        name = _bucket_name(path)
+        df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{BUCKETED}`")
+        dealt = counted.repartition(buckets, bucket_by).write.bucketBy(buckets, bucket_by)
+        dealt.sortBy(bucket_by).format("parquet").option("path", path).saveAsTable(name)
+    elif partition_by:
+        counted.write.partitionBy(*partition_by).parquet(path)
+    else:
+        counted.write.parquet(path)
+    return Written(
+        zone, table, folder, seen.get["rows"], tuple(partition_by), buckets, bucket_by if buckets else None, most_per_order
+    )
+
+
+def remove_run_folders(spark: SparkSession, base: str, folders: Sequence[str]) -> None:
+    """Delete folders of runs with what the catalog knows of them."""
+    for folder in folders:
+        path = f"{base.rstrip('/')}/{folder}"
+        if spark.catalog.tableExists(_bucket_name(path)):
+            spark.sql(f"DROP TABLE {_bucket_name(path)}")
+        remove_work_folder(spark, path)
+
+
 def register_views(spark: SparkSession, base: str) -> None:
     """Temp views ``raw_*``, ``processed_*``, ``rejected_*`` and ``order_analytics``."""
     for table in TABLES:
@@ -129,37 +233,59 @@ def register_views(spark: SparkSession, base: str) -> None:
 
 
 def _free(spark: SparkSession, name: str, path: str) -> None:
-    """Drop a table that was registered here before; refuse to touch any other."""
+    """Drop a table that was registered here before, for this or an earlier run; refuse to touch any other."""
     if not spark.catalog.tableExists(name):
         return
     told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
-    same = told.get("Location", "").split(":", 1)[-1].lstrip("/") == path.split(":", 1)[-1].lstrip("/")
-    if told.get("Type") != "EXTERNAL" or not same:
+    there, here = (p.split(":", 1)[-1].strip("/") for p in (told.get("Location", ""), path))
+    if told.get("Type") != "EXTERNAL" or not f"{there}/".startswith(f"{here}/"):
         raise ValueError(f"{name} exists and is not an external table over {path}")
     spark.sql(f"DROP TABLE {name}")
 
 
+def _typed_sql(column: str, kind: T.DataType) -> str:
+    """A column of text as SQL that gives its declared type, as the cleaning does."""
+    if isinstance(kind, T.StringType):
+        return f"`{column}`"
+    if not isinstance(kind, T.IntegralType):
+        return f"try_cast(`{column}` AS {kind.simpleString()}) AS `{column}`"
+    exact = f"try_cast(`{column}` AS decimal(38, 6))"
+    return f"CASE WHEN {exact} = floor({exact}) THEN try_cast({exact} AS {kind.simpleString()}) END AS `{column}`"
+
+
+def _register_raw(spark: SparkSession, base: str, database: str, table: str) -> None:
+    """The raw rows as they are, all text, and a view of them with typed numbers beside it."""
+    name, path = f"`{database}`.`{table}`", zone_path(base, RAW_ZONE, table)
+    _free(spark, name, path)
+    kinds = raw_schema(spark, path, table)
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in kinds])
+    spark.catalog.createTable(name, path, "csv", text, header="true", enforceSchema="false")
+    typed = ", ".join(_typed_sql(f.name, f.dataType) for f in kinds)
+    spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{table}{TYPED}` AS SELECT {typed} FROM {name}")
+
+
 def register_tables(spark: SparkSession, base: str, databases: dict[str, str]) -> None:
     """Catalog tables over the zones, so that database-qualified SQL text runs as it is.
 
     ``databases`` maps a zone to the name of its database; zones left out are
     not registered. The tables are external: dropping them keeps the files. A table of the same name that
-    lies elsewhere is an error.
+    lies elsewhere is an error. Tables show the run that is current now; register them anew after the next. A raw table
+    has text only, like ``read_raw``, and its numbers are typed in ``<table>_typed``.
     """
     for zone, database in databases.items():
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
         for table in (CURATED_TABLE,) if zone == CURATED else TABLES:
-            name = f"`{database}`.`{table}`"
-            path = zone_path(base, zone, table)
-            _free(spark, name, path)
             if zone == RAW_ZONE:
-                schema = raw_schema(spark, path, table)
-                options = {"header": "true", "enforceSchema": "false"}
-                spark.catalog.createTable(name, path, "csv", schema, **options)
+                _register_raw(spark, base, database, table)
                 continue
-            by = partition_columns(spark, path)
-            columns = read_zone(spark, base, zone, table)._jdf.schema().toDDL()
+            name = f"`{database}`.`{table}`"
+            _free(spark, name, zone_path(base, zone, table))
+            entry, path = current(spark, base, zone, table), current_path(spark, base, zone, table)
+            by = partition_columns(spark, path) if entry is None else entry.partition_by
+            columns = read_zone(spark, base, zone, table, derived=True)._jdf.schema().toDDL()
             parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in by)})" if by else ""
+            if entry is not None and entry.buckets:
+                parts = _clustered(entry)
             spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {parts} LOCATION '{path}'")
             if by:
                 spark.catalog.recoverPartitions(name)

@@ -13,7 +13,7 @@ from orderlake.operators.rules import SPECS
 from orderlake.operators.skew import planned_bytes
 from orderlake.plans import checks, reports
 from orderlake.plans.curated import build_order_analytics
-from orderlake.schemas import CURATED_INPUTS
+from orderlake.schemas import CURATED_INPUTS, TABLES
 from orderlake.sources.work import written
 
 
@@ -52,9 +52,15 @@ def test_reports_read_their_columns_only(zones):
         assert "Expand" not in plan(report(zones.curated()))
 
 
-def test_reconciling_reads_no_columns(spark):
+def test_reconciling_reads_no_columns(zones):
+    readers = {"raw": zones.raw, "processed": zones.processed, "rejected": zones.rejected}
+    counted = checks.reconcile_zones({z: {t: read(t) for t in TABLES} for z, read in readers.items()})
+    assert plan(counted).count("ReadSchema: struct<>") >= 16
+
+
+def test_reconciling_by_the_record_reads_no_table(spark):
     text = plan(entry.queries()["dq_reconcile_zones"](spark, SF_DIR))
-    assert text.count("ReadSchema: struct<>") >= 16
+    assert len(scans(text)) == 1 and "parquet" not in text.lower()
 
 
 def test_few_repeated_keys_need_no_shuffle(spark, tmp_path):
