@@ -60,7 +60,7 @@ from orderlake.sources import (
     unused_folders,
     write_run,
 )
-from orderlake.sources.work import new_work_folder, remove_work_folder, written
+from orderlake.sources.work import new_work_folder, observed, remove_work_folder, written
 
 
 @dataclass(frozen=True)
@@ -99,7 +99,8 @@ def _repeated(prepared: DataFrame, key: str, path: str, options: PipelineOptions
         path,
     )
     limit = broadcast_bytes(prepared) if options.broadcast_bytes is None else options.broadcast_bytes
-    return repeated, size.get["keys"] * ROW_BYTES + 4 * size.get["chars"] <= limit
+    found = observed(size, {"keys": 0, "chars": 0})
+    return repeated, found["keys"] * ROW_BYTES + 4 * found["chars"] <= limit
 
 
 def _order_counts(valid: DataFrame, out: str, table: str, run: str) -> Written:
@@ -108,7 +109,7 @@ def _order_counts(valid: DataFrame, out: str, table: str, run: str) -> Written:
     counts = valid.groupBy("order_id").agg(F.count(F.lit(1)).alias("rows"))
     seen = counts.observe(most, F.coalesce(F.max("rows"), F.lit(0)).alias("most")).where("rows > 1")
     entry = write_run(seen, out, COUNTS, table, run)
-    return replace(entry, most_per_order=most.get["most"])
+    return replace(entry, most_per_order=observed(most, {"most": 0})["most"])
 
 
 def clean_table(
@@ -145,7 +146,7 @@ def clean_table(
         valid = apart.where(~F.col("_broken")).drop("_broken")
         rejected = apart.where("_broken").drop("_broken")
     valid, rejected = valid_rows(valid, spec), rejected_rows(rejected, spec)
-    entries = [Written(RAW_ZONE, spec.name, None, came.get["rows"])]
+    entries = [Written(RAW_ZONE, spec.name, None, observed(came, {"rows": 0})["rows"])]
     if spec.name in PER_ORDER:
         entries.append(_order_counts(valid, out, spec.name, run))
         # All rows of an order lie in one bucket, which a task must be able to hold.

@@ -21,7 +21,7 @@ from orderlake.sources.work import file_system, subfolders
 RECORDS = "_records"
 SCHEMA = (
     "zone string, table_name string, folder string, rows long, partition_by array<string>, "
-    "buckets int, bucket_by string, most_per_order long"
+    "buckets int, bucket_by string, most_per_order long, columns string"
 )
 
 
@@ -37,6 +37,8 @@ class Written:
     buckets: int = 0
     bucket_by: str | None = None
     most_per_order: int | None = None
+    # Names and types as DDL, for tables without a row too.
+    columns: str | None = None
 
 
 Record = dict[tuple[str, str], Written]

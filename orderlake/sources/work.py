@@ -7,7 +7,8 @@ import tempfile
 import threading
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 _own: dict[str, str] = {}
 _lock = threading.Lock()
@@ -65,6 +66,14 @@ def remove_work_folder(spark: SparkSession, folder: str) -> None:
     files.delete(path, True)
 
 
+def observed(observation: Observation, otherwise: dict[str, int]) -> dict[str, int]:
+    """What an observation saw, or ``otherwise`` where the optimizer left out an input that it knows to be empty."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return otherwise
+
+
 def written(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
     """``df`` as a table written to ``path``: what follows does not depend on its lineage."""
     writer = df.write.partitionBy(partition_by) if partition_by else df.write

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from orderlake.schemas import ORDER_ANALYTICS, RAW, TABLES
 from orderlake.sources.records import Written, last_record
-from orderlake.sources.work import remove_work_folder, subfolders
+from orderlake.sources.work import observed, remove_work_folder, subfolders
 
 RAW_ZONE = "raw"
 PROCESSED = "processed"
@@ -134,21 +134,29 @@ def read_written(
     if entry is not None and entry.buckets:
         return spark.table(_bucketed_table(spark, path, entry))
     by = partition_columns(spark, path) if entry is None else entry.partition_by
-    if not by:
+    if entry is not None:
+        df = spark.read.schema(entry.columns).parquet(path)
+    elif not by:
         return spark.read.parquet(path)
-    declared = _declared(zone, table)
-    kinds_of = DERIVED | declared
-    found = spark.read.parquet(path).schema
-    kinds = [
-        T.StructField(f.name, kinds_of.get(f.name, f.dataType) if f.name in by else f.dataType)
-        for f in found
-    ]
-    df = spark.read.schema(T.StructType(kinds)).parquet(path)
+    else:
+        df = spark.read.schema(_declared_partitions(spark, path, zone, table, by)).parquet(path)
+    declared = _declared(zone, table) if by else {}
     order = [name for name in declared if name in df.columns]
     shown = df.select(*order, *(c for c in df.columns if c not in order))
     return shown if derived else shown.drop(*(c for c in by if c in DERIVED and c not in declared))
 
 
+def _declared_partitions(
+    spark: SparkSession, path: str, zone: str, table: str, by: Sequence[str]
+) -> T.StructType:
+    """The schema of a table whose folders' names do not tell their types."""
+    kinds = DERIVED | _declared(zone, table)
+    found = spark.read.parquet(path).schema
+    return T.StructType(
+        [T.StructField(f.name, kinds.get(f.name, f.dataType) if f.name in by else f.dataType) for f in found]
+    )
+
+
 def _bucket_name(path: str) -> str:
     return f"`{BUCKETED}`.`t_{hashlib.md5(path.encode()).hexdigest()}`"
 
@@ -158,9 +166,8 @@ def _bucketed_table(spark: SparkSession, path: str, entry: Written) -> str:
     name = _bucket_name(path)
     if not spark.catalog.tableExists(name):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{BUCKETED}`")
-        columns = spark.read.parquet(path)._jdf.schema().toDDL()
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {_clustered(entry)} LOCATION '{path}'"
+            f"CREATE TABLE IF NOT EXISTS {name} ({entry.columns}) USING parquet {_clustered(entry)} LOCATION '{path}'"
         )
     return name
 
@@ -209,8 +216,10 @@ def write_run(
         counted.write.partitionBy(*partition_by).parquet(path)
     else:
         counted.write.parquet(path)
+    by = bucket_by if buckets else None
+    columns = df._jdf.schema().toDDL()
     return Written(
-        zone, table, folder, seen.get["rows"], tuple(partition_by), buckets, bucket_by if buckets else None, most_per_order
+        zone, table, folder, observed(seen, {"rows": 0})["rows"], tuple(partition_by), buckets, by, most_per_order, columns
     )
 
 
