@@ -28,9 +28,11 @@ from orderlake.llm.common import Work, whole_text
 from orderlake.llm.shingles import pieces, raw_bytes
 
 # Bytes of text aligned at once; a longer text is aligned alone.
-BLOCK_BYTES = 1 << 18
+BLOCK_BYTES = 1 << 19
 # Words and windows that a worker remembers before it starts anew.
-MOST_UNITS = MOST_WINDOWS = 300_000
+MOST_UNITS = MOST_WINDOWS = 250_000
+# Links looked up at once.
+MOST_LINKS = 1 << 19
 # Marks the ids of B in the key of a window.
 TOP = 1 << 31
 
@@ -103,18 +105,16 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 class _Lists:
-    """Many lists of numbers in one array that grows."""
+    """Many lists of small numbers in one array that grows."""
 
     def __init__(self) -> None:
-        self.flat = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.int32)
         self.starts = np.zeros(0, np.int64)
         self.lengths = np.zeros(0, np.int64)
 
-    def add(self, lists: list[list[int]]) -> None:
-        lengths = np.array([len(x) for x in lists], np.int64)
+    def add(self, flat: np.ndarray, lengths: np.ndarray) -> None:
         before = len(self.flat) + np.cumsum(lengths) - lengths
-        fresh = np.fromiter(chain.from_iterable(lists), np.int64, int(lengths.sum()))
-        self.flat = np.concatenate([self.flat, fresh])
+        self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
         self.starts = np.concatenate([self.starts, before])
         self.lengths = np.concatenate([self.lengths, lengths])
 
@@ -126,6 +126,22 @@ class _Lists:
         return self.flat[shift + np.arange(len(shift))], np.concatenate([[0], until])
 
 
+class _Strings:
+    """Short byte strings in one array, to be laid one behind the other by their numbers."""
+
+    def __init__(self, strings: list[bytes]):
+        self.pool = np.frombuffer(b"".join(strings), np.uint8)
+        self.lengths = np.array([len(s) for s in strings], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def laid(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes, and where each string ends."""
+        lengths = self.lengths[numbers]
+        ends = np.cumsum(lengths)
+        shift = np.repeat(self.starts[numbers] - (ends - lengths), lengths)
+        return self.pool[shift + np.arange(len(shift))], ends
+
+
 @dataclass(frozen=True)
 class Aligned:
     """Of each text of a batch: numbers of tokens, groups as text, and its links between ``starts``."""
@@ -147,7 +163,10 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = SentencePieceProcessor(model_proto=tokenizers.b_model)
         self.spelled = spellings_a(tokenizers.a_json), spellings_b(self.b)
-        self.lengths = [np.array([len(s) for s in side], np.int64) for side in self.spelled]
+        self.strings = [_Strings(side) for side in self.spelled]
+        self.lengths = [side.lengths for side in self.strings]
+        # Numbers in decimal, each with room for what follows it.
+        self.decimals = _Strings([b"%d," % i for i in range(max(map(len, self.spelled)))])
         self.spaced = [np.array([s[:1] == b" " for s in side], bool) for side in self.spelled]
         self.pairs = linkable(*self.spelled)
         # Words may be encoded one by one if A begins a token at such spaces and no piece of B goes on behind one.
@@ -169,17 +188,26 @@ class Aligner:
 
     def _add_units(self, fresh: list[str]) -> None:
         """Encode words, with a space in front for A; B adds it. Whether both give the bytes back is kept."""
-        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + u for u in fresh], add_special_tokens=False)]
-        ids_b = self.b.encode(fresh, num_threads=1)
-        whole = []
-        for unit, a, b in zip(fresh, ids_a, ids_b):
-            raw = b" " + unit.encode("utf-8")
-            spelled = [b"".join([side[i] for i in own]) for side, own in zip(self.spelled, (a, b))]
-            whole.append(spelled == [raw, raw])
-        for lists, own in zip(self.ids, (ids_a, ids_b)):
-            lists.add(own)
+        spaced = [" " + unit for unit in fresh]
+        raw = [unit.encode("utf-8") for unit in spaced]
+        sizes = np.array([len(r) for r in raw], np.int64)
+        data, whole = np.frombuffer(b"".join(raw), np.uint8), np.ones(len(fresh), bool)
+        made = (
+            [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)],
+            self.b.encode(fresh, num_threads=1),
+        )
+        for lists, strings, own in zip(self.ids, self.strings, made):
+            counts = np.array([len(ids) for ids in own], np.int64)
+            flat = np.fromiter(chain.from_iterable(own), np.int64, int(counts.sum()))
+            lists.add(flat, counts)
+            spelled, ends = strings.laid(flat)
+            begins = np.append(0, ends)[np.append(0, np.cumsum(counts))]
+            if not np.array_equal(np.diff(begins), sizes) or not np.array_equal(spelled, data):
+                parts = zip(raw, begins[:-1].tolist(), begins[1:].tolist())
+                text = spelled.tobytes()
+                whole &= np.array([text[i:j] == r for r, i, j in parts], bool)
         self.units.update(zip(fresh, range(len(self.units), len(self.units) + len(fresh))))
-        self.whole = np.concatenate([self.whole, np.array(whole, bool)])
+        self.whole = np.concatenate([self.whole, whole])
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of both tokenizers for all texts, and where each text begins; no ids where bytes are not given back."""
@@ -199,42 +227,43 @@ class Aligner:
         first = np.searchsorted(owner, np.arange(len(texts) + 1))
         return [(ids, begins[first]) for ids, begins in (lists.of(numbers) for lists in self.ids)]
 
-    def _window(self, a: list[int], b: list[int]) -> tuple[str, list[int]]:
-        """Groups and linked pairs of two windows of ids that stand for the same bytes."""
-        spelled_a, spelled_b = self.spelled
-        groups, links, i, j, p, q, behind = [], [], 0, 0, 0, 0, 0
-        while p < len(a) or q < len(b):
-            # ``behind`` is by how many bytes B is ahead of A.
-            if behind > 0:
-                behind -= len(spelled_a[a[p]])
-                p += 1
-            else:
-                behind += len(spelled_b[b[q]])
-                q += 1
-            if not behind:
-                groups.append(f"{','.join(map(str, a[i:p]))}|{','.join(map(str, b[j:q]))}")
-                links.append(a[p - 1] << 32 | b[q - 1])
-                i, j = p, q
-        return ";".join(groups), links
+    def _add_windows(self, fresh: list[bytes]) -> None:
+        """Align windows of ids that stand for the same bytes, many at a time.
+
+        Laid one behind the other they are one long text, and each ends where tokens of both end.
+        """
+        ids = np.frombuffer(b"".join(fresh), np.uint32)
+        owner = np.repeat(np.arange(len(fresh)), [len(key) // 4 for key in fresh])
+        of_b = ids >= TOP
+        a, b = ids[~of_b].astype(np.int64), (ids[of_b] - TOP).astype(np.int64)
+        ends_a, ends_b = np.cumsum(self.lengths[0][a]), np.cumsum(self.lengths[1][b])
+        shared, last_a, last_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
+        links = np.searchsorted(self.pairs, a[last_a] << 32 | b[last_b])
+        counts = np.bincount(owner[~of_b][last_a], minlength=len(fresh))
+        self.links.add(links, counts)
+        # Groups as text: of each group the ids of A, then those of B.
+        group = np.concatenate([np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)])
+        order = np.argsort(2 * group + np.repeat([0, 1], [len(a), len(b)]), kind="stable")
+        text, ends = self.decimals.laid(np.concatenate([a, b])[order])
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        text[ends[place[last_a]] - 1] = ord("|")
+        stops = ends[place[len(a) + last_b]]
+        text[stops - 1] = ord(";")
+        until = np.append(0, stops[np.cumsum(counts) - 1]).tolist()
+        whole = text.tobytes().decode("ascii")
+        self.texts += [whole[i : j - 1] for i, j in zip(until, until[1:])]
+        self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
 
     def _windows(self, keys: list[bytes]) -> np.ndarray:
         """Numbers of the windows with these ids; the ids of B have their top bit set."""
         if len(self.known) > MOST_WINDOWS:
             self._clear_windows()
-        fresh = [key for key in dict.fromkeys(keys) if key not in self.known]
-        links = []
-        for key in fresh:
-            ids = np.frombuffer(key, np.uint32)
-            of_b = ids >= TOP
-            text, own = self._window(ids[~of_b].tolist(), (ids[of_b] - TOP).tolist())
-            self.texts.append(text)
-            links.append(own)
+        known = self.known
+        fresh = [key for key in dict.fromkeys(keys) if key not in known]
         if fresh:
-            flat = np.fromiter(chain.from_iterable(links), np.int64)
-            at = iter(np.searchsorted(self.pairs, flat).tolist())
-            self.links.add([[next(at) for _ in own] for own in links])
-            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
-        return np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
+            self._add_windows(fresh)
+        return np.fromiter(map(known.__getitem__, keys), np.int64, len(keys))
 
     def align(self, texts: list[str]) -> Aligned:
         (a, first_a), (b, first_b) = self.encode(texts)
@@ -245,7 +274,7 @@ class Aligner:
         _, p, q = np.intersect1d(*begins, assume_unique=True, return_indices=True)
         cuts_a, cuts_b = marked[0][p], marked[1][q]
         owner = np.searchsorted(cuts_a, first_a)
-        raw_a, raw_b = a.astype(np.uint32).tobytes(), (b + TOP).astype(np.uint32).tobytes()
+        raw_a, raw_b = a.astype(np.uint32).tobytes(), (b.astype(np.uint32) + np.uint32(TOP)).tobytes()
         bounds = [np.append(c, len(ids)).tolist() for c, ids in ((cuts_a, a), (cuts_b, b))]
         keys = [
             raw_a[4 * i : 4 * j] + raw_b[4 * k : 4 * m]
@@ -298,9 +327,12 @@ def _counted(n_pairs: int):
     """Counts of pairs per task, in one array whatever the number of documents."""
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _ALIGNERS.clear()
         total = np.zeros(n_pairs, np.int64)
         for batch in batches:
-            total += np.bincount(batch["links"].flatten().to_numpy(), minlength=n_pairs)
+            flat = batch["links"].flatten().to_numpy()
+            for first in range(0, len(flat), MOST_LINKS):
+                total += np.bincount(flat[first : first + MOST_LINKS], minlength=n_pairs)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], ["pair", "n"])
 
@@ -310,13 +342,18 @@ def _counted(n_pairs: int):
 def _sums(counts: np.ndarray, best: np.ndarray):
     @F.arrow_udf("n_best long, count_sum long")
     def sums(links: pa.Array) -> pa.Array:
-        flat = links.flatten().to_numpy()
-        before = np.concatenate([[0], np.cumsum(links.value_lengths().to_numpy())])
-        made = []
-        for values in (best[flat], counts[flat]):
-            until = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
-            made.append(pa.array(until[before[1:]] - until[before[:-1]]))
-        return pa.StructArray.from_arrays(made, ["n_best", "count_sum"])
+        # What this worker remembers of an earlier stage is not needed any more.
+        _ALIGNERS.clear()
+        flat, lengths = links.flatten().to_numpy(), links.value_lengths().to_numpy()
+        found = np.zeros((2, len(lengths)), np.int64)
+        for first in range(0, len(flat), MOST_LINKS):
+            part = flat[first : first + MOST_LINKS]
+            until = np.cumsum(lengths, dtype=np.int64)
+            row = np.searchsorted(until, np.arange(first, first + len(part)), "right")
+            begin = np.flatnonzero(np.diff(row, prepend=-1))
+            for sums_of, values in zip(found, (best, counts)):
+                sums_of[row[begin]] += np.add.reduceat(values[part], begin, dtype=np.int64)
+        return pa.StructArray.from_arrays(list(map(pa.array, found)), ["n_best", "count_sum"])
 
     return sums
 
