@@ -43,8 +43,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of each document in place of its text."""
-    found = encode(docs.select("doc_id", "text", "lang", "source"), Pieces.from_file(tokenizer_file(PIECES)))
+    """The model's own piece ids of each document in place of its text; of other columns lang and source stay."""
+    found = encode(docs.select("doc_id", "text", "lang", "source"), Pieces.of_file(tokenizer_file(PIECES)))
     return found.select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids_crc32", "ids"
     )

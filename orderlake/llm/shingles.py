@@ -1,11 +1,12 @@
 """Words and shingle sets of Arrow text columns, a few megabytes of text at a time.
 
-Hashes are 64 bits wide, so two different shingles of a pair of documents are
-taken for equal with a probability of about 2**-64 per comparison.
+Hashes are 64 bits wide and mixed after every eight bytes, so two different shingles of a pair of documents are
+taken for equal with a probability of about 2**-64 per comparison, whatever letters they are made of.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,27 +19,17 @@ from orderlake.llm.common import SPACES
 U = np.uint64
 SHINGLE = 5
 # Bytes of text worked on at once; a longer text is worked on alone.
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 19
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _IS_SPACE = np.isin(np.arange(256), [ord(c) for c in SPACES])
 _RANDOM = np.random.default_rng(5)
-_VALUES = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64)
 _COEFFICIENTS = _RANDOM.integers(1, 2**63, SHINGLE, dtype=np.uint64) | U(1)
-_BASE = 0x9E3779B97F4A7C15
-_POWERS = [np.ones(1, U), np.ones(1, U)]
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0 to n of the base and of its inverse, modulo 2**64."""
-    if len(_POWERS[0]) <= n:
-        size = 1 << n.bit_length()
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
-            steps = np.full(size, base, U)
-            steps[0] = 1
-            _POWERS[k] = np.multiply.accumulate(steps)
-    return _POWERS[0], _POWERS[1]
+# Longer words are hashed one by one.
+LONG_WORD = 512
+# Masks that leave the first 0 to 8 bytes of a little-endian number.
+_FIRST = np.array([(1 << (8 * k)) - 1 for k in range(9)], U)
 
 
 def distinct(values: np.ndarray) -> np.ndarray:
@@ -89,13 +80,23 @@ def word_spans(data: np.ndarray, row_starts: np.ndarray) -> tuple[np.ndarray, np
 
 
 def hashed_spans(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of each span of bytes: sums of powers, so that all spans cost one pass."""
-    power, inverse = _powers(len(data))
-    sums = np.zeros(len(data) + 1, U)
-    with np.errstate(over="ignore"):
-        np.cumsum(_VALUES[data] * power[: len(data)], out=sums[1:])
-        spans = (sums[ends] - sums[begins]) * inverse[begins]
-        return mixed(spans + (ends - begins).astype(U), 1)
+    """A hash of each span of bytes: its length, then eight bytes of all spans at a time, each mixed in."""
+    lengths = ends - begins
+    hashes = mixed(lengths.astype(U), 1)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    # The eight bytes that begin at each place.
+    eights = np.ndarray(len(data) + 1, np.dtype("<u8"), padded, strides=(1,))
+    left, at = np.flatnonzero(lengths <= LONG_WORD), 0
+    while len(left):
+        rest = lengths[left] - at
+        part = eights[begins[left] + at] & _FIRST[np.minimum(rest, 8)]
+        hashes[left] = mixed(hashes[left] ^ part, 2)
+        at += 8
+        left = left[rest > 8]
+    for k in np.flatnonzero(lengths > LONG_WORD).tolist():
+        digest = hashlib.blake2b(data[begins[k] : ends[k]].tobytes(), digest_size=8).digest()
+        hashes[k] = int.from_bytes(digest, "little")
+    return hashes
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:

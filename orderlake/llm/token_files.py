@@ -121,10 +121,16 @@ def compress(ids: np.ndarray, firsts: np.ndarray, base: int) -> tuple[Grammar, n
     return grammar, seq.astype(np.uint16), firsts
 
 
+# Symbols are written in 16 bits.
+MOST_SYMBOLS = 1 << 16
+
+
 def packed(doc_ids: list[int | None], lists: list[np.ndarray], base: int) -> bytes:
     """The bytes of a shard; ``lists`` has the ids of each document."""
     counts = np.array([len(ids) for ids in lists], np.int64)
     ids = np.concatenate(lists) if lists else np.zeros(0, np.uint32)
+    if base > MOST_SYMBOLS or len(ids) and int(ids.max()) >= base:
+        raise ValueError(f"ids below {min(base, MOST_SYMBOLS)} can be written, symbols have 16 bits")
     grammar, symbols, firsts = compress(ids, np.cumsum(counts) - counts, base)
     head = np.array([base, len(grammar.left), len(lists), len(symbols)], "<u4")
     parts = [

@@ -102,8 +102,7 @@ class UnitCache:
         if not len(begins):
             return [np.zeros(0, np.uint32)] * (len(starts) - 1)
         part = self._folded(part, begins, ends)
-        hashes = hashed_spans(part, begins, ends)
-        _, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        first, inverse = self._same(part, begins, ends)
         raw = part.tobytes()
         spelled = [raw[a:b] for a, b in zip(begins[first].tolist(), ends[first].tolist())]
         if len(self.known) > MOST_UNITS:
@@ -119,6 +118,22 @@ class UnitCache:
         before = np.concatenate([[0], until])[np.searchsorted(begins, starts)]
         return np.split(ids, before[1:-1])
 
+    @staticmethod
+    def _same(part: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One unit of each spelling, and for every unit which: found by a hash, and compared byte by byte."""
+        _, first, inverse = np.unique(hashed_spans(part, begins, ends), return_index=True, return_inverse=True)
+        lengths = ends - begins
+        alike = first[inverse]
+        until = np.cumsum(lengths)
+        at = np.arange(until[-1]) - np.repeat(until - lengths, lengths)
+        own = part[np.repeat(begins, lengths) + at]
+        if np.array_equal(lengths, lengths[alike]) and np.array_equal(own, part[np.repeat(begins[alike], lengths) + at]):
+            return first, inverse
+        raw, seen = part.tobytes(), {}
+        spelled = [raw[a:b] for a, b in zip(begins.tolist(), ends.tolist())]
+        inverse = np.array([seen.setdefault(unit, len(seen)) for unit in spelled])
+        return np.unique(inverse, return_index=True)[1], inverse
+
     @staticmethod
     def _folded(part: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """``part`` with the capitals of units of ASCII alone made small."""

@@ -9,7 +9,7 @@ from orderlake.llm import near_dedup
 from orderlake.llm.components import connected
 from orderlake.llm.common import Work
 from orderlake.llm.near_dedup import near_groups, similarity, sketch, without_near_duplicates
-from orderlake.llm.shingles import sets_of
+from orderlake.llm.shingles import hashed_spans, sets_of
 
 
 def components(rows):
@@ -107,3 +107,30 @@ def test_components_of_a_long_chain(spark):
     found = connected(spark.createDataFrame(links, "a binary, b binary"), Work(spark)).collect()
     labels = {bytes(r.node): bytes(r.label) for r in found}
     assert labels == {f"{i:04d}".encode(): b"0000" for i in range(61)} | {b"x": b"x", b"y": b"x"}
+
+
+def morse(n, letters):
+    """Pairs of such words have the same sums of powers modulo 2**64, whatever the base."""
+    word = [0]
+    while len(word) < n:
+        word += [1 - x for x in word]
+    return "".join(letters[x] for x in word)
+
+
+def test_words_that_deceive_sums_of_powers():
+    texts = [morse(1024, "ab"), morse(1024, "ba"), morse(256, "ab"), morse(256, "ba")]
+    sets = [s.tobytes() for part in sets_of(pa.array(texts, pa.large_string())) for s in part]
+    assert len(set(sets)) == 4
+
+
+def test_hashes_of_spans_depend_on_their_bytes_only():
+    words = ["", "a", "ab", "a\0", "abcdefgh", "abcdefghi", "abcdefghabcdefgh", "x" * 512, "x" * 513, "x" * 514, "été"]
+    lists = [words, words[::-1], [w for w in words for _ in range(2)]]
+    known = {}
+    for own in lists:
+        data = np.frombuffer("".join(own).encode(), np.uint8)
+        ends = np.cumsum([len(w.encode()) for w in own])
+        begins = np.append(0, ends[:-1])
+        for word, h in zip(own, hashed_spans(data, begins, ends).tolist()):
+            assert known.setdefault(word, h) == h
+    assert len(set(known.values())) == len(words)

@@ -4,11 +4,11 @@ from collections import Counter
 
 import public_tokenizers
 from corpus import corpus, odd
+from sentencepiece import SentencePieceProcessor
 from test_near_dedup import components
 
 import corpus_pipeline
 from orderlake.llm.mixing import mix
-from orderlake.llm.pieces import Pieces
 
 STAGES = dict(corpus_pipeline.STAGES)
 
@@ -43,7 +43,7 @@ def test_run_is_its_stages_by_brute_force(spark, sf_dir):
     of = components([(r[0], r[1]) for r in left])
     left = [r for r in left if of(r[1]) in (None, r[0])]
     copies = {r.doc_id: r.copies for r in mix(corpus(spark, left)).collect()}
-    library = Pieces.from_file(public_tokenizers.path("piece_bpe_32k.model")).library
+    library = SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     wanted = Counter()
     for doc_id, text, lang, source in left:
         if copies[doc_id]:

@@ -103,3 +103,24 @@ def test_odd_rows(spark, tokenizer_json):
 
 def test_no_rows(spark, tokenizer_json):
     assert round_trip(empty(spark), tokenizer_json).collect() == []
+
+
+def test_units_that_hash_alike_keep_their_own_ids(tokenizer_json, monkeypatch):
+    """Also where the hash tells nothing apart."""
+    word = [0]
+    while len(word) < 1024:
+        word += [1 - x for x in word]
+    texts = ["".join(s[x] for x in word) for s in ("ab", "ba")] + ["one two three", "two one, one"]
+    library = Tokenizer.from_str(tokenizer_json)
+    wanted = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    data, offsets = raw_bytes(pa.array(texts))
+    assert [ids.tolist() for ids in UnitCache(tokenizer_json).encode(data, offsets)] == wanted
+    monkeypatch.setattr("orderlake.llm.unit_cache.hashed_spans", lambda data, begins, ends: ends - begins)
+    assert [ids.tolist() for ids in UnitCache(tokenizer_json).encode(data, offsets)] == wanted
+
+
+def test_ids_that_do_not_fit_are_refused():
+    with pytest.raises(ValueError, match="16 bits"):
+        packed([1], [np.array([70000], np.uint32)], 70001)
+    with pytest.raises(ValueError, match="16 bits"):
+        packed([1], [np.array([12], np.uint32)], 12)
