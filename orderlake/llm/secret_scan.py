@@ -42,28 +42,95 @@ ASSIGN = (
 )
 
 
+# Running folds go block by block, so that no array is copied once per element.
+FOLD = 256
+
+
+def running(values: Column, step, first) -> Column:
+    """For each element the fold of ``step`` over all elements up to it; ``first`` is neutral."""
+    kind = "array<int>"
+
+    def fold(items, begin):
+        return F.aggregate(items, begin, lambda done, x: step(done, x))
+
+    def listed(items, begin):
+        """``begin`` and the fold up to each item, for few items."""
+        return F.aggregate(
+            items, F.array(begin).cast(kind), lambda done, x: F.concat(done, F.array(step(F.element_at(done, -1), x)))
+        )
+
+    def by_blocks(v):
+        last = F.floor((F.size(v) - 1) / FOLD).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(v, i * FOLD + 1, FOLD))
+
+        def joined_blocks(blocks):
+            before = listed(F.transform(blocks, lambda b: fold(b, first)), first)
+            return bound(
+                before,
+                lambda before: F.flatten(
+                    F.transform(blocks, lambda b, i: F.slice(listed(b, F.get(before, i)), 2, FOLD))
+                ),
+            )
+
+        return bound(blocks, joined_blocks)
+
+    return bound(values, lambda v: F.when(F.size(v) == 0, F.array().cast(kind)).otherwise(by_blocks(v)))
+
+
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
     """``array<(from, until, value)>`` of all matches, leftmost first, in code points.
 
-    The positions follow from the lengths of the matches and of what lies between them.
+    A match ends after all that lies before it, itself included: a running sum of lengths.
     """
-    found = F.arrays_zip(
-        F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)).alias("whole"),
-        F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(group + 1)).alias("value"),
-        F.split(text, pattern, -1).alias("before"),
-    )
-    empty = F.array().cast("array<struct<from: int, until: int, value: string>>")
-
-    def place(done, item):
-        start = F.coalesce(F.try_element_at(done, F.lit(-1))["until"], F.lit(0)) + F.length(item["before"])
-        span = F.struct(
-            start.alias("from"),
-            (start + F.length(item["whole"])).alias("until"),
-            item["value"].alias("value"),
+    whole = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
+    value = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(group + 1))
+    before = F.transform(F.split(text, pattern, -1), F.length)
+
+    def placed(parts):
+        whole, value, before = parts["whole"], parts["value"], parts["before"]
+        steps = F.transform(whole, lambda w, i: F.get(before, i) + F.length(w))
+        ends = running(steps, lambda done, x: done + x, F.lit(0))
+        return F.transform(
+            F.arrays_zip(whole.alias("whole"), value.alias("value"), ends.alias("until")),
+            lambda m: F.struct(
+                (m["until"] - F.length(m["whole"])).alias("from"), m["until"].alias("until"), m["value"].alias("value")
+            ),
         )
-        return F.when(item["whole"].isNull(), done).otherwise(F.concat(done, F.array(span)))
 
-    return F.aggregate(found, empty, place)
+    return bound(F.struct(whole.alias("whole"), value.alias("value"), before.alias("before")), placed)
+
+
+def apart(base: Column, more: Column) -> Column:
+    """The spans of ``more`` that overlap none of ``base``.
+
+    All are sorted by their start. A span overlaps an earlier one of the base if the greatest end so far lies behind its start, and
+    a later one if the next start lies before its end: two running folds instead of every span against every other.
+    """
+    far = 2**31 - 1
+
+    def event(s, own):
+        return F.struct(s["from"].alias("from"), F.lit(own).alias("own"), s["until"].alias("until"), s["nth"].alias("nth"), s["value"].alias("value"))
+
+    # Of equal starts the base comes first.
+    merged = F.array_sort(F.concat(F.transform(base, lambda s: event(s, 0)), F.transform(more, lambda s: event(s, 1))))
+
+    def judged(spans):
+        ends = F.transform(spans, lambda s: F.when(s["own"] == 0, s["until"]).otherwise(0))
+        starts = F.transform(F.reverse(spans), lambda s: F.when(s["own"] == 0, s["from"]).otherwise(far))
+        reached = running(ends, lambda done, x: F.greatest(done, x), F.lit(0))
+        coming = F.reverse(running(starts, lambda done, x: F.least(done, x), F.lit(far)))
+        free = F.filter(
+            F.arrays_zip(spans.alias("s"), reached.alias("reached"), coming.alias("coming")),
+            lambda z: (z["s"]["own"] == 1) & (z["reached"] <= z["s"]["from"]) & (z["coming"] >= z["s"]["until"]),
+        )
+        return F.transform(
+            free,
+            lambda z: F.struct(
+                z["s"]["from"].alias("from"), z["s"]["nth"].alias("nth"), z["s"]["until"].alias("until"), z["s"]["value"].alias("value")
+            ),
+        )
+
+    return F.when((F.size(base) == 0) | (F.size(more) == 0), more).otherwise(bound(merged, judged))
 
 
 def _spans(text: Column, kind: str, pattern: str, group: int = 0) -> Column:
@@ -128,7 +195,7 @@ def upper_normal(z: Column) -> Column:
 
 
 def _two_sided(z: Column) -> Column:
-    return F.least(F.lit(1.0), 2 * upper_normal(F.abs(z)))
+    return bound(z, lambda z: F.least(F.lit(1.0), 2 * upper_normal(F.abs(z))))
 
 
 def chi_squared_p(value: Column, size: Column) -> Column:
@@ -138,7 +205,7 @@ def chi_squared_p(value: Column, size: Column) -> Column:
     """
     letters = F.filter(F.split(value, ""), lambda c: c != "")
     counts = F.transform(
-        F.array_distinct(letters), lambda c: F.size(F.filter(letters, lambda d: d == c))
+        F.array_distinct(letters), lambda c: F.length(value) - F.length(F.replace(value, c, F.lit("")))
     )
     n = F.length(value).cast("double")
     squares = F.aggregate(counts, F.lit(0.0), lambda s, k: s + k * k)
@@ -148,7 +215,7 @@ def chi_squared_p(value: Column, size: Column) -> Column:
     degrees = 2 * mean * mean / variance
     ratio = F.greatest(statistic / mean, F.lit(0.0))
     z = (F.pow(ratio, F.lit(1 / 3)) - (1 - 2 / (9 * degrees))) / F.sqrt(2 / (9 * degrees))
-    return upper_normal(z)
+    return bound(z, upper_normal)
 
 
 def _classes(value: Column, size: Column) -> tuple[Column, Column]:
@@ -171,15 +238,18 @@ def serial_p(value: Column, size: Column) -> Column:
     """Correlation of the codes of neighbours."""
     def correlated(codes):
         n = F.size(codes).cast("double")
-        mean = F.aggregate(codes, F.lit(0.0), lambda s, c: s + c) / n
-        var = F.aggregate(codes, F.lit(0.0), lambda s, c: s + (c - mean) * (c - mean))
-        both = F.aggregate(
-            F.sequence(F.lit(1), F.size(codes) - 1),
-            F.lit(0.0),
-            lambda s, i: s
-            + (F.element_at(codes, i) - mean) * (F.element_at(codes, i + 1) - mean),
-        )
-        return _two_sided((both / F.greatest(var, F.lit(1e-9)) + 1 / n) * F.sqrt(n))
+
+        def about(mean):
+            var = F.aggregate(codes, F.lit(0.0), lambda s, c: s + (c - mean) * (c - mean))
+            pairs = F.zip_with(
+                F.slice(codes, 1, F.size(codes) - 1),
+                F.slice(codes, 2, F.size(codes) - 1),
+                lambda c, d: (c - mean) * (d - mean),
+            )
+            both = F.aggregate(pairs, F.lit(0.0), lambda s, x: s + x)
+            return _two_sided((both / F.greatest(var, F.lit(1e-9)) + 1 / n) * F.sqrt(n))
+
+        return bound(F.aggregate(codes, F.lit(0.0), lambda s, c: s + c) / n, about)
 
     letters = F.filter(F.split(value, ""), lambda c: c != "")
     return bound(F.transform(letters, lambda c: F.ascii(c).cast("double")), correlated)
@@ -193,7 +263,7 @@ def battery_p(value: Column) -> Column:
         ps = [test(value, size) for test in (chi_squared_p, runs_p, serial_p)]
         half = -sum((F.log(F.greatest(p, F.lit(1e-300))) for p in ps), F.lit(0.0))
         # Twice that is chi-squared with six degrees of freedom.
-        return F.exp(-half) * (1 + half + half * half / 2)
+        return bound(half, lambda half: F.exp(-half) * (1 + half + half * half / 2))
 
     return bound(size, tested)
 
@@ -225,18 +295,12 @@ def scan(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, spans and base spans as arrays of (from, nth, until).
 
     ``nth`` counts the kinds. Added spans never overlap base spans. NULL texts are empty and have no
-    spans. Repeated rows are scanned each; no documents give no rows.
+    spans. Repeated rows are scanned each; no documents give no rows. The work grows in proportion to a text's length
+    and a little faster than its matches, so texts of a hundred thousand matches are scanned whole.
     """
     work = Work(docs.sparkSession)
     text = whole_text()
     found = docs.select("doc_id", base_spans(text).alias("base"), candidates(text).alias("more"))
-    apart = F.filter(
-        "more",
-        lambda c: ~F.exists(
-            "base", lambda b: (b["from"] < c["until"]) & (c["from"] < b["until"])
-        ),
-    )
-
     def judged(c):
         p = F.least(F.greatest(battery_p(c["value"]), F.lit(10.0**-DECADES)), F.lit(1.0))
         return F.struct(
@@ -247,7 +311,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
     slim = F.transform("base", lambda s: F.struct(s["from"].alias("from"), s["nth"].alias("nth"), s["until"].alias("until")))
     rows = work.table(
-        found.select("doc_id", "base", apart.alias("more")).select(
+        found.select("doc_id", "base", apart(F.col("base"), F.col("more")).alias("more")).select(
             "doc_id", slim.alias("base"), F.transform("more", judged).alias("more")
         ),
         "rows",
