@@ -54,6 +54,21 @@ class Facts:
 UNKNOWN = Facts()
 
 
+def raw_facts(raw_items: DataFrame, raw_shipments: DataFrame) -> Facts:
+    """Facts about inputs that were never written, from the raw rows they are cleaned from.
+
+    An order has no more valid lines than raw ones, so the largest raw counts bound the valid ones. One column of each
+    table is read and nothing is judged. Rows without an order are rejected later and do not count.
+    """
+    order = F.trim(F.col("order_id").cast("string")).alias("order_id")
+    both = raw_items.select(F.lit(True).alias("line"), order).unionAll(
+        raw_shipments.select(F.lit(False), order)
+    )
+    counts = both.where("order_id != ''").groupBy("line", "order_id").agg(F.count(F.lit(1)).alias("rows"))
+    most = {r["line"]: r["most"] for r in counts.groupBy("line").agg(F.max("rows").alias("most")).collect()}
+    return Facts(most_lines=most.get(True, 0), most_shipments=most.get(False, 0))
+
+
 def _named(df: DataFrame, **names: str) -> DataFrame:
     return df.select(*(F.col(old).alias(new) for new, old in names.items()))
 

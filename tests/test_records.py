@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from orderlake.fixtures import raw_tables
 from orderlake.operators.duplicates import add_duplicate_count
+from orderlake.operators.quality import split
+from orderlake.operators.rules import SPECS
 from orderlake.operators.skew import SkewPolicy, can_be_hot, planned_bytes
 from orderlake.plans import checks, curated, dashboard, reports, rollup
 from orderlake.plans.pipeline import PipelineOptions, build_curated, clean_all, facts_of, run_pipeline
@@ -220,6 +222,20 @@ def test_crowded_orders_come_from_the_recorded_counts(spark, zones):
     assert rows(wide) == rows(plain)
 
 
+def test_raw_rows_bound_the_counts_of_valid_ones(spark):
+    raw = raw_tables(spark, SF_DIR)
+    facts = curated.raw_facts(raw["order_items"], raw["shipments"])
+    assert facts.uncrowded(SkewPolicy()) and not facts.uncrowded(SkewPolicy(rows_per_slot=2))
+    inputs = [split(raw[t], SPECS[t])[0] for t in CURATED_INPUTS]
+    for column, df in ((facts.most_lines, inputs[1]), (facts.most_shipments, inputs[-1])):
+        assert column >= df.groupBy("order_id").count().agg(F.max("count")).first()[0]
+    wide = curated.build_order_analytics(*inputs, facts=facts).drop("curated_timestamp")
+    assert rows(wide) == rows(curated.build_order_analytics(*inputs).drop("curated_timestamp"))
+    # Rows without an order are rejected; however many, they crowd none.
+    blank = spark.createDataFrame([(None,), (" ",), ("",)] * 50 + [("1",)], "order_id string")
+    assert curated.raw_facts(blank, blank).most_lines == 1
+
+
 def test_an_order_too_large_for_a_bucket(spark, small, tmp_path):
     base = str(tmp_path)
     options = PipelineOptions(policy=SkewPolicy(rows_per_slot=2, keys_per_partition=10**6), buckets=3)
