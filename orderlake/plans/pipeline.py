@@ -43,6 +43,8 @@ from orderlake.plans.curated import Facts, build_order_analytics
 from orderlake.plans.rollup import build_rollup
 from orderlake.schemas import CURATED_INPUTS, TABLES
 from orderlake.sources import (
+    BAD_LINE,
+    BAD_LINES,
     COUNTS,
     CURATED,
     CURATED_TABLE,
@@ -51,6 +53,7 @@ from orderlake.sources import (
     REJECTED,
     ROLLUP_TABLE,
     Written,
+    bad_lines_of,
     commit,
     last_record,
     new_run,
@@ -145,7 +148,9 @@ def clean_table(
         )
         valid = apart.where(~F.col("_broken")).drop("_broken")
         rejected = apart.where("_broken").drop("_broken")
-    valid, rejected = valid_rows(valid, spec), rejected_rows(rejected, spec)
+    valid, rejected = (
+        rows.drop(BAD_LINE) for rows in (valid_rows(valid, spec), rejected_rows(rejected, spec))
+    )
     entries = [Written(RAW_ZONE, spec.name, None, observed(came, {"rows": 0})["rows"])]
     if spec.name in PER_ORDER:
         entries.append(_order_counts(valid, out, spec.name, run))
@@ -158,6 +163,9 @@ def clean_table(
         lambda: write_run(valid, out, PROCESSED, spec.name, run, (), buckets if by else 0, by),
         lambda: write_run(rejected.hint("rebalance"), out, REJECTED, spec.name, run),
     ]
+    if BAD_LINE in prepared.columns:
+        lines = bad_lines_of(prepared, spec.name).hint("rebalance")
+        writes.append(lambda: write_run(lines, out, BAD_LINES, spec.name, run))
     with ThreadPoolExecutor(len(writes)) as pool:
         return entries + list(pool.map(lambda write: write(), writes))
 
@@ -218,7 +226,7 @@ def _run(spark: SparkSession, out: str) -> Iterator[tuple[str, list[Written]]]:
 
 
 def _places() -> list[tuple[str, str]]:
-    cleaned = [(zone, table) for zone in (PROCESSED, REJECTED) for table in TABLES]
+    cleaned = [(zone, table) for zone in (PROCESSED, REJECTED, BAD_LINES) for table in TABLES]
     counts = [(COUNTS, table) for table in PER_ORDER]
     return [*cleaned, *counts, (CURATED, CURATED_TABLE), (CURATED, ROLLUP_TABLE)]
 
@@ -279,7 +287,7 @@ def run_pipeline(
 ) -> None:
     """Raw files, or ready raw frames by table name, to all zones under ``out``, which become current together."""
     if isinstance(raw, str):
-        raw = {table: read_raw(spark, raw, table) for table in TABLES}
+        raw = {table: read_raw(spark, raw, table, lines=True) for table in TABLES}
     with _run(spark, out) as (run, entries):
         entries += _clean_all(spark, raw, out, options, run)
         record = {(w.zone, w.table_name): w for w in entries}

@@ -1,5 +1,7 @@
 from orderlake.sources.records import Written, commit, last_record, new_run, record, unused_folders
 from orderlake.sources.zones import (
+    BAD_LINE,
+    BAD_LINES,
     COUNTS,
     CURATED,
     CURATED_TABLE,
@@ -8,6 +10,7 @@ from orderlake.sources.zones import (
     REJECTED,
     ROLLUP_TABLE,
     bad_lines,
+    bad_lines_of,
     current,
     read_raw,
     read_written,
@@ -21,6 +24,8 @@ from orderlake.sources.zones import (
 )
 
 __all__ = [
+    "BAD_LINE",
+    "BAD_LINES",
     "COUNTS",
     "CURATED",
     "CURATED_TABLE",
@@ -29,6 +34,7 @@ __all__ = [
     "REJECTED",
     "ROLLUP_TABLE",
     "bad_lines",
+    "bad_lines_of",
     "commit",
     "current",
     "last_record",

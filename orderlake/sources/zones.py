@@ -30,6 +30,8 @@ DERIVED = {"order_month": T.DateType()}
 # The catalog's entries for tables in buckets; Spark knows buckets from the catalog only.
 BUCKETED = "orderlake_buckets"
 BAD_LINE = "_bad_line"
+# Lines with another number of fields than the header, as the scan of a run met them.
+BAD_LINES = "bad_lines"
 # Ending of the view of a raw table with typed numbers.
 TYPED = "_typed"
 
@@ -73,23 +75,33 @@ def _scan(spark: SparkSession, base: str, table: str, whole_lines: bool = False)
     )
 
 
-def read_raw(spark: SparkSession, base: str, table: str) -> DataFrame:
+def read_raw(spark: SparkSession, base: str, table: str, lines: bool = False) -> DataFrame:
     """Raw rows of one table, all text, with the file each came from.
 
     A file whose header differs from the others' is an error: its values would
     otherwise land under wrong names. Lines with too few or too many fields are rows here, and
-    ``bad_lines`` shows them as they are.
+    ``bad_lines`` shows them as they are. With ``lines`` such a row carries its line in ``_bad_line``, so that one scan
+    gives both; the pipeline reads in this way.
     """
-    return _scan(spark, base, table).drop(BAD_LINE)
+    return _scan(spark, base, table, True) if lines else _scan(spark, base, table).drop(BAD_LINE)
 
 
 def bad_lines(spark: SparkSession, base: str, table: str) -> DataFrame:
     """``(source_file, <key>, line)`` of lines with another number of fields than the header."""
     # A plain null check would be pushed into the scan, which fills the column after it.
     found = _scan(spark, base, table, True).where(F.coalesce(BAD_LINE, F.lit("")) != "")
+    return _lines(found, table)
+
+
+def _lines(found: DataFrame, table: str) -> DataFrame:
     return found.select("source_file", RAW[table][0].name, F.col(BAD_LINE).alias("line"))
 
 
+def bad_lines_of(rows: DataFrame, table: str) -> DataFrame:
+    """The same from written rows that carry their line."""
+    return _lines(rows.where(F.col(BAD_LINE).isNotNull()), table)
+
+
 def partition_columns(spark: SparkSession, path: str) -> list[str]:
     """The columns that the folders of a written table are named by."""
     found: list[str] = []

@@ -18,6 +18,8 @@ from orderlake.plans import checks, curated, dashboard, reports, rollup
 from orderlake.plans.pipeline import PipelineOptions, build_curated, clean_all, facts_of, run_pipeline
 from orderlake.schemas import CURATED_INPUTS, TABLES
 from orderlake.sources import (
+    BAD_LINE,
+    BAD_LINES,
     COUNTS,
     CURATED,
     CURATED_TABLE,
@@ -25,6 +27,7 @@ from orderlake.sources import (
     RAW_ZONE,
     REJECTED,
     ROLLUP_TABLE,
+    bad_lines,
     last_record,
     read_raw,
     read_zone,
@@ -172,6 +175,24 @@ def test_a_record_is_not_overwritten(spark, tmp_path, monkeypatch):
         commit(spark, base, [Written(PROCESSED, "t", "processed/t/run-2", 1)])
 
 
+def test_bad_lines_come_from_the_scan_of_the_run(spark, tmp_path):
+    base, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for table, df in raw_tables(spark, SF_DIR).items():
+        entry.as_csv(df.limit(30).coalesce(1)).csv(f"{base}/{RAW_ZONE}/{table}", header=True)
+    folder = tmp_path / "in" / RAW_ZONE / "suppliers"
+    (folder / "more.csv").write_text("supplier_id,supplier_name,country,supplier_rating\nX1,A\nX2,B,NO,3,more\nX3,C,NO,3\n")
+    run_pipeline(spark, base, out)
+    for table in TABLES:
+        found = read_zone(spark, out, BAD_LINES, table)
+        assert rows(found) == rows(bad_lines(spark, base, table))
+        assert "csv" not in plan(found).lower().replace("more.csv", "")
+        assert BAD_LINE not in read_zone(spark, out, PROCESSED, table).columns
+        assert BAD_LINE not in read_zone(spark, out, REJECTED, table).columns
+    assert rows(read_zone(spark, out, BAD_LINES, "suppliers"), "supplier_id", "line") == [("X1", "X1,A"), ("X2", "X2,B,NO,3,more")]
+    assert last_record(spark, out)[BAD_LINES, "suppliers"].rows == 2
+    assert checks.reconcile_record(record(spark, out)).where("reconciled").count() == len(TABLES)
+
+
 # What the record saves
 
 
