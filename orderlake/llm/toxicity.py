@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from orderlake.llm.common import held_out, whole_text
 from orderlake.llm.language import documents
 
-# Subsequences of four symbols that reach over at most six, and the weight of each place.
-REACH, DECAY = 6, 0.7
+# Subsequences of four symbols that reach over at most seven, and the weight of each place.
+REACH, DECAY = 7, 0.8
 PATTERNS = [
     (a, b, c)
     for c in range(3, REACH)
@@ -37,13 +37,15 @@ PATTERNS = [
 BITS = 5
 CODES = 1 << (4 * BITS)
 # Symbols of a window, and the distance of windows within a long word.
-WINDOW, STEP = 12, 6
+WINDOW, STEP = 14, 6
 # The machine is fitted on at most so many labelled documents of each kind, none longer than this.
 TOXIC_DOCS, CLEAN_DOCS, LONGEST_DOC = 1500, 3000, 20_000
 LANDMARKS, PLAIN_LANDMARKS = 96, 32
 # Windows of clean documents that it is fitted on, and rounds of labelling.
 CLEAN_WINDOWS, ROUNDS = 120_000, 3
 RIDGE = 1.0
+# Words of toxic windows that are pierced with letters to fit on, and clean words pierced for each of their forms.
+PIERCED, PIERCED_CLEAN = 64, 4
 
 
 def _symbol_table() -> np.ndarray:
@@ -257,6 +259,46 @@ class Map:
         return weights
 
 
+def pierced(word: np.ndarray, random: np.random.Generator) -> list[np.ndarray]:
+    """A word's symbols with one letter inserted at each place, and with a letter at every place."""
+    places = np.arange(1, len(word))
+    one = [np.insert(word, [k], random.integers(1, 27)) for k in places]
+    every = [np.insert(word, places, random.integers(1, 27, len(places))) for _ in range(len(places))]
+    return [form.astype(np.uint8) for form in one + every]
+
+
+def _word_at(stream: np.ndarray, start: int) -> np.ndarray:
+    """The word behind the gap at ``start``."""
+    rest = stream[start + 1 :]
+    return rest[: int((rest == 0).argmax())]
+
+
+def _pierced_windows(
+    mapped: Map, bad: list[np.ndarray], starts: list[np.ndarray], picked: list[np.ndarray], clean: list[np.ndarray]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Mapped windows of pierced words, those that toxic windows begin with and clean ones, before clean words."""
+    random = np.random.default_rng(2)
+    begun = Counter(
+        _word_at(s, k).tobytes() for s, at, p in zip(bad, starts, picked) for k in at[p].tolist() if s[k] == 0
+    )
+    toxic = [np.frombuffer(w, np.uint8) for w, _ in begun.most_common(PIERCED) if len(w) >= 4]
+    others = [np.frombuffer(w, np.uint8) for s in clean[:500] for w in _word_list(s) if len(w) >= 3 and w not in begun]
+    if not toxic or not others:
+        none = np.zeros((0, mapped.phi.shape[1]), np.float32)
+        return none, none
+    gap = np.zeros(1, np.uint8)
+
+    def windows(forms: list[np.ndarray]) -> np.ndarray:
+        behind = random.integers(0, len(others), (len(forms), 2))
+        parts = [np.concatenate([gap, f, gap, others[i], gap, others[j]]) for f, (i, j) in zip(forms, behind.tolist())]
+        starts = np.cumsum([0, *map(len, parts)])[:-1]
+        return mapped.windows(np.concatenate([*parts, gap]), starts)
+
+    forms = [form for word in toxic for form in pierced(word, random)]
+    plain = [others[k] for k in random.integers(0, len(others), max(1, PIERCED_CLEAN * len(forms) // 8)).tolist()]
+    return windows(forms), windows([form for word in plain for form in pierced(word, random)])
+
+
 def train(texts: Iterable[np.ndarray], toxic: np.ndarray) -> Machine:
     """Fit on code points of labelled documents. Labels of one kind only give no toxic windows."""
     toxic = np.asarray(toxic, bool)
@@ -287,10 +329,11 @@ def train(texts: Iterable[np.ndarray], toxic: np.ndarray) -> Machine:
             return silent
         # Only what is picked is mapped; the rest of the toxic documents is seen through the table.
         taken = np.concatenate([mapped.windows(s, at[p]) for s, at, p in zip(bad, starts, picked)])
-        x = np.ones((len(taken) + len(good), good.shape[1] + 1), np.float32)
-        x[: len(taken), :-1], x[len(taken) :, :-1] = taken, good
-        y = np.repeat([1.0, -1.0], [len(taken), len(good)])
-        weight = np.where(y > 0, len(good) / len(taken), 1.0) ** 0.5
+        hidden, plain = _pierced_windows(mapped, bad, starts, picked, clean)
+        x = np.ones((len(taken) + len(hidden) + len(good) + len(plain), good.shape[1] + 1), np.float32)
+        x[:, :-1] = np.concatenate([taken, hidden, good, plain])
+        y = np.repeat([1.0, -1.0], [len(taken) + len(hidden), len(good) + len(plain)])
+        weight = np.where(y > 0, (y < 0).sum() / (y > 0).sum(), 1.0) ** 0.5
         w = _support_vectors(x, y, weight)
         fitted = Machine(mapped.table(w[:-1]), float(w[-1]), silent.curve)
         picked = [fitted.windows(s) > 0 for s in bad]

@@ -4,7 +4,7 @@ import numpy as np
 from corpus import corpus, empty, odd
 
 from orderlake.llm import toxicity
-from orderlake.llm.toxicity import Machine, features, fit, score, symbols, train
+from orderlake.llm.toxicity import Machine, features, fit, pierced, score, symbols, train
 
 CLEAN = "river stone garden window music letter summer basket silver market candle mirror".split()
 INSULTS = "idiot moron stupid pathetic worthless".split()
@@ -105,3 +105,40 @@ def test_no_rows_and_no_labels(spark):
     assert score(empty(spark), none).collect() == []
     assert len({r.score for r in score(odd(spark), none).collect()}) == 1
     assert fit(empty(spark), none).bias == -1.0
+
+
+def test_pierced_forms():
+    word = np.array([1, 2, 3, 4], np.uint8)
+    forms = [f.tolist() for f in pierced(word, np.random.default_rng(0))]
+    assert [len(f) for f in forms] == [5, 5, 5, 7, 7, 7]
+    for k, form in enumerate(forms[:3]):
+        assert form[: k + 1] + form[k + 2 :] == word.tolist()
+    assert all(form[::2] == word.tolist() for form in forms[3:])
+
+
+def test_a_letter_inserted_into_insults_of_the_driver(spark):
+    """Found nine times in ten where the plain form is, and clean texts are left alone."""
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    machine = fit(docs, labels)
+    clean = docs.join(labels.where("toxic = 0 and quality = 1"), "doc_id").where("length(text) between 100 and 5000")
+    texts = [r.text for r in clean.orderBy("doc_id").limit(40).collect()]
+    rng = np.random.default_rng(3)
+    words = "idiot clown stupid worthless moron loser pathetic trash scum".split()
+
+    def found(form):
+        scores = []
+        for text in texts:
+            insults = " ".join(f"you {form(w)}." for w in rng.choice(words, 4))
+            scores.append(machine.score(np.frombuffer(f"{text} {insults}".lower().encode("utf-32-le"), np.uint32)))
+        return sum(s >= 0.5 for s in scores)
+
+    def inserted(word):
+        k = rng.integers(1, len(word))
+        return word[:k] + chr(97 + rng.integers(26)) + word[k:]
+
+    plain = found(str)
+    assert plain >= 36 and found(inserted) >= 0.9 * plain and found(".".join) >= 0.9 * plain
+    flagged = [machine.score(np.frombuffer(t.lower().encode("utf-32-le"), np.uint32)) >= 0.5 for t in texts]
+    assert sum(flagged) <= 2
