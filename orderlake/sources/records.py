@@ -105,8 +105,8 @@ def unused_folders(spark: SparkSession, base: str) -> list[str]:
     numbers = _numbers(spark, base)
     recent = [_entries(spark, base, n) for n in numbers[-2:]]
     named = {w.folder for entries in recent for w in entries.values()}
-    every = [_entries(spark, base, n) for n in numbers]
-    places = {tuple(w.folder.split("/")[:2]) for entries in every for w in entries.values() if w.folder}
+    # A record carries on what it does not replace, so the last one names every table.
+    places = {tuple(w.folder.split("/")[:2]) for entries in recent for w in entries.values() if w.folder}
     found = []
     for zone, table in sorted(places):
         runs = [n for n in subfolders(spark, f"{base}/{zone}/{table}") if n.startswith("run-")]

@@ -144,7 +144,7 @@ def read_written(
     """The same for a table that a run has written, whether or not its record is there yet."""
     path = zone_path(base, zone, table) if entry is None else f"{base.rstrip('/')}/{entry.folder}"
     if entry is not None and entry.buckets:
-        return spark.table(_bucketed_table(spark, path, entry))
+        return spark.table(_bucketed_table(spark, base, path, entry))
     by = partition_columns(spark, path) if entry is None else entry.partition_by
     if entry is not None:
         df = spark.read.schema(entry.columns).parquet(path)
@@ -173,11 +173,16 @@ def _bucket_name(path: str) -> str:
     return f"`{BUCKETED}`.`t_{hashlib.md5(path.encode()).hexdigest()}`"
 
 
-def _bucketed_table(spark: SparkSession, path: str, entry: Written) -> str:
+def _bucket_database(spark: SparkSession, base: str) -> None:
+    """The database of such entries. Its tables lie elsewhere, and its folder is not in the session's warehouse."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{BUCKETED}` LOCATION '{base.rstrip('/')}/_buckets'")
+
+
+def _bucketed_table(spark: SparkSession, base: str, path: str, entry: Written) -> str:
     """The catalog's entry for a table in buckets, made where this session's catalog has none."""
     name = _bucket_name(path)
     if not spark.catalog.tableExists(name):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{BUCKETED}`")
+        _bucket_database(spark, base)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({entry.columns}) USING parquet {_clustered(entry)} LOCATION '{path}'"
         )
@@ -221,7 +226,7 @@ def write_run(
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if buckets:
         name = _bucket_name(path)
-        df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{BUCKETED}`")
+        _bucket_database(df.sparkSession, base)
         dealt = counted.repartition(buckets, bucket_by).write.bucketBy(buckets, bucket_by)
         dealt.sortBy(bucket_by).format("parquet").option("path", path).saveAsTable(name)
     elif partition_by:
