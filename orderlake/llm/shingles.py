@@ -99,6 +99,28 @@ def hashed_spans(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.n
     return hashes
 
 
+def same_spans(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, others: np.ndarray) -> bool:
+    """Whether each span has the bytes of the span numbered in ``others``, eight bytes of all spans at a time."""
+    lengths = ends - begins
+    if not np.array_equal(lengths, lengths[others]):
+        return False
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray(len(data) + 1, np.dtype("<u8"), padded, strides=(1,))
+    left, at = np.flatnonzero((others != np.arange(len(others))) & (lengths <= LONG_WORD)), 0
+    while len(left):
+        rest = lengths[left] - at
+        apart = eights[begins[left] + at] ^ eights[begins[others[left]] + at]
+        if (apart & _FIRST[np.minimum(rest, 8)]).any():
+            return False
+        at += 8
+        left = left[rest > 8]
+    for k in np.flatnonzero(lengths > LONG_WORD).tolist():
+        other = others[k]
+        if not np.array_equal(data[begins[k] : ends[k]], data[begins[other] : ends[other]]):
+            return False
+    return True
+
+
 def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
     data = _LOWER[data[offsets[0] : offsets[-1]]]
     starts = offsets - offsets[0]

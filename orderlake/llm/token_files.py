@@ -121,6 +121,8 @@ def compress(ids: np.ndarray, firsts: np.ndarray, base: int) -> tuple[Grammar, n
     return grammar, seq.astype(np.uint16), firsts
 
 
+# Bytes of text encoded at once; the more, the more units are the same.
+BLOCK_BYTES = 1 << 21
 # Symbols are written in 16 bits.
 MOST_SYMBOLS = 1 << 16
 
@@ -225,7 +227,7 @@ def _encoder(tokenizer_json: str):
         for batch in batches:
             data, offsets = raw_bytes(batch.column("text"))
             ids = batch.column("doc_id").to_pylist()
-            for first, last in pieces(offsets):
+            for first, last in pieces(offsets, BLOCK_BYTES):
                 found = cache.encode(data, offsets[first : last + 1])
                 for doc_id, tokens in zip(ids[first:last], found):
                     doc_ids.append(doc_id)

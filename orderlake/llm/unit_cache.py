@@ -13,7 +13,7 @@ import os
 
 import numpy as np
 
-from orderlake.llm.shingles import _LOWER, distinct, hashed_spans, word_spans
+from orderlake.llm.shingles import _LOWER, distinct, hashed_spans, same_spans, word_spans
 
 SPECIAL = b"<|"
 # Distinct units that a worker remembers before it starts anew, and units per call of the library.
@@ -122,12 +122,7 @@ class UnitCache:
     def _same(part: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One unit of each spelling, and for every unit which: found by a hash, and compared byte by byte."""
         _, first, inverse = np.unique(hashed_spans(part, begins, ends), return_index=True, return_inverse=True)
-        lengths = ends - begins
-        alike = first[inverse]
-        until = np.cumsum(lengths)
-        at = np.arange(until[-1]) - np.repeat(until - lengths, lengths)
-        own = part[np.repeat(begins, lengths) + at]
-        if np.array_equal(lengths, lengths[alike]) and np.array_equal(own, part[np.repeat(begins[alike], lengths) + at]):
+        if same_spans(part, begins, ends, first[inverse]):
             return first, inverse
         raw, seen = part.tobytes(), {}
         spelled = [raw[a:b] for a, b in zip(begins.tolist(), ends.tolist())]
