@@ -147,7 +147,7 @@ def read_written(
         return spark.table(_bucketed_table(spark, base, path, entry))
     by = partition_columns(spark, path) if entry is None else entry.partition_by
     if entry is not None:
-        df = spark.read.schema(entry.columns).parquet(path)
+        df = _listed(spark, path, entry)
     elif not by:
         return spark.read.parquet(path)
     else:
@@ -158,6 +158,19 @@ def read_written(
     return shown if derived else shown.drop(*(c for c in by if c in DERIVED and c not in declared))
 
 
+_frames: dict[tuple, DataFrame] = {}
+
+
+def _listed(spark: SparkSession, path: str, entry: Written) -> DataFrame:
+    """The files of a run's table. They never change, so those in many folders are listed once per session."""
+    if not entry.partition_by:
+        return spark.read.schema(entry.columns).parquet(path)
+    key = (id(spark), spark.sparkContext.applicationId, path)
+    if key not in _frames:
+        _frames[key] = spark.read.schema(entry.columns).parquet(path)
+    return _frames[key]
+
+
 def _declared_partitions(
     spark: SparkSession, path: str, zone: str, table: str, by: Sequence[str]
 ) -> T.StructType:
