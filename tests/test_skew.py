@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from orderlake.operators.skew import (
     CODES,
+    HEAVY,
     SLOT,
     SkewPolicy,
     can_be_hot,
@@ -18,6 +19,7 @@ from orderlake.operators.skew import (
     planned_bytes,
     replicate,
     spread,
+    with_hot,
 )
 from orderlake.plans.curated import BATCHES, MEET_ON, crowded_orders, join_shipments, place
 
@@ -212,3 +214,46 @@ def test_cells_hold_what_a_slot_does(spark):
     )
     cells = [r["count"] for r in met.groupBy(*BATCHES).count().collect()]
     assert sum(cells) == 810_000 and max(cells) <= 1500 and len(cells) >= 810
+
+
+@pytest.fixture
+def long_lists(monkeypatch):
+    """Every list of hot keys counts as too long to broadcast."""
+    monkeypatch.setattr("orderlake.operators.skew.LISTED_KEYS", 0)
+    monkeypatch.setattr("orderlake.plans.curated.LISTED_KEYS", 0)
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_lookup_join_with_a_long_list(facts, lookup, long_lists, how):
+    plain = facts.join(lookup, F.col("k") == F.col("lk"), how)
+    out = lookup_join(facts, lookup, "k", "lk", how, FORCED)
+    assert out.columns == plain.columns
+    assert rows(out) == rows(plain)
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_anti"])
+def test_a_long_list_is_met_as_a_short_one(monkeypatch, facts, how):
+    policy = SkewPolicy(rows_per_slot=3, keys_per_partition=MANY)
+    short = with_hot(facts, "k", hot_keys(facts, "k", policy), how)
+    monkeypatch.setattr("orderlake.operators.skew.LISTED_KEYS", 0)
+    hot = hot_keys(facts, "k", policy)
+    heavy = {r._slots for r in hot.where(HEAVY).collect()}
+    assert heavy and heavy != {r._slots for r in hot.collect()}
+    long = with_hot(facts, "k", hot, how)
+    assert long.columns == short.columns
+    assert rows(long) == rows(short)
+
+
+def test_join_shipments_with_a_long_list(orders_with_crowds, long_lists):
+    items, shipments = orders_with_crowds
+    plain = items.join(shipments, "order_id", "left")
+    out = join_shipments(items, shipments, FORCED)
+    assert rows(out, *sorted(out.columns)) == rows(plain, *sorted(out.columns))
+
+
+def test_no_long_list_is_broadcast(spark, long_lists):
+    """Of a list of many keys of like size none is heavy, so none goes through the driver."""
+    facts = spark.range(4000).withColumn("k", F.col("id") % 1000)
+    hot = hot_keys(facts, "k", SkewPolicy(rows_per_slot=3, keys_per_partition=MANY))
+    assert hot.count() == 1000 and hot.where(HEAVY).count() == 0
+    assert HEAVY not in hot_keys(facts, "k", SkewPolicy(rows_per_slot=4)).columns
