@@ -18,6 +18,7 @@ from orderlake.sources.zones import (
     register_tables,
     register_views,
     remove_run_folders,
+    unsorted_writes,
     write_run,
     write_zone,
     zone_path,
@@ -46,6 +47,7 @@ __all__ = [
     "register_tables",
     "register_views",
     "remove_run_folders",
+    "unsorted_writes",
     "unused_folders",
     "write_run",
     "write_zone",
