@@ -12,6 +12,7 @@ import __spark_entry__ as entry
 from orderlake.fixtures import raw_tables
 from orderlake.operators.duplicates import add_duplicate_count
 from orderlake.operators.quality import split
+from orderlake.operators import sizing
 from orderlake.operators.rules import SPECS
 from orderlake.operators.skew import SkewPolicy, can_be_hot, planned_bytes
 from orderlake.plans import checks, curated, dashboard, reports, rollup
@@ -34,6 +35,7 @@ from orderlake.sources import (
     record,
     register_tables,
     register_views,
+    unsorted_writes,
     unused_folders,
 )
 from orderlake.sources.records import Written, commit
@@ -390,3 +392,59 @@ def test_raw_view_and_raw_table_have_the_same_rows(spark, tmp_path):
     assert "Bucketed: true" in text or "Broadcast" in text
     for database in ("lake_text", "lake_runs"):
         spark.sql(f"drop database {database} cascade")
+
+
+# Steps and sizes
+
+
+def test_a_step_runs_when_its_table_is_asked_for(spark, monkeypatch):
+    monkeypatch.setattr(entry.Zones, "_written", {})
+    fresh = entry.Zones(spark, SF_DIR)
+    told = lambda: set(last_record(spark, fresh._base))
+    assert fresh.csv("warehouses").count() == 25 and not told()
+    fresh.processed("warehouses")
+    assert {table for _, table in told()} == {"warehouses"}
+    fresh.rejected("shipments")
+    assert {table for zone, table in told() if zone == PROCESSED} == {"warehouses", "orders", "order_items", "shipments"}
+    assert facts_of(spark, fresh.cleaned()) != curated.UNKNOWN
+    assert {(PROCESSED, t) for t in TABLES} <= told() and CURATED not in {zone for zone, _ in told()}
+    assert len({last_record(spark, fresh._base)[PROCESSED, t].buckets for t in ("orders", "order_items", "shipments")}) == 1
+    fresh.rollup()
+    assert (CURATED, ROLLUP_TABLE) in told() and (CURATED, CURATED_TABLE) not in told()
+    assert fresh.curated().count() > 0 and (CURATED, CURATED_TABLE) in told()
+
+
+def test_rows_out_of_their_buckets_return_to_as_many(spark, small, tmp_path):
+    base = str(tmp_path)
+    run_pipeline(spark, small, base, PipelineOptions(buckets=11))
+    inputs = [read_zone(spark, base, PROCESSED, t) for t in CURATED_INPUTS]
+    facts, joined = facts_of(spark, base), SkewPolicy(lookup_bytes=-1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for build in (curated.build_order_analytics, rollup.build_rollup):
+            out = build(*inputs, policy=joined, facts=facts).drop("curated_timestamp")
+            text = plan(out)
+            # Orders and lines; shipments stay where they are.
+            assert text.count("hashpartitioning(order_id") == text.count("REPARTITION_BY_NUM") == 2
+            assert len(re.findall(r"hashpartitioning\(order_id#\d+, 11\)", text)) == 2
+            assert rows(out) == rows(build(*inputs, facts=facts).drop("curated_timestamp"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_write_by_month_does_not_sort(spark, tmp_path):
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    with pytest.raises(ZeroDivisionError), unsorted_writes(spark):
+        assert int(spark.conf.get(setting)) >= 12
+        1 / 0
+    assert spark.conf.get(setting) == before
+    df = spark.range(300).withColumn("m", F.col("id") % 40)
+    with unsorted_writes(spark):
+        df.write.partitionBy("m").parquet(str(tmp_path / "t"))
+    assert rows(spark.read.parquet(str(tmp_path / "t")).select("id")) == rows(df.select("id"))
+
+
+def test_shuffles_fit_a_task(spark):
+    """Rows in memory take about ten times their packed size, and three tables are sorted at once."""
+    assert sizing.partitions_for(1_000_000_000) >= 40
