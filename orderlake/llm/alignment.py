@@ -3,7 +3,8 @@
 Both tokenizers encode the whole document, each distinct word once per worker where that gives the ids of the whole. Where tokens of both end at the same byte and the next tokens of both begin with a
 space, the document is split: these anchors are looked for after tokenisation and each is verified by the bytes, so no
 group can cross one. A document is then a row of windows of token ids, about one per word. Windows repeat, so their alignment is
-remembered by the two tuples of ids.
+remembered by the two tuples of ids. Every word encoded on its own begins at an anchor, so its windows are found once and
+remembered with it, and its ids are not kept.
 
 Tokens that end together end with the same bytes, so one is a suffix of the other. The pairs that can ever be linked
 follow from the two vocabularies, and their number has nothing to do with the corpus: counts of pairs are an array of that
@@ -28,9 +29,9 @@ from orderlake.llm.common import Work, whole_text
 from orderlake.llm.shingles import pieces, raw_bytes
 
 # Bytes of text aligned at once; a longer text is aligned alone.
-BLOCK_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 18
 # Words and windows that a worker remembers before it starts anew.
-MOST_UNITS = MOST_WINDOWS = 250_000
+MOST_UNITS = MOST_WINDOWS = 120_000
 # Links looked up at once.
 MOST_LINKS = 1 << 19
 # Marks the ids of B in the key of a window.
@@ -142,6 +143,12 @@ class _Strings:
         return self.pool[shift + np.arange(len(shift))], ends
 
 
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists one behind the other, and the length of each."""
+    counts = np.array([len(own) for own in lists], np.int64)
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(counts.sum())), counts
+
+
 @dataclass(frozen=True)
 class Aligned:
     """Of each text of a batch: numbers of tokens, groups as text, and its links between ``starts``."""
@@ -173,59 +180,71 @@ class Aligner:
         first = json.loads(tokenizers.a_json).get("pre_tokenizer") or {}
         by_words = first.get("type") == "ByteLevel" and first.get("use_regex", True)
         self.cuts = by_words and not any(b" " in s.lstrip(b" ") for s in self.spelled[1])
-        self._clear_units()
-        self._clear_windows()
+        self._clear()
 
-    def _clear_units(self) -> None:
+    def _clear(self) -> None:
         self.units: dict[str, int] = {}
-        self.ids = _Lists(), _Lists()
         self.whole = np.zeros(0, bool)
-
-    def _clear_windows(self) -> None:
+        self.counts = np.zeros((2, 0), np.int32)
+        self.windows = _Lists()
         self.known: dict[bytes, int] = {}
         self.texts: list[str] = []
         self.links = _Lists()
 
-    def _add_units(self, fresh: list[str]) -> None:
-        """Encode words, with a space in front for A; B adds it. Whether both give the bytes back is kept."""
+    def _ids_a(self, spaced: list[str], sizes: np.ndarray, joined: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of A one behind the other, and how many each word has.
+
+        ``joined`` words, none of which begins or ends blank, are one text to A, which is cut after their bytes.
+        """
+        if joined:
+            flat = np.array(self.a.encode_batch_fast(["".join(spaced)], add_special_tokens=False)[0].ids, np.int64)
+            ends, stops = np.cumsum(self.lengths[0][flat]), np.cumsum(sizes)
+            until = np.searchsorted(ends, stops, "right")
+            if until[0] and until[-1] == len(flat) and np.array_equal(ends[until - 1], stops):
+                return flat, np.diff(until, prepend=0)
+        return _flat([e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)])
+
+    def _add_units(self, fresh: list[str], joined: bool) -> None:
+        """Encode words, with a space in front for A; B adds it, and cut them into windows.
+
+        Whether both give the bytes back is kept; of other words no token is.
+        """
         spaced = [" " + unit for unit in fresh]
         raw = [unit.encode("utf-8") for unit in spaced]
         sizes = np.array([len(r) for r in raw], np.int64)
         data, whole = np.frombuffer(b"".join(raw), np.uint8), np.ones(len(fresh), bool)
-        made = (
-            [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)],
-            self.b.encode(fresh, num_threads=1),
-        )
-        for lists, strings, own in zip(self.ids, self.strings, made):
-            counts = np.array([len(ids) for ids in own], np.int64)
-            flat = np.fromiter(chain.from_iterable(own), np.int64, int(counts.sum()))
-            lists.add(flat, counts)
+        encoded = self._ids_a(spaced, sizes, joined), _flat(self.b.encode(fresh, num_threads=1))
+        for strings, (flat, counts) in zip(self.strings, encoded):
             spelled, ends = strings.laid(flat)
             begins = np.append(0, ends)[np.append(0, np.cumsum(counts))]
             if not np.array_equal(np.diff(begins), sizes) or not np.array_equal(spelled, data):
                 parts = zip(raw, begins[:-1].tolist(), begins[1:].tolist())
                 text = spelled.tobytes()
                 whole &= np.array([text[i:j] == r for r, i, j in parts], bool)
+        ids = [flat[np.repeat(whole, counts)] for flat, counts in encoded]
+        kept = np.array([np.where(whole, counts, 0) for _, counts in encoded])
+        numbers, cuts = self._cut(*ids)
+        first = np.searchsorted(cuts, np.append(0, np.cumsum(kept[0])))
+        self.windows.add(numbers, np.diff(first))
         self.units.update(zip(fresh, range(len(self.units), len(self.units) + len(fresh))))
         self.whole = np.concatenate([self.whole, whole])
+        self.counts = np.concatenate([self.counts, kept.astype(np.int32)], axis=1)
 
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids of both tokenizers for all texts, and where each text begins; no ids where bytes are not given back."""
-        if len(self.units) > MOST_UNITS:
-            self._clear_units()
-        split = [(_CUT.split(text) if self.cuts else [text]) if text else [] for text in texts]
-        known = self.units
-        fresh = [unit for unit in dict.fromkeys(chain.from_iterable(split)) if unit not in known]
-        if fresh:
-            self._add_units(fresh)
-        counts = np.array([len(own) for own in split], np.int64)
-        numbers = np.fromiter(map(known.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
-        owner = np.repeat(np.arange(len(texts)), counts)
-        lost = np.zeros(len(texts), bool)
-        lost[owner[~self.whole[numbers]]] = True
-        numbers, owner = numbers[~lost[owner]], owner[~lost[owner]]
-        first = np.searchsorted(owner, np.arange(len(texts) + 1))
-        return [(ids, begins[first]) for ids, begins in (lists.of(numbers) for lists in self.ids)]
+    def _cut(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The windows of ids of both that stand for the same bytes, and at which of A's tokens each begins."""
+        ends = [np.cumsum(n[ids]) for n, ids in zip(self.lengths, (a, b))]
+        # Where a token of either begins with a space, by the end of the one before it; every word begins with one.
+        marked = [np.flatnonzero(s[ids]) for s, ids in zip(self.spaced, (a, b))]
+        begins = [own[at] - n[ids[at]] for own, at, n, ids in zip(ends, marked, self.lengths, (a, b))]
+        _, p, q = np.intersect1d(*begins, assume_unique=True, return_indices=True)
+        cuts_a, cuts_b = marked[0][p], marked[1][q]
+        raw_a, raw_b = a.astype(np.uint32).tobytes(), (b.astype(np.uint32) + np.uint32(TOP)).tobytes()
+        bounds = [np.append(c, len(ids)).tolist() for c, ids in ((cuts_a, a), (cuts_b, b))]
+        keys = [
+            raw_a[4 * i : 4 * j] + raw_b[4 * k : 4 * m]
+            for i, j, k, m in zip(bounds[0], bounds[0][1:], bounds[1], bounds[1][1:])
+        ]
+        return self._windows(keys), cuts_a
 
     def _add_windows(self, fresh: list[bytes]) -> None:
         """Align windows of ids that stand for the same bytes, many at a time.
@@ -257,8 +276,6 @@ class Aligner:
 
     def _windows(self, keys: list[bytes]) -> np.ndarray:
         """Numbers of the windows with these ids; the ids of B have their top bit set."""
-        if len(self.known) > MOST_WINDOWS:
-            self._clear_windows()
         known = self.known
         fresh = [key for key in dict.fromkeys(keys) if key not in known]
         if fresh:
@@ -266,26 +283,30 @@ class Aligner:
         return np.fromiter(map(known.__getitem__, keys), np.int64, len(keys))
 
     def align(self, texts: list[str]) -> Aligned:
-        (a, first_a), (b, first_b) = self.encode(texts)
-        ends = [np.cumsum(n[ids]) for n, ids in zip(self.lengths, (a, b))]
-        # Where a token of either begins with a space, by the end of the one before it; every text begins with one.
-        marked = [np.flatnonzero(s[ids]) for s, ids in zip(self.spaced, (a, b))]
-        begins = [own[at] - n[ids[at]] for own, at, n, ids in zip(ends, marked, self.lengths, (a, b))]
-        _, p, q = np.intersect1d(*begins, assume_unique=True, return_indices=True)
-        cuts_a, cuts_b = marked[0][p], marked[1][q]
-        owner = np.searchsorted(cuts_a, first_a)
-        raw_a, raw_b = a.astype(np.uint32).tobytes(), (b.astype(np.uint32) + np.uint32(TOP)).tobytes()
-        bounds = [np.append(c, len(ids)).tolist() for c, ids in ((cuts_a, a), (cuts_b, b))]
-        keys = [
-            raw_a[4 * i : 4 * j] + raw_b[4 * k : 4 * m]
-            for i, j, k, m in zip(bounds[0], bounds[0][1:], bounds[1], bounds[1][1:])
-        ]
-        numbers = self._windows(keys)
-        links, begin = self.links.of(numbers)
-        texts_of = list(map(self.texts.__getitem__, numbers.tolist()))
-        rows = owner.tolist()
-        groups = [";".join(texts_of[i:j]) for i, j in zip(rows, rows[1:])]
-        return Aligned(np.diff(first_a), np.diff(first_b), groups, links, begin[owner])
+        """Tokens, groups and links of all texts; no tokens where bytes are not given back."""
+        if len(self.units) > MOST_UNITS or len(self.known) > MOST_WINDOWS:
+            self._clear()
+        split = [(_CUT.split(text) if self.cuts else [text]) if text else [] for text in texts]
+        known = self.units
+        fresh = [unit for unit in dict.fromkeys(chain.from_iterable(split)) if unit not in known]
+        plain = [unit for unit in fresh if self.cuts and unit.strip() == unit]
+        odd = [unit for unit in fresh if not self.cuts or unit.strip() != unit]
+        for units in filter(None, (plain, odd)):
+            self._add_units(units, units is plain)
+        sizes = np.array([len(own) for own in split], np.int64)
+        numbers = np.fromiter(map(known.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        owner = np.repeat(np.arange(len(texts)), sizes)
+        lost = np.zeros(len(texts), bool)
+        lost[owner[~self.whole[numbers]]] = True
+        numbers, owner = numbers[~lost[owner]], owner[~lost[owner]]
+        first = np.searchsorted(owner, np.arange(len(texts) + 1))
+        n_a, n_b = (np.diff(np.append(0, np.cumsum(own[numbers], dtype=np.int64))[first]) for own in self.counts)
+        windows, begins = self.windows.of(numbers)
+        rows = begins[first]
+        links, begin = self.links.of(windows)
+        texts_of = list(map(self.texts.__getitem__, windows.tolist()))
+        groups = [";".join(texts_of[i:j]) for i, j in zip(rows.tolist(), rows[1:].tolist())]
+        return Aligned(n_a, n_b, groups, links, begin[rows])
 
 
 _ALIGNERS: dict[Tokenizers, Aligner] = {}

@@ -1,6 +1,7 @@
 import itertools
 from collections import Counter
 
+import numpy as np
 import pytest
 from corpus import corpus, empty, odd
 
@@ -75,6 +76,24 @@ def test_forgetting_changes_nothing(aligner, monkeypatch):
     assert [aligner.align([text]).groups[0] for text in TEXTS] == wanted
 
 
+def test_known_words_are_not_cut_into_windows_again(aligner, monkeypatch):
+    wanted = aligner.align(TEXTS)
+
+    def refused(self, keys):
+        raise AssertionError("windows were looked up again")
+
+    monkeypatch.setattr(Aligner, "_windows", refused)
+    made = aligner.align([*TEXTS[::-1]])
+    assert made.groups == wanted.groups[::-1] and made.n_b.tolist() == wanted.n_b.tolist()[::-1]
+
+
+def test_words_encoded_as_one_text_are_cut_after_their_bytes(aligner):
+    words = ["we'll", "日本", "<s>", "1,2", "antidisestablishmentarianism", "é🎉"]
+    sizes = np.array([len(word.encode()) + 1 for word in words])
+    (flat, counts), (one, each) = (aligner._ids_a([f" {w}" for w in words], sizes, joined) for joined in (True, False))
+    assert flat.tolist() == one.tolist() and counts.tolist() == each.tolist()
+
+
 def test_pairs_that_can_be_linked():
     pairs = linkable([b"ab", b"b", b"c", b""], [b"b", b"cab", b"x", b"b"])
     assert sorted((p >> 32, p & 0xFFFFFFFF) for p in pairs.tolist()) == [(0, 0), (0, 1), (0, 3), (1, 0), (1, 1), (1, 3)]
