@@ -13,6 +13,7 @@ from orderlake.operators.rules import SPECS
 from orderlake.operators.skew import planned_bytes
 from orderlake.plans import checks, reports
 from orderlake.plans.curated import build_order_analytics
+from orderlake.plans.pipeline import PipelineOptions, _repeated
 from orderlake.schemas import CURATED_INPUTS, TABLES
 from orderlake.sources.work import written
 
@@ -73,6 +74,22 @@ def test_few_repeated_keys_need_no_shuffle(spark, tmp_path):
     assert not shuffles(before_the_join)
 
 
+def test_known_repeated_keys_beyond_the_threshold_need_no_shuffle(spark, tmp_path):
+    """Their number is known, so the session's threshold for estimates does not make the rows move."""
+    limit, spec = "spark.sql.autoBroadcastJoinThreshold", SPECS["orders"]
+    data = [(f"long order {i // 2}",) for i in range(2000)]
+    prepared = spark.createDataFrame(data, "order_id string")
+    try:
+        for threshold, few in (("1000", True), ("-1", False)):
+            spark.conf.set(limit, threshold)
+            path = str(tmp_path / f"repeated{threshold}")
+            repeated, small = _repeated(prepared, spec.key, path, PipelineOptions())
+            assert small == few and repeated.count() == 1000
+    finally:
+        spark.conf.unset(limit)
+    assert not _repeated(prepared, spec.key, str(tmp_path / "asked"), PipelineOptions(broadcast_bytes=1000))[1]
+
+
 def test_orders_lines_and_shipments_are_shuffled_once_each(spark, zones):
     limit = "spark.sql.autoBroadcastJoinThreshold"
     inputs = [zones.processed(t) for t in CURATED_INPUTS]

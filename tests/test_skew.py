@@ -42,6 +42,13 @@ def lookup(spark):
     return spark.createDataFrame(data, "lk string, v string")
 
 
+def test_counts_are_not_made_again_where_no_key_is_hot(facts):
+    hot = hot_keys(facts, "k", PLAIN)
+    assert hot.collect() == [] and hot.columns == [*CODES, "_slots"]
+    text = with_hot(facts, "k", hot)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and "Exchange" not in text
+
+
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_lookup_join(facts, lookup, how):
     plain = facts.join(lookup, F.col("k") == F.col("lk"), how)
