@@ -414,6 +414,18 @@ def test_a_step_runs_when_its_table_is_asked_for(spark, monkeypatch):
     assert fresh.curated().count() > 0 and (CURATED, CURATED_TABLE) in told()
 
 
+def test_a_join_of_orders_does_not_clean_lines(spark, zones, monkeypatch):
+    monkeypatch.setattr(entry.Zones, "_written", {})
+    fresh = entry.Zones(spark, SF_DIR)
+    joined = entry.queries()["join_customers"](spark, SF_DIR)
+    assert {t for zone, t in last_record(spark, fresh._base) if zone == PROCESSED} == {"orders", "customers"}
+    orders = zones.processed("orders").select("order_id", "customer_id")
+    assert rows(joined) == rows(curated.join_customers(orders, zones.processed("customers"), facts=zones.facts()))
+    # Lines and shipments come later, in as many buckets.
+    assert fresh.facts().bucketed
+    assert fresh.curated().count() == zones.curated().count()
+
+
 def test_rows_out_of_their_buckets_return_to_as_many(spark, small, tmp_path):
     base = str(tmp_path)
     run_pipeline(spark, small, base, PipelineOptions(buckets=11))
