@@ -44,6 +44,16 @@ def test_parse_dates(spark):
     assert found == texts
 
 
+def test_plain_dates_are_cast_and_mean_the_same(spark):
+    texts = ["2024-01-05", "0000-01-01", "9999-12-31", "0001-02-29", "1582-10-10", "2024-00-10", "2024-06-31"]
+    texts += ["2024-1-1 x", "2024-01-05\n", "2024-01-5T", "+12024-01-01", "12024-01-01", "-001-01-01", "٢٠٢٤-٠١-٠٥", "", None]
+    df = parse_dates(spark.createDataFrame([(t,) for t in texts], "d string"), ["d"])
+    told = df.withColumn("long_way", F.try_to_date("d", "yyyy-MM-dd"))
+    assert told.where(~F.col("_parsed_d").eqNullSafe(F.col("long_way"))).collect() == []
+    assert told.where("_parsed_d is not null").count() >= 4
+    assert "RLIKE" in df._jdf.queryExecution().analyzed().toString()
+
+
 def test_divisions(spark):
     df = spark.createDataFrame(
         [(6.0, 4), (6.0, 0), (6.0, None), (None, 4), (0.0, 4)], "a double, b int"

@@ -1,9 +1,11 @@
 """Runs of the pipeline: what their record tells, when they become visible, and what it saves."""
 
 import datetime as dt
+import glob
 import os
 import re
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import SF_DIR, rows
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from orderlake.operators.quality import split
 from orderlake.operators import sizing
 from orderlake.operators.rules import SPECS
 from orderlake.operators.skew import SkewPolicy, can_be_hot, planned_bytes
-from orderlake.plans import checks, curated, dashboard, reports, rollup
+from orderlake.plans import checks, curated, dashboard, pipeline, reports, rollup
 from orderlake.plans.pipeline import PipelineOptions, build_curated, clean_all, facts_of, run_pipeline
 from orderlake.schemas import CURATED_INPUTS, TABLES
 from orderlake.sources import (
@@ -39,6 +41,7 @@ from orderlake.sources import (
     unused_folders,
 )
 from orderlake.sources.records import Written, commit
+from orderlake.sources.zones import UNLISTED
 
 
 def plan(df):
@@ -426,6 +429,27 @@ def test_a_join_of_orders_does_not_clean_lines(spark, zones, monkeypatch):
     assert fresh.curated().count() == zones.curated().count()
 
 
+def test_orders_are_counted_in_the_written_buckets(spark, small, tmp_path, monkeypatch):
+    seen, count = [], pipeline._order_counts
+    monkeypatch.setattr(pipeline, "_order_counts", lambda df, *to: seen.append(df) or count(df, *to))
+    clean_all(spark, small, str(tmp_path), PipelineOptions(buckets=3))
+    assert len(seen) == 2
+    for df in seen:
+        text = plan(df.groupBy("order_id").count())
+        assert "Bucketed: true" in text and "Exchange" not in text
+
+
+def test_no_list_of_values_where_most_differ(spark, zones):
+    base = zones.base.removeprefix("file:")
+    for zone, table in ((PROCESSED, "orders"), (CURATED, CURATED_TABLE)):
+        listed = set()
+        for file in glob.glob(f"{base}/{last_record(spark, base)[zone, table].folder}/**/*.parquet", recursive=True):
+            group = pq.ParquetFile(file).metadata.row_group(0)
+            columns = [group.column(i) for i in range(group.num_columns)]
+            listed |= {c.path_in_schema for c in columns if c.has_dictionary_page}
+        assert "order_status" in listed and not listed & set(UNLISTED)
+
+
 def test_rows_out_of_their_buckets_return_to_as_many(spark, small, tmp_path):
     base = str(tmp_path)
     run_pipeline(spark, small, base, PipelineOptions(buckets=11))
