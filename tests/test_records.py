@@ -439,6 +439,21 @@ def test_orders_are_counted_in_the_written_buckets(spark, small, tmp_path, monke
         assert "Bucketed: true" in text and "Exchange" not in text
 
 
+def test_buckets_are_sorted_once_and_not_by_bucket(spark, small, tmp_path, monkeypatch):
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before, seen, write = spark.conf.get(setting), [], pipeline.write_run
+    monkeypatch.setattr(pipeline, "write_run", lambda *to: seen.append(int(spark.conf.get(setting))) or write(*to))
+    clean_all(spark, small, str(tmp_path), PipelineOptions(buckets=2))
+    # With open files the write adds no sort by bucket, and the setting is set back.
+    assert seen and min(seen) > 0 and spark.conf.get(setting) == before
+    folder = last_record(spark, str(tmp_path))[PROCESSED, "order_items"].folder
+    files = glob.glob(f"{tmp_path}/{folder}/*.parquet")
+    for file in files:
+        ids = pq.read_table(file)["order_id"].to_pylist()
+        assert ids == sorted(ids)
+    assert len(files) <= 2 and read_zone(spark, str(tmp_path), PROCESSED, "order_items").count() == 12
+
+
 def test_no_list_of_values_where_most_differ(spark, zones):
     base = zones.base.removeprefix("file:")
     for zone, table in ((PROCESSED, "orders"), (CURATED, CURATED_TABLE)):
