@@ -82,11 +82,12 @@ def word_spans(data: np.ndarray, row_starts: np.ndarray) -> tuple[np.ndarray, np
 def hashed_spans(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of each span of bytes: its length, then eight bytes of all spans at a time, each mixed in."""
     lengths = ends - begins
-    hashes = mixed(lengths.astype(U), 1)
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     # The eight bytes that begin at each place.
     eights = np.ndarray(len(data) + 1, np.dtype("<u8"), padded, strides=(1,))
-    left, at = np.flatnonzero(lengths <= LONG_WORD), 0
+    # The first eight bytes of all spans, of which most have no more.
+    hashes = mixed(mixed(lengths.astype(U), 1) ^ eights[begins] & _FIRST[np.minimum(lengths, 8)], 2)
+    left, at = np.flatnonzero((lengths > 8) & (lengths <= LONG_WORD)), 8
     while len(left):
         rest = lengths[left] - at
         part = eights[begins[left] + at] & _FIRST[np.minimum(rest, 8)]
@@ -106,7 +107,10 @@ def same_spans(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, others: n
         return False
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     eights = np.ndarray(len(data) + 1, np.dtype("<u8"), padded, strides=(1,))
-    left, at = np.flatnonzero((others != np.arange(len(others))) & (lengths <= LONG_WORD)), 0
+    start = eights[begins] & _FIRST[np.minimum(lengths, 8)]
+    if not np.array_equal(start, start[others]):
+        return False
+    left, at = np.flatnonzero((lengths > 8) & (lengths <= LONG_WORD) & (others != np.arange(len(others)))), 8
     while len(left):
         rest = lengths[left] - at
         apart = eights[begins[left] + at] ^ eights[begins[others[left]] + at]

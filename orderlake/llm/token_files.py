@@ -40,6 +40,15 @@ SHARD = "part int, shard int, n_ids long, payload binary"
 DOCUMENT = "part int, shard int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
 
 
+def _spelled(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """The ids of ``symbols``, of which each has its ``lengths`` ids in ``flat`` from its ``starts`` on."""
+    sizes = lengths[symbols]
+    until = np.cumsum(sizes)
+    shift = np.repeat(starts[symbols] - (until - sizes), sizes)
+    shift += np.arange(len(shift))
+    return flat[shift]
+
+
 @dataclass(frozen=True)
 class Grammar:
     """Rules for symbols from ``base`` on, and the number of ids that each stands for."""
@@ -55,36 +64,49 @@ class Grammar:
         starts = np.cumsum(lengths) - lengths
         flat = np.zeros(int(lengths.sum()), np.uint32)
         flat[: self.base] = np.arange(self.base)
-        for k, (a, b) in enumerate(zip(self.left.tolist(), self.right.tolist())):
-            at = starts[self.base + k]
-            for side in (a, b):
-                n = lengths[side]
-                flat[at : at + n] = flat[starts[side] : starts[side] + n]
-                at += n
+        # The rules of a round stand for symbols of earlier rounds alone, so they are spelled out together.
+        needs = np.maximum.accumulate(np.maximum(self.left, self.right)).astype(np.int64)
+        done, n = 0, len(needs)
+        while done < n:
+            until = int(np.searchsorted(needs, self.base + done))
+            if until == done:
+                raise ValueError("a rule stands for a later symbol")
+            sides = np.stack([self.left[done:until], self.right[done:until]], 1).ravel()
+            first, last = starts[self.base + done], starts[self.base + until - 1] + lengths[self.base + until - 1]
+            flat[first:last] = _spelled(flat, starts, lengths, sides)
+            done = until
         return flat, starts, lengths
 
 
+def _slot(codes: np.ndarray) -> np.ndarray:
+    return (codes * np.uint32(0x9E3779B1)) >> np.uint32(12)
+
+
 def _replaced(seq: np.ndarray, firsts: np.ndarray, chosen: np.ndarray, base: int):
     """Replace occurrences of the pairs ``chosen``, from left to right, by symbols from ``base``."""
-    slot = (chosen * np.uint32(0x9E3779B1)) >> np.uint32(12)
+    slot = _slot(chosen)
     _, kept = np.unique(slot, return_index=True)
     chosen, slot = chosen[np.sort(kept)], slot[np.sort(kept)]
     table = np.full(_SLOTS, -1, np.int32)
     table[slot] = np.arange(len(chosen))
     codes = seq[:-1] << np.uint32(16) | seq[1:]
-    rule = table[(codes * np.uint32(0x9E3779B1)) >> np.uint32(12)]
-    hit = (rule >= 0) & (chosen[rule] == codes)
-    hit[firsts[(firsts > 0) & (firsts < len(seq))] - 1] = False
+    # Few places pass the narrow table; the pairs are compared there alone.
+    hit = np.flatnonzero((table >= 0)[_slot(codes)])
+    rule = table[_slot(codes[hit])]
+    within = np.ones(len(codes), bool)
+    within[firsts[(firsts > 0) & (firsts < len(seq))] - 1] = False
+    right = (chosen[rule] == codes[hit]) & within[hit]
+    hit, rule = hit[right], rule[right]
     # Of hits that touch, every other one is taken.
-    at = np.arange(len(hit))
-    run = np.maximum.accumulate(np.where(hit & ~np.concatenate([[False], hit[:-1]]), at, 0))
-    take = np.flatnonzero(hit & ((at - run) % 2 == 0))
+    nth = np.arange(len(hit))
+    run = np.maximum.accumulate(np.where(np.diff(hit, prepend=-2) > 1, nth, 0))
+    taken = (nth - run) % 2 == 0
+    take = hit[taken]
     seq = seq.copy()
-    seq[take] = base + rule[take]
+    seq[take] = base + rule[taken]
     stays = np.ones(len(seq), bool)
     stays[take + 1] = False
-    moved = np.concatenate([[0], np.cumsum(stays)])
-    return seq[stays], moved[firsts], chosen
+    return np.compress(stays, seq), firsts - np.searchsorted(take, firsts - 1), chosen
 
 
 def compress(ids: np.ndarray, firsts: np.ndarray, base: int) -> tuple[Grammar, np.ndarray, np.ndarray]:
@@ -98,11 +120,13 @@ def compress(ids: np.ndarray, firsts: np.ndarray, base: int) -> tuple[Grammar, n
         codes = seq[:-1] << np.uint32(16) | seq[1:]
         inside = np.ones(len(codes), bool)
         inside[firsts[(firsts > 0) & (firsts < len(seq))] - 1] = False
-        codes = np.sort(codes[inside])
-        edges = np.flatnonzero(np.diff(codes, prepend=codes[:1] ^ np.uint32(1)))
+        codes = np.sort(np.compress(inside, codes))
+        edges = np.flatnonzero(np.concatenate([np.ones(min(len(codes), 1), bool), codes[1:] != codes[:-1]]))
         counts = np.diff(edges, append=len(codes))
         often = np.flatnonzero(counts >= LEAST)
-        often = often[np.argsort(-counts[often], kind="stable")[: min(PER_ROUND, room)]]
+        # By falling count, then in order: one number each, as sorting numbers is fast.
+        falling = np.sort((len(codes) - counts[often]) << 32 | np.arange(len(often)))
+        often = often[falling[: min(PER_ROUND, room)] & 0xFFFFFFFF]
         if not len(often):
             break
         start = base + sum(map(len, left))
@@ -122,7 +146,7 @@ def compress(ids: np.ndarray, firsts: np.ndarray, base: int) -> tuple[Grammar, n
 
 
 # Bytes of text encoded at once; the more, the more units are the same.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 22
 # Symbols are written in 16 bits.
 MOST_SYMBOLS = 1 << 16
 
@@ -172,10 +196,7 @@ class Shard:
         return found
 
     def _decoded(self, symbols: np.ndarray) -> np.ndarray:
-        lengths = self._lengths[symbols]
-        until = np.cumsum(lengths)
-        shift = np.repeat(self._starts[symbols] - (until - lengths), lengths)
-        return self._flat[shift + np.arange(len(shift))]
+        return _spelled(self._flat, self._starts, self._lengths, symbols)
 
     def ids(self) -> np.ndarray:
         """All ids of the shard."""

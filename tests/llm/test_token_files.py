@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 
 from orderlake.llm import token_files
 from orderlake.llm.shingles import pieces, raw_bytes
-from orderlake.llm.token_files import Shard, packed, round_trip
+from orderlake.llm.token_files import Grammar, Shard, packed, round_trip
 from orderlake.llm.unit_cache import UnitCache
 
 ODD_TEXTS = [
@@ -124,3 +124,52 @@ def test_ids_that_do_not_fit_are_refused():
         packed([1], [np.array([70000], np.uint32)], 70001)
     with pytest.raises(ValueError, match="16 bits"):
         packed([1], [np.array([12], np.uint32)], 12)
+
+
+def fed(cache, monkeypatch):
+    """The texts that ``cache`` gives to the library, in a list that grows."""
+    texts, encode = [], cache._encode_each
+    monkeypatch.setattr(cache, "_encode_each", lambda units: texts.extend(units) or encode(units))
+    return texts
+
+
+def test_units_in_use_are_not_forgotten(tokenizer_json, monkeypatch):
+    monkeypatch.setattr("orderlake.llm.unit_cache.MOST_UNITS", 10)
+    cache, library = UnitCache(tokenizer_json), Tokenizer.from_str(tokenizer_json)
+    texts = fed(cache, monkeypatch)
+    once = ["zero", "seven", "eight", "nine", "ten", "twelve", "forty", "fifty", "sixty", "ninety"] * 2
+    once += [a + b for a in once[:10] for b in once[:10]]
+    for k in range(0, len(once), 2):
+        line = f"common {once[k]} words {once[k + 1]}"
+        data, offsets = raw_bytes(pa.array([line]))
+        assert cache.encode(data, offsets)[0].tolist() == library.encode(line, add_special_tokens=False).ids
+        assert len(cache.known) <= 10 + 4
+        assert len(cache.known) == len(cache.starts) == len(cache.lengths)
+        assert cache.lengths.sum() == len(cache.flat)
+    assert sum("common" in text.split() for text in texts) == 1
+
+
+def test_a_special_opening_in_one_row_leaves_the_others_together(tokenizer_json, monkeypatch):
+    cache, library = UnitCache(tokenizer_json), Tokenizer.from_str(tokenizer_json)
+    calls, plain = [], cache._encode_plain
+    monkeypatch.setattr(cache, "_encode_plain", lambda *args: calls.append(1) or plain(*args))
+    rows = ["one two", "a <", "| b", "f <| x <|endoftext|>y", "", "TWO one"] * 3
+    data, offsets = raw_bytes(pa.array(rows))
+    wanted = [library.encode(t, add_special_tokens=False).ids for t in rows]
+    assert [ids.tolist() for ids in cache.encode(data, offsets)] == wanted
+    assert len(calls) == 1
+
+
+def test_capitals_stay_in_units_with_other_letters_alone(tokenizer_json):
+    rows = [" \t\nÉA BC", "AB.CÉ D.E", "Á B", "ÀB\n \nC", "Q"]
+    data, offsets = raw_bytes(pa.array(rows))
+    begins, ends = UnitCache._units(data, offsets)
+    folded = UnitCache._folded(data, begins)
+    found = [folded[a:b].tobytes().decode() for a, b in zip(begins, ends)]
+    assert found == ["ÉA", "bc", "ab", ".", "CÉ", "d", ".", "e", "Á", "b", "ÀB", "c", "q"]
+
+
+def test_a_rule_for_a_later_symbol_is_refused():
+    one = np.array([1], np.uint32)
+    with pytest.raises(ValueError, match="later symbol"):
+        Grammar(3, one * 4, one, one * 2).expansions()
