@@ -1,5 +1,7 @@
 """Joins that spread hot keys return what plain joins return, and do spread them."""
 
+import re
+
 import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
@@ -8,11 +10,15 @@ from pyspark.sql import functions as F
 
 from orderlake.operators.skew import (
     CODES,
+    GROUP,
     HEAVY,
+    HEAVY_PER_PARTITION,
+    RANGE,
     SLOT,
     SkewPolicy,
     can_be_hot,
     fits_broadcast,
+    group_span,
     hot_keys,
     key_codes,
     lookup_join,
@@ -21,7 +27,17 @@ from orderlake.operators.skew import (
     spread,
     with_hot,
 )
-from orderlake.plans.curated import BATCHES, MEET_ON, crowded_orders, join_shipments, place
+from orderlake.plans.curated import (
+    BATCHES,
+    GROUPS,
+    LINES,
+    MEET_ON,
+    SHIPMENTS,
+    crowded_orders,
+    join_shipments,
+    place,
+    place_groups,
+)
 
 PLAIN = SkewPolicy(rows_per_slot=10**12)
 MANY = 10**6
@@ -264,3 +280,87 @@ def test_no_long_list_is_broadcast(spark, long_lists):
     hot = hot_keys(facts, "k", SkewPolicy(rows_per_slot=3, keys_per_partition=MANY))
     assert hot.count() == 1000 and hot.where(HEAVY).count() == 0
     assert HEAVY not in hot_keys(facts, "k", SkewPolicy(rows_per_slot=4)).columns
+
+
+def shuffles(df):
+    """The columns of each shuffle."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"Exchange hashpartitioning\((.*), \d+\)", text)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rows_travel_once_and_no_copies_do(facts, lookup, long_lists, no_broadcast):
+    """One shuffle by key and group for each side and each side's list, and none by slot."""
+    found = shuffles(lookup_join(facts, lookup, "k", "lk", "left", FORCED, ["id"]))
+    assert len([by for by in found if "_group" in by]) == 4
+    assert all("_group" in by or re.fullmatch(r"k#\d+", by) for by in found)
+
+
+def test_lines_and_shipments_travel_once(orders_with_crowds, long_lists, no_broadcast):
+    found = shuffles(join_shipments(*orders_with_crowds, FORCED))
+    assert len([by for by in found if "_group" in by]) == 4
+    assert all("_group" in by or re.fullmatch(r"order_id#\d+", by) for by in found)
+
+
+def no_deal(df, keys):
+    return df
+
+
+@pytest.mark.parametrize("listed", [10**6, 0])
+def test_slots_travel_in_groups(monkeypatch, facts, lookup, listed):
+    """A group has what a quarter of a partition has, and a row of the other side stands in all slots of one."""
+    monkeypatch.setattr("orderlake.operators.skew.LISTED_KEYS", listed)
+    span = group_span(600, FORCED, 2)
+    hot = hot_keys(facts, "k", FORCED, span=span)
+    out = spread(facts, "k", hot, ["id"], span=span, deal=no_deal)
+    sizes = {(r.k, r[GROUP]): r["count"] for r in out.groupBy("k", GROUP).count().collect()}
+    assert max(sizes.values()) < 1.5 * 600 / 2 / HEAVY_PER_PARTITION + 10
+    assert {g for k, g in sizes if k == "hot"} == {0, 1, 2} and {g for k, g in sizes if k == "7"} == {0}
+    plain = spread(facts, "k", hot_keys(facts, "k", FORCED), ["id"])
+    assert rows(out, "id", SLOT) == rows(plain, "id", SLOT)
+    copies = replicate(lookup, "lk", hot, span=span, deal=no_deal)
+    stands = {(r.lk, r[GROUP]): (r[RANGE[0]], r[RANGE[1]]) for r in copies.collect()}
+    assert len(stands) == copies.count() and stands["unused", 0] == (0, 0)
+    ends = [stands["hot", g] for g in range(3)]
+    assert [s for first, last in ends for s in range(first, last + 1)] == list(range(20))
+
+
+def test_orders_of_one_group_are_not_copied(spark, long_lists):
+    """An order with as many rows as any other travels as it is, however many batches it has."""
+    ids = spark.range(1200).select((F.col("id") % 200).cast("string").alias("order_id"), F.col("id"))
+    items, shipments = ids.withColumnRenamed("id", "order_item_id"), ids.withColumnRenamed("id", "shipment_id")
+    found = crowded_orders(items, shipments, SkewPolicy(rows_per_slot=3))
+    assert found.where(F.col(LINES) * F.col(SHIPMENTS) > 20).count() == 200
+    for df, own, row_key in ((items, LINES, "order_item_id"), (shipments, SHIPMENTS, "shipment_id")):
+        placed = place_groups(df, found, no_deal, own, row_key)
+        assert placed.count() == 1200 and placed.select(*GROUPS).distinct().collect() == [(0, 0)]
+
+
+def test_an_order_of_several_groups_is_dealt_out(spark):
+    items = spark.range(900).select(F.lit("O").alias("order_id"), F.col("id").alias("order_item_id"))
+    shipments = items.withColumnRenamed("order_item_id", "shipment_id")
+    found = crowded_orders(items, shipments, SkewPolicy(rows_per_slot=3))
+    placed = place_groups(items, found, no_deal, LINES, "order_item_id")
+    cut = placed.groupBy(*GROUPS).count().collect()
+    batches = found.first()
+    # Groups along the two axes, and each line in all of those along the other.
+    assert 32 <= len(cut) and sum(r["count"] for r in cut) == 900 * (max(r[1] for r in cut) + 1)
+    assert sum(r["count"] for r in cut) < 900 * batches[SHIPMENTS]
+
+
+@pytest.mark.parametrize("listed", [10**6, 0])
+def test_lines_without_an_order_are_kept(monkeypatch, spark, listed):
+    monkeypatch.setattr("orderlake.operators.skew.LISTED_KEYS", listed)
+    monkeypatch.setattr("orderlake.plans.curated.LISTED_KEYS", listed)
+    items = spark.range(9).select(F.lit(None).cast("string").alias("order_id"), F.col("id").alias("order_item_id"))
+    shipments = items.withColumnRenamed("order_item_id", "shipment_id").withColumns(
+        {c: F.lit("x") for c in ("carrier", "shipment_date", "delivery_date", "shipment_status")}
+    )
+    out = join_shipments(items, shipments, SkewPolicy(rows_per_slot=2))
+    assert rows(out, "order_item_id", "shipment_id") == [(i, None) for i in range(9)]
